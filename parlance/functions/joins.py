@@ -1,0 +1,28 @@
+"""Join helpers that broadcast only a side whose size has been checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from parlance.config import DEFAULT
+
+
+def join_small(
+    big: DataFrame,
+    small: DataFrame,
+    on,
+    how: str = "inner",
+    max_rows: int | None = None,
+) -> DataFrame:
+    """Join ``big`` with a side expected to be small.
+
+    The small side is persisted and counted first; it is broadcast only when
+    it has at most ``max_rows`` rows, otherwise the join stays a shuffle join
+    (and AQE may still pick a broadcast from the measured size).
+    """
+    limit = DEFAULT.broadcast_max_rows if max_rows is None else max_rows
+    small = small.persist()
+    n = small.count()
+    side = F.broadcast(small) if n <= limit else small
+    return big.join(side, on, how)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parlance.plans import q_preprocess  # noqa: F401
+from parlance.plans import q_preprocess, q_splits  # noqa: F401
 from parlance.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

@@ -76,12 +76,45 @@ FROM pairs
 
 REFERENCES = "SELECT row_id, output_text AS ref_text FROM pairs"
 
+# Exact stratified split (W2): quotas by largest remainder, rank by seeded md5.
+_SEED = 42
+_TEST = 0.15
+_VAL_RATIO = 0.15 / (0.7 + 0.15)
+
+SPLIT_QUOTAS = f"""
+SELECT intent, c, q_tv,
+       CAST(base2 + CASE WHEN row_number() OVER (ORDER BY rem2 DESC, intent) <= n_tr - sum(base2) OVER ()
+                         THEN 1 ELSE 0 END AS BIGINT) AS q_train
+FROM (SELECT *, (CAST(q_tv AS HUGEINT) * n_tr) // n_tv AS base2, (CAST(q_tv AS HUGEINT) * n_tr) % n_tv AS rem2
+      FROM (SELECT *, n_tv - CAST(ceil(CAST({_VAL_RATIO!r} AS DOUBLE) * n_tv) AS BIGINT) AS n_tr
+            FROM (SELECT intent, c, n, n_tv,
+                         CAST(base + CASE WHEN row_number() OVER (ORDER BY rem DESC, intent) <= n_tv - sum(base) OVER ()
+                                          THEN 1 ELSE 0 END AS BIGINT) AS q_tv
+                  FROM (SELECT *, (CAST(c AS HUGEINT) * n_tv) // n AS base, (CAST(c AS HUGEINT) * n_tv) % n AS rem
+                        FROM (SELECT intent, c, n, n - CAST(ceil(CAST({_TEST!r} AS DOUBLE) * n) AS BIGINT) AS n_tv
+                              FROM (SELECT intent, count(*) AS c FROM pairs WHERE intent IS NOT NULL
+                                    GROUP BY intent HAVING count(*) >= 3) k,
+                                   (SELECT CAST(sum(c) AS BIGINT) AS n
+                                    FROM (SELECT count(*) AS c FROM pairs WHERE intent IS NOT NULL
+                                          GROUP BY intent HAVING count(*) >= 3) kk) t) a) b) c2) d) e
+"""
+
+SPLITS = f"""
+SELECT p.*, CASE WHEN rk <= q_train THEN 'train' WHEN rk <= q_tv THEN 'val' ELSE 'test' END AS split
+FROM (SELECT *, row_number() OVER (PARTITION BY intent
+                                   ORDER BY md5('{_SEED}:' || CAST(row_id AS VARCHAR)), row_id) AS rk
+      FROM pairs WHERE intent IS NOT NULL) p
+JOIN split_quotas q USING (intent)
+"""
+
 VIEWS = {
     "utterances": UTTERANCES,
     "annotated": ANNOTATED,
     "pairs": PAIRS,
     "predictions": PREDICTIONS,
     "references_": REFERENCES,
+    "split_quotas": SPLIT_QUOTAS,
+    "splits": SPLITS,
 }
 
 # Dependencies between views, in definition order.
@@ -96,6 +129,8 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> s
         "pairs": {"annotated"},
         "predictions": {"pairs"},
         "references_": {"pairs"},
+        "split_quotas": {"pairs"},
+        "splits": {"split_quotas"},
     }
     changed = True
     while changed:
