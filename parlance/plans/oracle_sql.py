@@ -117,8 +117,9 @@ VIEWS = {
     "splits": SPLITS,
 }
 
-# Dependencies between views, in definition order.
+# Views in definition order; extended below.
 _ORDER = list(VIEWS)
+_DEPS: dict[str, set[str]] = {}
 
 
 def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> str:
@@ -131,6 +132,7 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> s
         "references_": {"pairs"},
         "split_quotas": {"pairs"},
         "splits": {"split_quotas"},
+        **_DEPS,
     }
     changed = True
     while changed:
@@ -146,3 +148,81 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> s
     if not parts:
         return body
     return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+# --- evaluation ----------------------------------------------------------------
+
+def intent_sql(text: str, fail: str) -> str:
+    """P7 (fail='PARSE_ERROR') / P8 (fail='UNKNOWN') over a text column."""
+    j = f"TRY_CAST({text} AS JSON)"
+    if fail == "PARSE_ERROR":
+        return (
+            f"CASE WHEN coalesce(json_type({j}) = 'OBJECT', false) = false THEN 'PARSE_ERROR' "
+            f"WHEN json_extract({j}, '$.intent') IS NULL THEN 'UNKNOWN' "
+            f"ELSE json_extract_string({j}, '$.intent') END"
+        )
+    return (
+        f"CASE WHEN coalesce(json_type({j}) = 'OBJECT', false) AND json_extract({j}, '$.intent') IS NOT NULL "
+        f"THEN json_extract_string({j}, '$.intent') ELSE 'UNKNOWN' END"
+    )
+
+
+ALIGNED = f"""
+SELECT p.row_id, pred_text, ref_text,
+       {intent_sql('pred_text', 'PARSE_ERROR')} AS intent_pred,
+       {intent_sql('ref_text', 'UNKNOWN')} AS intent_true
+FROM predictions p JOIN references_ r USING (row_id)
+"""
+
+
+def eligible_sql(text: str, out: str) -> str:
+    """Rows whose text is a JSON object with object-or-missing params; params as JSON."""
+    return f"""
+SELECT row_id, CASE WHEN json_extract(j, '$.params') IS NULL THEN CAST('{{}}' AS JSON)
+                    ELSE json_extract(j, '$.params') END AS {out}
+FROM (SELECT row_id, TRY_CAST({text} AS JSON) AS j FROM aligned) s
+WHERE coalesce(json_type(j) = 'OBJECT', false)
+  AND coalesce(json_type(json_extract(j, '$.params')), 'OBJECT') = 'OBJECT'
+"""
+
+
+ELIGIBLE_PAIRS = f"""
+SELECT p.row_id, pv, rv FROM ({eligible_sql('pred_text', 'pv')}) p JOIN ({eligible_sql('ref_text', 'rv')}) r USING (row_id)
+"""
+
+
+def flat_sql(col: str) -> str:
+    kind = (
+        "CASE WHEN t.type IN ('BIGINT', 'UBIGINT', 'HUGEINT') THEN 'INT' WHEN t.type = 'DOUBLE' THEN 'FLOAT' "
+        "WHEN t.type = 'VARCHAR' THEN 'STRING' ELSE t.type END"
+    )
+    vkey = (
+        "CASE WHEN t.type IN ('BIGINT', 'UBIGINT', 'HUGEINT', 'DOUBLE') "
+        "THEN 'n:' || CAST(CAST(t.value AS DOUBLE) AS VARCHAR) "
+        "WHEN t.type = 'BOOLEAN' THEN 'n:' || CAST(CAST(CAST(CAST(t.value AS BOOLEAN) AS INT) AS DOUBLE) AS VARCHAR) "
+        "WHEN t.type = 'VARCHAR' THEN 's:' || json_extract_string(t.value, '$') "
+        "WHEN t.type = 'ARRAY' THEN 'l:' || CAST(t.value AS VARCHAR) "
+        "WHEN t.type = 'NULL' THEN 'null' END"
+    )
+    return f"""
+SELECT e.row_id, substr(t.fullkey, 3) AS path, {kind} AS kind, {vkey} AS vkey
+FROM eligible_pairs e, json_tree(e.{col}) t
+WHERE t.type <> 'OBJECT' AND t.fullkey NOT LIKE '%[%'
+"""
+
+
+VIEWS.update(
+    {
+        "aligned": ALIGNED,
+        "eligible_pairs": ELIGIBLE_PAIRS,
+        "pred_flat": flat_sql("pv"),
+        "ref_flat": flat_sql("rv"),
+    }
+)
+_ORDER[:] = list(VIEWS)
+_DEPS.update({
+    "aligned": {"predictions", "references_"},
+    "eligible_pairs": {"aligned"},
+    "pred_flat": {"eligible_pairs"},
+    "ref_flat": {"eligible_pairs"},
+})

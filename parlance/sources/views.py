@@ -17,9 +17,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parlance.config import scratch_path
 from parlance.functions.json import json_quote
 from parlance.sources.tables import table
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def written(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """``build()`` written once as a Parquet table in the shared checkpoint
+    folder and read back: the stored table a real pipeline would read.
+
+    Cuts the lineage (a lost executor re-reads the table, not the whole
+    derivation) and keeps downstream plans small.  One write per
+    application and input folder.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    path = _WRITTEN.get(key)
+    if path is None:
+        path = scratch_path(spark, name)
+        build().write.mode("overwrite").parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(path)
+
 
 def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``row_id, transcript, intent, nli_output, frequency`` from ``events``."""
@@ -92,12 +112,16 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``row_id, ref_text``: the reference output of every pair."""
-    return pairs(spark, sf_dir).select("row_id", F.col("output_text").alias("ref_text"))
+    """``row_id, intent, ref_text``: the stored reference output of every pair."""
+    return written(
+        spark, sf_dir, "references",
+        lambda: pairs(spark, sf_dir).select("row_id", "intent", F.col("output_text").alias("ref_text")),
+    )
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return predictions_from_pairs(pairs(spark, sf_dir))
+    """``row_id, pred_text``: the stored model outputs."""
+    return written(spark, sf_dir, "predictions", lambda: predictions_from_pairs(pairs(spark, sf_dir)))
 
 
 def latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
