@@ -29,7 +29,7 @@ ANNOTATION_COLUMNS = (
 )
 
 
-def annotate(df: DataFrame, nli: str = "nli_output") -> DataFrame:
+def annotate(df: DataFrame, nli: str = "nli_output", keep_variant: bool = False) -> DataFrame:
     """Add the facts of one annotation cell as ``a_*`` columns.
 
     ``a_valid``        strict JSON
@@ -41,6 +41,9 @@ def annotate(df: DataFrame, nli: str = "nli_output") -> DataFrame:
     ``a_params``       JSON text of ``params`` per P2 (never null)
     ``a_has_id``/``a_ann_id``  the element's ``id`` key and its text
 
+    With ``keep_variant`` the parsed params stay as VARIANT ``a_params_v``
+    (null unless ``a_has_params``).
+
     Built in stages so that each parse happens once per row and every later
     expression refers to a column instead of repeating the parse.
     """
@@ -88,9 +91,12 @@ def annotate(df: DataFrame, nli: str = "nli_output") -> DataFrame:
         .when(F.col("a_params_kind") == "STRING", json_quote(raw))
         .otherwise(raw)
     )
-    return staged.withColumn("a_params", params).drop(
-        "_a_var", "_a_first", "_a_first_kind", "_a_keys", "_a_members"
-    )
+    out = staged.withColumn("a_params", params)
+    if keep_variant:
+        out = out.withColumn(
+            "a_params_v", F.when(F.col("a_has_params"), F.try_variant_get("_a_first", "$.params", "variant"))
+        )
+    return out.drop("_a_var", "_a_first", "_a_first_kind", "_a_keys", "_a_members")
 
 
 def parse_annotation(df: DataFrame, nli: str = "nli_output") -> DataFrame:

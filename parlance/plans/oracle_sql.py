@@ -226,3 +226,34 @@ _DEPS.update({
     "pred_flat": {"eligible_pairs"},
     "ref_flat": {"eligible_pairs"},
 })
+
+
+# --- schema mining ----------------------------------------------------------------
+
+_KIND = (
+    "CASE WHEN e.type IN ('BIGINT', 'UBIGINT', 'HUGEINT') THEN 'INT' WHEN e.type = 'DOUBLE' THEN 'FLOAT' "
+    "WHEN e.type = 'VARCHAR' THEN 'STRING' ELSE e.type END"
+)
+_TYPE_NAME = (
+    "CASE kind WHEN 'STRING' THEN 'str' WHEN 'INT' THEN 'int' WHEN 'FLOAT' THEN 'float' "
+    "WHEN 'BOOLEAN' THEN 'bool' WHEN 'NULL' THEN 'NoneType' WHEN 'OBJECT' THEN 'dict' "
+    "WHEN 'ARRAY' THEN 'list' END"
+)
+VIEWS.update(
+    {
+        "mined": """
+SELECT row_id, transcript, CASE WHEN has_id THEN ann_id ELSE intent END AS ann_intent, params, params_type
+FROM annotated WHERE elem_object
+""",
+        "entries": f"""
+SELECT *, {_TYPE_NAME} AS type_name,
+       CASE WHEN kind IN ('INT', 'FLOAT') THEN CAST(v AS DOUBLE)
+            WHEN kind = 'BOOLEAN' THEN CAST(CAST(CAST(v AS BOOLEAN) AS INT) AS DOUBLE) END AS num,
+       CASE WHEN kind = 'STRING' THEN json_extract_string(v, '$') END AS sval
+FROM (SELECT m.row_id, m.ann_intent, e.key AS param, e.value AS v, {_KIND} AS kind
+      FROM mined m, json_each(CAST(m.params AS JSON)) e WHERE m.params_type = 'OBJECT') x
+""",
+    }
+)
+_ORDER[:] = list(VIEWS)
+_DEPS.update({"mined": {"annotated"}, "entries": {"mined"}})
