@@ -257,3 +257,67 @@ FROM (SELECT m.row_id, m.ann_intent, e.key AS param, e.value AS v, {_KIND} AS ki
 )
 _ORDER[:] = list(VIEWS)
 _DEPS.update({"mined": {"annotated"}, "entries": {"mined"}})
+
+
+# --- output parsing ----------------------------------------------------------------
+
+def _strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def _count_sql(x: str, ch: str) -> str:
+    return f"(length({x}) - length(replace({x}, '{ch}', '')))"
+
+
+def parse_single_sql(src: str, text: str) -> str:
+    """Single-mode parse (strict, braces, regex; scanner rows are marked
+    ``scan`` with a null result) over ``src(row_id, text)``."""
+    opened = f"CASE WHEN NOT starts_with({_strip_sql('t')}, '{{') THEN '{{' || t ELSE t END"
+    s0 = f"""
+SELECT row_id, t, TRY_CAST(t AS JSON) IS NOT NULL AS ok0,
+       CASE WHEN NOT ends_with({_strip_sql('o')}, '}}') THEN o || '}}' ELSE o END AS t13,
+       regexp_extract(t, '"intent":\\s*"([^"]+)"', 1) AS found,
+       CASE WHEN a = '' THEN '' WHEN strpos(substr(a, 2), '"intent"') > 0
+            THEN substr(a, 1, strpos(substr(a, 2), '"intent"')) ELSE a END AS ptext
+FROM (SELECT row_id, t, {opened} AS o, regexp_extract(t, '(?s)"params":\\s*(.+)', 1) AS a
+      FROM (SELECT row_id, {text} AS t FROM {src}) q) z
+"""
+    p1 = (
+        "regexp_replace(regexp_replace(regexp_replace(" + _strip_sql("ptext") + ", '\"+$', ''), ',+$', ''), '\\s+$', '')"
+    )
+    s1 = f"""
+SELECT *, NOT ok0 AND TRY_CAST(t13 AS JSON) IS NOT NULL AS ok13,
+       CASE WHEN NOT starts_with(p1, '{{') THEN '{{' || p1 ELSE p1 END AS p2
+FROM (SELECT *, {p1} AS p1 FROM ({s0}) a) b
+"""
+    s2 = f"""
+SELECT *, ok13 AND json_array_length(json_keys(TRY_CAST(t13 AS JSON))) = 0 AS empty13,
+       CASE WHEN NOT ends_with(p2, '}}') THEN p2 || repeat('}}', CAST(greatest({_count_sql('p2', '{')} - {_count_sql('p2', '}')}, 0) AS BIGINT))
+            ELSE p2 END AS p3,
+       NOT ok0 AND NOT ok13 AND found <> '' AS try14
+FROM ({s1}) c
+"""
+    s3 = f"""
+SELECT *, try14 AND (ptext = '' OR TRY_CAST(p3 AS JSON) IS NOT NULL) AS ok14 FROM ({s2}) d
+"""
+    s4 = f"""
+SELECT row_id, t,
+  CASE WHEN ok0 THEN 'strict' WHEN ok13 AND NOT empty13 THEN 'braces' WHEN ok13 THEN 'sentinel'
+       WHEN ok14 THEN 'regex' WHEN try14 THEN 'scan' ELSE 'sentinel' END AS settled_by,
+  CASE WHEN ok0 THEN t WHEN ok13 AND NOT empty13 THEN t13 WHEN ok13 THEN NULL
+       WHEN ok14 THEN '{{"intent":' || CAST(to_json(found) AS VARCHAR) || ',"params":'
+                      || CASE WHEN ptext = '' THEN '{{}}' ELSE p3 END || '}}' END AS result
+FROM ({s3}) e
+"""
+    return f"""
+SELECT row_id, settled_by,
+  CASE WHEN settled_by = 'sentinel' THEN 'PARSE_ERROR' WHEN json_type(j) = 'OBJECT' THEN json_extract_string(j, '$.intent') END AS intent,
+  CASE WHEN settled_by = 'sentinel' THEN '{{}}' WHEN json_type(j) = 'OBJECT' THEN CAST(json_extract(j, '$.params') AS VARCHAR) END AS params,
+  CASE WHEN settled_by = 'sentinel' THEN t END AS raw_output,
+  CASE WHEN settled_by = 'sentinel' THEN 'invalid JSON' END AS error,
+  CASE WHEN settled_by = 'sentinel' THEN true ELSE coalesce(json_type(j) = 'OBJECT', false) END AS is_object,
+  CASE WHEN settled_by = 'sentinel' THEN true
+       ELSE coalesce(json_type(j) = 'OBJECT' AND json_extract(j, '$.intent') IS NOT NULL, false) END AS has_intent,
+  result
+FROM (SELECT *, TRY_CAST(result AS JSON) AS j FROM ({s4}) f) g
+"""

@@ -124,6 +124,30 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written(spark, sf_dir, "predictions", lambda: predictions_from_pairs(pairs(spark, sf_dir)))
 
 
+def truncated_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``row_id, raw``: outputs of a model that stopped early.
+
+    The reference output without its opening brace and without its closing
+    braces: the brace fix alone cannot settle them, so they exercise the
+    regex repair and the last-resort scanner.
+    """
+    return written(
+        spark, sf_dir, "truncated",
+        lambda: pairs(spark, sf_dir).select(
+            "row_id", F.regexp_replace("output_text", r"^\{|\}+$", "").alias("raw")
+        ),
+    )
+
+
+def intent_only_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``row_id, raw``: outputs holding only the intent member, no braces.
+
+    The brace fix alone settles these (the other views end in a params brace,
+    which the fix leaves alone).
+    """
+    return pairs(spark, sf_dir).select("row_id", F.concat(F.lit('"intent":'), json_quote(F.col("intent"))).alias("raw"))
+
+
 def latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``row_id, batch_id, inference_time_ms`` from ``events``."""
     ev = table(spark, sf_dir, "events", "event_id", "value")
