@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from parlance.plans import q_evaluate, q_logs, q_outputs, q_preprocess, q_profile, q_schema, q_splits  # noqa: F401
+from parlance.plans import (  # noqa: F401
+    q_evaluate,
+    q_features,
+    q_logs,
+    q_outputs,
+    q_preprocess,
+    q_profile,
+    q_schema,
+    q_splits,
+)
 from parlance.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
