@@ -10,6 +10,7 @@ from parlance.plans import (  # noqa: F401
     q_preprocess,
     q_profile,
     q_schema,
+    q_sinks,
     q_splits,
 )
 from parlance.plans.registry import ORACLES, QUERIES
