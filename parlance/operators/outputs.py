@@ -19,13 +19,13 @@ Output columns: ``settled_by`` (strict, braces, regex, scan, sentinel),
 
 from __future__ import annotations
 
-import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parlance.functions.json import json_quote, strict_json, variant_kind
-from parlance.functions.scan import scan_to_json
+from parlance.functions import scan
 
 # Patterns and sentinels of the original output handling.
 INTENT_PATTERN = r'"intent":\s*"([^"]+)"'
@@ -37,13 +37,10 @@ ERROR = "ERROR"
 PARSE_ERROR_MESSAGE = "invalid JSON"
 
 
-@F.pandas_udf(T.StringType())
-def _scan_udf(texts: pd.Series) -> pd.Series:
-    out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
-    todo = texts.notna()
-    if todo.any():
-        out[todo] = texts[todo].map(scan_to_json)
-    return out
+# The scanner module travels with the UDF (pickled by value), so executors
+# need only pandas, not this package on their path.
+cloudpickle.register_pickle_by_value(scan)
+_scan_udf = F.pandas_udf(scan.scan_batch, T.StringType())
 
 
 def _strip(c: Column) -> Column:

@@ -33,10 +33,24 @@ PAIR_SCHEMA = T.StructType(
 )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A small table stored as one row group is read by one task; the per-row
+    JSON work after it would then run on one core.  Large inputs already
+    have at least as many splits as cores, so for them this is a no-op (no
+    shuffle is added).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """One driver table; with ``columns`` only those are read."""
+    """One driver table; with ``columns`` only those are read (pruned scan)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    return spread(df.select(*columns) if columns else df)
 
 
 def scan_utterances(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

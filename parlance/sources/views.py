@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from parlance.config import scratch_path
 from parlance.functions.json import json_quote
-from parlance.sources.tables import table
+from parlance.sources.tables import spread, table
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
@@ -38,7 +38,7 @@ def written(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
         path = scratch_path(spark, name)
         build().write.mode("overwrite").parquet(path)
         _WRITTEN[key] = path
-    return spark.read.parquet(path)
+    return spread(spark.read.parquet(path))
 
 
 def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
