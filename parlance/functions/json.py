@@ -91,3 +91,14 @@ def member_text(json_text, key: str) -> Column:
     need JSON text quote them with :func:`json_quote` by kind.
     """
     return F.from_json(_c(json_text), f"struct<`{key}`:string>")[key]
+
+
+def exact_sum(c) -> Column:
+    """Sum of a DOUBLE column through DECIMAL(38,10): independent of the order
+    in which partitions are added, so every run gives the same double."""
+    return F.sum(_c(c).cast("decimal(38,10)")).cast("double")
+
+
+def exact_mean(c) -> Column:
+    """Mean from :func:`exact_sum` and the count of present values."""
+    return exact_sum(c) / F.count(_c(c))

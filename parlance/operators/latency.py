@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parlance.functions.json import exact_mean, exact_sum
 from parlance.operators.profile import order_statistics
 
 
@@ -17,7 +18,7 @@ def latency_summary(timed: DataFrame, intent: str = "intent", time_col: str = "i
     return timed.agg(
         F.count(F.lit(1)).alias("n"),
         F.round(F.avg(F.when(F.col(intent).eqNullSafe("PARSE_ERROR"), 0.0).otherwise(1.0)) * 100.0, 6).alias("success_pct"),
-        F.round(F.avg(time_col), 6).alias("mean_ms"),
+        F.round(exact_mean(time_col), 6).alias("mean_ms"),
         F.min(time_col).alias("min_ms"),
         F.max(time_col).alias("max_ms"),
     )
@@ -29,7 +30,7 @@ def latency_benchmark(times: DataFrame, time_col: str = "inference_time_ms") ->
     spark = times.sparkSession
     basic = times.agg(
         F.count(F.lit(1)).alias("n"),
-        F.avg(time_col).alias("mean"),
+        exact_mean(time_col).alias("mean"),
         F.min(time_col).alias("min"),
         F.max(time_col).alias("max"),
         F.stddev_pop(time_col).alias("std"),
@@ -38,7 +39,8 @@ def latency_benchmark(times: DataFrame, time_col: str = "inference_time_ms") ->
     median = None
     if n:
         long = times.select(F.lit("t").alias("column_name"), F.col(time_col).cast("double").alias("value"))
-        median = order_statistics(long, [("t", n // 2)])[("t", n // 2)]
+        bounds = {"t": (float(basic["min"]), float(basic["max"]))}
+        median = order_statistics(long, [("t", n // 2)], bounds=bounds)[("t", n // 2)]
     row = (n, basic["mean"], median, basic["min"], basic["max"], basic["std"])
     df = spark.createDataFrame([row], "n bigint, mean double, median double, min double, max double, std double")
     return df.select(
@@ -56,6 +58,6 @@ def batch_average_latency(times: DataFrame, batch: str = "batch_id", time_col: s
     """Per batch, total time divided by the number of texts."""
     return times.groupBy(batch).agg(
         F.count(F.lit(1)).alias("n_texts"),
-        F.round(F.sum(time_col), 6).alias("total_ms"),
-        F.round(F.sum(time_col) / F.count(F.lit(1)), 6).alias("avg_ms"),
+        F.round(exact_sum(time_col), 6).alias("total_ms"),
+        F.round(exact_mean(time_col), 6).alias("avg_ms"),
     )

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parlance.functions.json import exact_mean
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -157,11 +159,18 @@ def head_rows(df: DataFrame, n: int = 5, order_col: str = "row_id") -> DataFrame
 # --- exact quantiles by distributed selection ----------------------------------------
 
 
-def order_statistics(long: DataFrame, targets: list[tuple[str, int]], buckets: int = 4096, small: int = 100_000):
+def order_statistics(
+    long: DataFrame,
+    targets: list[tuple[str, int]],
+    buckets: int = 4096,
+    small: int = 100_000,
+    bounds: dict[str, tuple[float, float]] | None = None,
+):
     """Exact ``k``-th smallest (0-based) ``value`` per ``column_name``.
 
     ``long`` is ``(column_name, value double)`` without nulls; ``targets`` is
-    a short list of ``(column_name, k)``.  Returns ``{(column_name, k): value}``.
+    a short list of ``(column_name, k)``; ``bounds`` (min, max per column)
+    saves a pass when the caller has them.  Returns ``{(column_name, k): value}``.
     Each round scans ``long`` once, keeps only values inside every target's
     current interval and counts them per bucket (partial aggregation); the
     bucket holding rank ``k`` becomes the next interval.  A bucket with one
@@ -171,10 +180,11 @@ def order_statistics(long: DataFrame, targets: list[tuple[str, int]], buckets: i
     spark = long.sparkSession
     if not targets:
         return {}
-    bounds = {
-        r["column_name"]: (r["lo"], r["hi"])
-        for r in long.groupBy("column_name").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
-    }
+    if bounds is None:
+        bounds = {
+            r["column_name"]: (r["lo"], r["hi"])
+            for r in long.groupBy("column_name").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
+        }
     state = {(c, k): (bounds[c][0], bounds[c][1], k) for c, k in targets if c in bounds}
     done: dict[tuple[str, int], float] = {}
     schema = "column_name string, k bigint, lo double, hi double, krel bigint"
@@ -220,7 +230,7 @@ def numeric_describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     long = _long(df, cols, "double").where(F.col("value").isNotNull())
     basic = long.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("count"),
-        F.avg("value").alias("mean"),
+        exact_mean("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
@@ -236,7 +246,7 @@ def numeric_describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
             hi = min(lo + 1, n - 1)
             plan[(r["column_name"], p)] = (lo, hi, pos - lo)
             targets.update({(r["column_name"], lo), (r["column_name"], hi)})
-    stats = order_statistics(long, sorted(targets))
+    stats = order_statistics(long, sorted(targets), bounds={r["column_name"]: (r["min"], r["max"]) for r in basic})
     out = []
     for r in basic:
         c = r["column_name"]

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.config import DEFAULT
+from parlance.functions.json import exact_mean
 
 # Thresholds of the original diagnosis script.
 HIGH_LOSS, MODERATE_LOSS = 1.0, 0.5
@@ -21,7 +22,7 @@ PARSE_ERROR_LIMIT, MISSING_PARAMS_LIMIT = 30.0, 20.0
 def epoch_mean_loss(batch_loss: DataFrame) -> DataFrame:
     """Unweighted mean of batch losses per (epoch, split)."""
     return batch_loss.groupBy("epoch", "split").agg(
-        F.round(F.avg("loss"), 6).alias("mean_loss"), F.count(F.lit(1)).alias("n_batches")
+        F.round(exact_mean("loss"), 6).alias("mean_loss"), F.count(F.lit(1)).alias("n_batches")
     )
 
 

@@ -18,7 +18,7 @@ BATCH_LOSS = (
     "event_id AS step, value / 100 AS loss FROM events"
 )
 EPOCH_MEANS = (
-    "SELECT epoch, split, round(avg(loss), 6) AS mean_loss, count(*) AS n_batches FROM batch_loss GROUP BY epoch, split"
+    "SELECT epoch, split, round(CAST(sum(CAST(loss AS DECIMAL(38,10))) AS DOUBLE) / count(loss), 6) AS mean_loss, count(*) AS n_batches FROM batch_loss GROUP BY epoch, split"
 )
 HISTORY = (
     "SELECT epoch, max(CASE WHEN split = 'train' THEN mean_loss END) AS train_loss, "
@@ -127,7 +127,7 @@ def q_history_roundtrip(spark, sf_dir):
     with_views(
         f"""SELECT count(*) AS n,
        round(avg(CASE WHEN s.intent IS NOT DISTINCT FROM 'PARSE_ERROR' THEN 0.0 ELSE 1.0 END) * 100.0, 6) AS success_pct,
-       round(avg(e.value), 6) AS mean_ms, min(e.value) AS min_ms, max(e.value) AS max_ms
+       round(CAST(sum(CAST(e.value AS DECIMAL(38,10))) AS DOUBLE) / count(e.value), 6) AS mean_ms, min(e.value) AS min_ms, max(e.value) AS max_ms
 FROM ({SINGLE}) s JOIN events e ON e.event_id = s.row_id""",
         "predictions",
     ),
@@ -141,11 +141,11 @@ def q_latency_summary(spark, sf_dir):
 
 @register(
     "latency_benchmark",
-    """SELECT count(*) AS n, round(avg(value), 6) AS mean_ms,
+    """SELECT count(*) AS n, round(CAST(sum(CAST(value AS DECIMAL(38,10))) AS DOUBLE) / count(value), 6) AS mean_ms,
        (SELECT value FROM (SELECT value, row_number() OVER (ORDER BY value) - 1 AS k FROM events) x
         WHERE k = (SELECT count(*) // 2 FROM events)) AS median_ms,
        min(value) AS min_ms, max(value) AS max_ms, round(stddev_pop(value), 6) AS std_ms,
-       round(1000.0 / avg(value), 6) AS queries_per_second
+       round(1000.0 / (CAST(sum(CAST(value AS DECIMAL(38,10))) AS DOUBLE) / count(value)), 6) AS queries_per_second
 FROM events""",
 )
 def q_latency_benchmark(spark, sf_dir):

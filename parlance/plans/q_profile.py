@@ -193,7 +193,7 @@ def q_head_rows(spark, sf_dir):
 def _describe_sql(col: str) -> str:
     v = f"CAST({col} AS DOUBLE)"
     return (
-        f"SELECT '{col}' AS column_name, count({col}) AS count, round(avg({v}), 6) AS mean, "
+        f"SELECT '{col}' AS column_name, count({col}) AS count, round(CAST(sum(CAST({v} AS DECIMAL(38,10))) AS DOUBLE) / count({v}), 6) AS mean, "
         f"round(stddev_samp({v}), 6) AS std, round(min({v}), 6) AS min, "
         f"round(quantile_cont({v}, 0.25), 6) AS p25, round(quantile_cont({v}, 0.5), 6) AS p50, "
         f"round(quantile_cont({v}, 0.75), 6) AS p75, round(max({v}), 6) AS max FROM lineitem"
