@@ -123,29 +123,39 @@ def parse_outputs(df: DataFrame, text: str = "raw", mode: str = "single") -> Dat
 
 def _repair_stages(base: DataFrame, t: Column) -> DataFrame:
     """P13 and P14 natively; P15 in Python for the rows still failing."""
-    stripped = _strip(t)
-    opened = F.when(~stripped.startswith("{"), F.concat(F.lit("{"), t)).otherwise(t)
-    wrapped = F.when(~_strip(opened).endswith("}"), F.concat(opened, F.lit("}"))).otherwise(opened)
-    base = base.withColumn("_t13", wrapped).withColumn("_ok13", ~F.col("_ok0") & strict_json(F.col("_t13")))
+    # Each step is its own column: a later step refers to the earlier one
+    # instead of repeating its regex chain.
+    base = base.withColumn("_opened", F.when(~_strip(t).startswith("{"), F.concat(F.lit("{"), t)).otherwise(t))
+    base = base.withColumn(
+        "_t13",
+        F.when(~_strip(F.col("_opened")).endswith("}"), F.concat(F.col("_opened"), F.lit("}"))).otherwise(F.col("_opened")),
+    )
+    base = base.withColumn("_ok13", ~F.col("_ok0") & strict_json(F.col("_t13")))
     # P13 result must be truthy: a strict text wrapped in braces is an object,
     # falsy only when it has no keys.
     base = base.withColumn(
         "_empty13",
         F.col("_ok13") & (F.coalesce(F.size(F.json_object_keys(F.col("_t13"))), F.lit(0)) == 0),
     )
-    found = F.regexp_extract(t, INTENT_PATTERN, 1)
-    ptext = F.regexp_extract(t, PARAMS_PATTERN, 1)
-    p1 = F.regexp_replace(F.regexp_replace(F.regexp_replace(_strip(ptext), '"+$', ""), ",+$", ""), r"\s+$", "")
-    p2 = F.when(~p1.startswith("{"), F.concat(F.lit("{"), p1)).otherwise(p1)
-    missing = F.greatest(_count(p2, "{") - _count(p2, "}"), F.lit(0))
-    p3 = F.when(~p2.endswith("}"), F.concat(p2, F.repeat(F.lit("}"), missing))).otherwise(p2)
-    try14 = ~F.col("_ok0") & ~F.col("_ok13") & (found != "")
     base = base.withColumns(
         {
-            "_try14": try14,
-            "_intent14": found,
-            "_has_p14": ptext != "",
-            "_p14": p3,
+            "_intent14": F.regexp_extract(t, INTENT_PATTERN, 1),
+            "_ptext": F.regexp_extract(t, PARAMS_PATTERN, 1),
+        }
+    )
+    base = base.withColumn(
+        "_p1",
+        F.regexp_replace(F.regexp_replace(F.regexp_replace(_strip(F.col("_ptext")), '"+$', ""), ",+$", ""), r"\s+$", ""),
+    )
+    base = base.withColumn("_p2", F.when(~F.col("_p1").startswith("{"), F.concat(F.lit("{"), F.col("_p1"))).otherwise(F.col("_p1")))
+    missing = F.greatest(_count(F.col("_p2"), "{") - _count(F.col("_p2"), "}"), F.lit(0))
+    base = base.withColumn(
+        "_p14", F.when(~F.col("_p2").endswith("}"), F.concat(F.col("_p2"), F.repeat(F.lit("}"), missing))).otherwise(F.col("_p2"))
+    )
+    base = base.withColumns(
+        {
+            "_try14": ~F.col("_ok0") & ~F.col("_ok13") & (F.col("_intent14") != ""),
+            "_has_p14": F.col("_ptext") != "",
         }
     ).withColumn("_ok14", F.col("_try14") & (~F.col("_has_p14") | strict_json(F.col("_p14"))))
     # Only rows the native stages could not settle carry text into Python;
@@ -180,7 +190,8 @@ def _repair_stages(base: DataFrame, t: Column) -> DataFrame:
         .when(F.col("_try14"), F.lit("scan"))
     )
     return both.withColumns({"_result": result, "_settled": settled}).drop(
-        "_t13", "_ok13", "_empty13", "_try14", "_intent14", "_has_p14", "_p14", "_ok14", "_scan"
+        "_opened", "_t13", "_ok13", "_empty13", "_try14", "_intent14", "_ptext", "_p1", "_p2",
+        "_has_p14", "_p14", "_ok14", "_scan",
     )
 
 
