@@ -18,11 +18,16 @@ confirmed on full shingle sets; groups are the connected components.
    collision-corrected register estimate (five standard deviations below 0.8),
    then the exact check.
 4. Buckets whose members still carry different labels are searched further, so
-   a link between two non-centres is not lost: within small buckets between
-   differing labels (at most DENSE partners per row); members of larger buckets
-   are dealt to finer buckets that share a second band as well, and so on for
-   LEVELS levels, after which the few pairs of differing labels left are
-   compared. No bucket is capped.
+   a link between two non-centres is not lost. Small buckets are compared
+   between differing labels (at most DENSE partners per row). Members of larger
+   ones are written as changes (shingles lost, shingles added) against one
+   reference document, that of the least label. For sets A, B with changes of
+   weight g = (5 * lost + 4 * added) / 9, a similarity of 0.8 means that A and B
+   share at least g(A) + g(B) - |reference| / 9 changes. Where A is not linked to
+   the reference, g(A) > |reference| / 9, so B shares more than g(B) of its
+   changes with A: they meet in one of B's rarest changes, at a place after
+   which enough are left in both. A join on those finds every such pair without
+   comparing all. No bucket is capped.
 
 Rows: a null text is empty; repeated rows form one node; rows with one doc_id
 and different texts are one node (their groups meet); a null doc_id groups only
@@ -46,7 +51,6 @@ ROWS = 6
 BANDS = REGISTERS // ROWS
 EMPTY = 0xFFFF
 DENSE = 32
-LEVELS = 3
 PERCENT = 80
 
 
@@ -122,15 +126,25 @@ def _bands(batches):
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(rep)], ["key", "rep"])
 
 
-def _finer(batches):
-    """The other bands of each row, joined to the key of the bucket the row is in."""
-    for batch in batches:
-        if batch.num_rows:
-            keys = _keys(_matrix(batch.column(1)))
-            outer = batch.column(2).to_numpy().view(np.uint64)[:, None]
-            keys = mix(mix(keys) + outer * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
-            rep = np.repeat(batch.column(0).to_numpy(), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(rep)], ["key", "rep"])
+def _changes(ngram: int):
+    """Per member: what its set lost and gained against the reference's, as hashes and a weight."""
+
+    def run(batches):
+        for batch in batches:
+            found, weight, size = [], [], []
+            left = (s for block in blocks(batch.column(3), True) for _, s in row_sets(block, ngram))
+            right = (s for block in blocks(batch.column(4), True) for _, s in row_sets(block, ngram))
+            for ref, s in zip(left, right, strict=True):
+                lost, added = np.setdiff1d(ref, s, assume_unique=True), np.setdiff1d(s, ref, assume_unique=True)
+                found.append(np.concatenate([mix(lost), added]).view(np.int64))
+                weight.append(5 * len(lost) + 4 * len(added))
+                size.append(len(ref))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(found, pa.list_(pa.int64())), pa.array(weight, pa.int64()), pa.array(size, pa.int64())],
+                ["ref", "rep", "label", "changes", "ninths", "n_ref"],
+            )
+
+    return run
 
 
 def estimate_passes(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -171,66 +185,86 @@ def _confirm(ngram: int):
 
 
 class _Search:
+    """Links between the representatives (rep, n, regs)."""
+
     def __init__(self, docs: DataFrame, reps: DataFrame, ngram: int):
         self.docs, self.reps, self.ngram = docs, reps, ngram
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are confirmed links."""
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that pass the size filter and the register estimate."""
         side = lambda c, n, r: self.reps.select(F.col("rep").alias(c), F.col("n").alias(n), F.col("regs").alias(r))
-        likely = (
+        near = (
             pairs.distinct().join(side("b", "m", "t"), "b").join(side("a", "n", "s"), "a")
             .where(F.lit(100) * F.least("n", "m") >= F.lit(PERCENT) * F.greatest("n", "m"))
             .select("a", "b", "n", "s", "m", "t")
             .mapInArrow(_estimate, "a long, b long")
         )
-        likely = store(likely, "likely")
-        ids = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
-        texts = store(
-            self.docs.select("doc_id", "text").join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").distinct(),
-            "texts",
-        )
-        one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("s"))
-        two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("t"))
+        return store(near, "likely")
+
+    def confirmed(self, likely: DataFrame) -> DataFrame:
+        """Those of the pairs that are links, by their full sets."""
+        one = self.texts.select(F.col("doc_id").alias("a"), F.col("text").alias("s"))
+        two = self.texts.select(F.col("doc_id").alias("b"), F.col("text").alias("t"))
         found = likely.join(two, "b").join(one, "a").select("a", "b", "s", "t").mapInArrow(_confirm(self.ngram), "a long, b long")
         return store(found.distinct(), "confirmed")
 
     def groups(self) -> DataFrame:
         """(node, label) of the linked representatives."""
         rows = self.reps.select("rep", "regs").mapInArrow(_bands, "key long, rep long")
-        edges = None
-        for level in range(LEVELS):
-            buckets = store(
-                rows.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("center")).where("size > 1"), "buckets"
-            )
-            members = store(rows.join(buckets, "key"), "members")
-            stars = members.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b"))
-            edges = self._add(edges, self.links(stars))
-            labels = components(edges)
-            named = members.where("rep <> center").join(labels, F.col("node") == F.col("rep"), "left")
-            named = store(named.select("key", "rep", "size", F.coalesce("label", "rep").alias("label")), "named")
-            mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-            left = store(named.join(store(mixed.select("key"), "mixed"), "key"), "open")
-            last = level == LEVELS - 1
-            small = left if last else left.where(F.col("size") <= DENSE)
-            x = small.select("key", F.col("rep").alias("a"), F.col("label").alias("la"))
-            y = small.select("key", F.col("rep").alias("b"), F.col("label").alias("lb"))
-            more = self.links(x.join(y, "key").where("a < b and la <> lb").select("a", "b"))
-            if not more.isEmpty():
-                edges = self._add(edges, more)
-                labels = components(edges)
-            dense = left.where(F.col("size") > DENSE).select("key", "rep")
-            if last or dense.isEmpty():
-                return labels
-            rows = store(
-                dense.join(self.reps.select("rep", "regs"), "rep").select("rep", "regs", "key")
-                .mapInArrow(_finer, "key long, rep long").distinct(),
-                "finer",
-            )
-        return labels
+        buckets = store(
+            rows.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("center")).where("size > 1"), "buckets"
+        )
+        members = store(rows.join(buckets, "key"), "members")
+        stars = members.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b"))
+        likely = self.likely(stars)
+        ids = likely.select("a").union(likely.select("b")).union(members.where("size > 2").select("rep")).distinct()
+        self.texts = store(
+            self.docs.select("doc_id", "text").join(ids.withColumnRenamed("a", "doc_id"), "doc_id", "left_semi").distinct(),
+            "texts",
+        )
+        edges = self.confirmed(likely)
+        labels = components(edges)
+        named = members.where("size > 2").join(labels, F.col("node") == F.col("rep"), "left")
+        named = store(named.select("key", "rep", "size", "center", F.coalesce("label", "rep").alias("label")), "named")
+        mixed = named.groupBy("key").agg(F.min("label").alias("ref"), F.max("label").alias("hi")).where("ref <> hi")
+        mixed = store(mixed.select("key", "ref"), "mixed")
+        left = store(named.join(mixed, "key"), "open")
+        pairs = self._small(left.where((F.col("size") <= DENSE) & (F.col("rep") != F.col("center"))))
+        dense = left.where(F.col("size") > DENSE).select("ref", "rep", "label").distinct()
+        if not dense.isEmpty():
+            pairs = pairs.unionByName(self._large(dense))
+        more = self.confirmed(self.likely(pairs))
+        return labels if more.isEmpty() else components(edges.unionByName(more))
 
     @staticmethod
-    def _add(edges, more):
-        return more if edges is None else edges.unionByName(more)
+    def _small(members: DataFrame) -> DataFrame:
+        x = members.select("key", F.col("rep").alias("a"), F.col("label").alias("la"))
+        y = members.select("key", F.col("rep").alias("b"), F.col("label").alias("lb"))
+        return x.join(y, "key").where("a < b and la <> lb").select("a", "b")
+
+    def _large(self, members: DataFrame) -> DataFrame:
+        one = self.texts.select(F.col("doc_id").alias("ref"), F.col("text").alias("s"))
+        two = self.texts.select(F.col("doc_id").alias("rep"), F.col("text").alias("t"))
+        changed = store(
+            members.join(two, "rep").join(one, "ref").select("ref", "rep", "label", "s", "t")
+            .mapInArrow(_changes(self.ngram), "ref long, rep long, label long, changes array<long>, ninths long, n_ref long"),
+            "changed",
+        )
+        each = changed.withColumn("e", F.explode("changes")).drop("changes")
+        often = store(each.groupBy("ref", "e").agg(F.count("*").alias("often")), "often")
+        # Rarest first, in an order all members of a reference share; at most the shingles of two documents a row.
+        ranked = each.join(often, ["ref", "e"]).groupBy("ref", "rep", "label", "ninths", "n_ref").agg(
+            F.sort_array(F.collect_list(F.struct("often", "e"))).alias("r")
+        )
+        ranked = ranked.select("*", F.size("r").alias("n"), F.posexplode("r.e").alias("pos", "e")).drop("r")
+        ranked = store(ranked.withColumn("left", F.col("n") - F.col("pos")), "ranked")
+        x = ranked.where("label <> ref").select("ref", "e", "n_ref", *(F.col(c).alias(f"x_{c}") for c in ("rep", "label", "ninths", "left")))
+        y = ranked.where("9 * left > ninths").select("ref", "e", *(F.col(c).alias(f"y_{c}") for c in ("rep", "label", "ninths", "left")))
+        # Were this their first common change, so many could still be shared; and so many must be.
+        met = x.join(y, ["ref", "e"]).where("x_label <> y_label and 9 * least(x_left, y_left) >= x_ninths + y_ninths - n_ref")
+        met = met.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"))
+        direct = members.where("label <> ref").select(F.least("ref", "rep").alias("a"), F.greatest("ref", "rep").alias("b"))
+        return met.unionByName(direct)
 
 
 def near_duplicates(docs: DataFrame, ngram: int = 5) -> DataFrame:
