@@ -21,13 +21,13 @@ confirmed on full shingle sets; groups are the connected components.
    a link between two non-centres is not lost. Small buckets are compared
    between differing labels (at most DENSE partners per row). Members of larger
    ones are written as changes (shingles lost, shingles added) against one
-   reference document, that of the least label. For sets A, B with changes of
+   reference document, that of the largest group. For sets A, B with changes of
    weight g = (5 * lost + 4 * added) / 9, a similarity of 0.8 means that A and B
    share at least g(A) + g(B) - |reference| / 9 changes. Where A is not linked to
    the reference, g(A) > |reference| / 9, so B shares more than g(B) of its
-   changes with A: they meet in one of B's rarest changes, at a place after
-   which enough are left in both. A join on those finds every such pair without
-   comparing all. No bucket is capped.
+   changes with A: in an order common to all, rarer changes first, their first
+   common one is at a place after which enough are left in both. A join on those
+   finds every such pair without comparing all. No bucket is capped.
 
 Rows: a null text is empty; repeated rows form one node; rows with one doc_id
 and different texts are one node (their groups meet); a null doc_id groups only
@@ -127,22 +127,34 @@ def _bands(batches):
 
 
 def _changes(ngram: int):
-    """Per member: what its set lost and gained against the reference's, as hashes and a weight."""
+    """Per member and change against the reference: the change, the member's weight in ninths, changes left from here.
+
+    Changes are in an order all members share, those added first as they are
+    the rarer; places after which too few are left for a link are not written.
+    """
 
     def run(batches):
         for batch in batches:
-            found, weight, size = [], [], []
+            rows, change, ninths, size, remain = [], [], [], [], []
             left = (s for block in blocks(batch.column(3), True) for _, s in row_sets(block, ngram))
             right = (s for block in blocks(batch.column(4), True) for _, s in row_sets(block, ngram))
-            for ref, s in zip(left, right, strict=True):
+            refs, labels = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for i, (ref, s) in enumerate(zip(left, right, strict=True)):
                 lost, added = np.setdiff1d(ref, s, assume_unique=True), np.setdiff1d(s, ref, assume_unique=True)
-                found.append(np.concatenate([mix(lost), added]).view(np.int64))
-                weight.append(5 * len(lost) + 4 * len(added))
-                size.append(len(ref))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(found, pa.list_(pa.int64())), pa.array(weight, pa.int64()), pa.array(size, pa.int64())],
-                ["ref", "rep", "label", "changes", "ninths", "n_ref"],
-            )
+                weight = 5 * len(lost) + 4 * len(added)
+                after = np.arange(len(lost) + len(added), 0, -1)
+                use = 9 * after >= weight - len(ref) if refs[i] != labels[i] else 9 * after > weight
+                change.append(np.concatenate([added, mix(lost)])[use].view(np.int64))
+                rows.append(np.full(use.sum(), i))
+                ninths.append(np.full(use.sum(), weight))
+                size.append(np.full(use.sum(), len(ref)))
+                remain.append(after[use])
+            if rows:
+                at = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.take(at) for c in batch.columns[:3]), *(pa.array(np.concatenate(c)) for c in (change, ninths, size, remain))],
+                    ["ref", "rep", "label", "e", "ninths", "n_ref", "left"],
+                )
 
     return run
 
@@ -224,9 +236,13 @@ class _Search:
         )
         edges = self.confirmed(likely)
         labels = components(edges)
-        named = members.where("size > 2").join(labels, F.col("node") == F.col("rep"), "left")
-        named = store(named.select("key", "rep", "size", "center", F.coalesce("label", "rep").alias("label")), "named")
-        mixed = named.groupBy("key").agg(F.min("label").alias("ref"), F.max("label").alias("hi")).where("ref <> hi")
+        sized = labels.join(labels.groupBy("label").agg(F.count("*").alias("nodes")), "label")
+        named = members.where("size > 2").join(sized, F.col("node") == F.col("rep"), "left")
+        named = named.select("key", "rep", "size", "center", F.coalesce("label", "rep").alias("label"), F.coalesce("nodes", F.lit(1)).alias("nodes"))
+        named = store(named, "named")
+        # The label of the largest group is that of all buckets of a family of copies: one reference for them.
+        largest = F.max_by("label", F.struct("nodes", -F.col("label"))).alias("ref")
+        mixed = named.groupBy("key").agg(largest, F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
         mixed = store(mixed.select("key", "ref"), "mixed")
         left = store(named.join(mixed, "key"), "open")
         pairs = self._small(left.where((F.col("size") <= DENSE) & (F.col("rep") != F.col("center"))))
@@ -247,19 +263,11 @@ class _Search:
         two = self.texts.select(F.col("doc_id").alias("rep"), F.col("text").alias("t"))
         changed = store(
             members.join(two, "rep").join(one, "ref").select("ref", "rep", "label", "s", "t")
-            .mapInArrow(_changes(self.ngram), "ref long, rep long, label long, changes array<long>, ninths long, n_ref long"),
+            .mapInArrow(_changes(self.ngram), "ref long, rep long, label long, e long, ninths long, n_ref long, left long"),
             "changed",
         )
-        each = changed.withColumn("e", F.explode("changes")).drop("changes")
-        often = store(each.groupBy("ref", "e").agg(F.count("*").alias("often")), "often")
-        # Rarest first, in an order all members of a reference share; at most the shingles of two documents a row.
-        ranked = each.join(often, ["ref", "e"]).groupBy("ref", "rep", "label", "ninths", "n_ref").agg(
-            F.sort_array(F.collect_list(F.struct("often", "e"))).alias("r")
-        )
-        ranked = ranked.select("*", F.size("r").alias("n"), F.posexplode("r.e").alias("pos", "e")).drop("r")
-        ranked = store(ranked.withColumn("left", F.col("n") - F.col("pos")), "ranked")
-        x = ranked.where("label <> ref").select("ref", "e", "n_ref", *(F.col(c).alias(f"x_{c}") for c in ("rep", "label", "ninths", "left")))
-        y = ranked.where("9 * left > ninths").select("ref", "e", *(F.col(c).alias(f"y_{c}") for c in ("rep", "label", "ninths", "left")))
+        x = changed.where("label <> ref").select("ref", "e", "n_ref", *(F.col(c).alias(f"x_{c}") for c in ("rep", "label", "ninths", "left")))
+        y = changed.where("9 * left > ninths").select("ref", "e", *(F.col(c).alias(f"y_{c}") for c in ("rep", "label", "ninths", "left")))
         # Were this their first common change, so many could still be shared; and so many must be.
         met = x.join(y, ["ref", "e"]).where("x_label <> y_label and 9 * least(x_left, y_left) >= x_ninths + y_ninths - n_ref")
         met = met.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"))
