@@ -31,6 +31,7 @@ from parlance.llm.text import blocks, mix
 
 BLOCK = 64
 SHARD_SLOTS = 4096
+TASK_SLOTS = 200_000
 MAX_EPOCHS = 3
 WEIGHTS = (5, 2, 1)
 SEED = 20
@@ -147,6 +148,8 @@ def slots(spark, sources: list) -> DataFrame | None:
         drawn[r["no"]] = r["n"]
     before = Window.partitionBy("no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     numbered = draws.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long"))
+    # The rows are few and small but stand for all slots: deal them so that a task makes about TASK_SLOTS.
+    numbered = numbered.repartition(-(-total // TASK_SLOTS), "shard")
     return numbered.mapInArrow(_slots(n_blocks, quota, drawn), "shard long, no long, block long, epoch long")
 
 
