@@ -35,7 +35,7 @@ import hmac
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.llm.common import store
@@ -56,19 +56,21 @@ GIVEN = {
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLE = "|".join(t for g in TITLES.values() for t in g)
-#: (kind, what must occur in the text, pattern; the entity is the group named e).
+_KEYWORD = "|".join(f(w) for w in ("password", "passwd", "token", "secret", "apikey", "api_key") for f in (str, str.title, str.upper))
+#: (kind, one of these occurs in the text, pattern); the entity is the group named e. All but names need a digit.
 PATTERNS = tuple(
-    (kind, re.compile(need), re.compile(pattern))
-    for kind, need, pattern in (
-        ("email", "@", r"(?<![A-Za-z0-9._%+-])(?P<e>[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24})"),
-        ("secret", r"(?i:password|passwd|token|secret|api_?key)", r"(?i:\b(?:password|passwd|token|secret|api_?key))\s*[=:]\s*(?P<q>[\"']?)(?P<e>[A-Za-z0-9_+/-]*\d[A-Za-z0-9_+/-]*)(?P=q)"),
-        ("key", "AKIA", r"\b(?P<e>AKIA[A-Z0-9]{16})\b"),
-        ("ip", r"\d\.\d", rf"(?<![\d.])(?P<e>(?:{_OCTET}\.){{3}}{_OCTET})(?!\.?\d)"),
-        ("phone", r"\+\d", r"(?<![\w+])(?P<e>\+\d{1,3}(?:[ .-]?\(\d{2,4}\))?(?:[ .-]?\d{2,5}){2,4})(?![\w-])"),
-        ("card", r"\d{4}[ -]?\d{4}", r"(?<![\w.+-])(?P<e>\d{4}(?P<s>[ -]?)\d{4}(?P=s)\d{4}(?P=s)\d{1,7})(?![\w-]|\.\d)"),
-        ("name", rf"\b(?:{_TITLE})\b", rf"\b(?P<t>{_TITLE})(?:\.|(?<=Miss|Herr|Frau|г-жа)|(?<=г-н)|(?<=Madame|Señora)|(?<=Señor)|(?<=Monsieur)|(?<=Κα)|(?<=Κος)) (?P<e>[^\W\d_]+(?:[ -][^\W\d_]+)?)"),
+    (kind, needs, re.compile(pattern))
+    for kind, needs, pattern in (
+        ("email", ("@",), r"(?<![A-Za-z0-9._%+-])(?P<e>[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24})"),
+        ("secret", ("=", ":"), rf"\b(?:{_KEYWORD})\s*[=:]\s*(?P<q>[\"']?)(?P<e>[A-Za-z0-9_+/-]*\d[A-Za-z0-9_+/-]*)(?P=q)"),
+        ("key", ("AKIA",), r"\b(?P<e>AKIA[A-Z0-9]{16})\b"),
+        ("ip", (".",), rf"(?<![\d.])(?P<e>(?:{_OCTET}\.){{3}}{_OCTET})(?!\.?\d)"),
+        ("phone", ("+",), r"(?<![\w+])(?P<e>\+\d{1,3}(?:[ .-]?\(\d{2,4}\))?(?:[ .-]?\d{2,5}){2,4})(?![\w-])"),
+        ("card", ("",), r"(?<![\w.+-])(?P<e>\d{4}(?P<s>[ -]?)\d{4}(?P=s)\d{4}(?P=s)\d{1,7})(?![\w-]|\.\d)"),
+        ("name", tuple(t for g in TITLES.values() for t in g), rf"\b(?P<t>{_TITLE})(?:\.|(?<=Miss|Herr|Frau|г-жа)|(?<=Mme)|(?<=г-н)|(?<=Madame|Señora)|(?<=Señor)|(?<=Monsieur)|(?<=Κα)|(?<=Κος)) (?P<e>[^\W\d_]+(?:[ -][^\W\d_]+)?)"),
     )
 )
+_DIGIT = re.compile("[0-9]")
 
 
 def luhn(digits: str) -> int:
@@ -83,8 +85,9 @@ def luhn(digits: str) -> int:
 def mentions(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, entity) without overlaps, in order; names word by word, kind ``name m`` or ``name f``."""
     found = []
-    for kind, need, pattern in PATTERNS:
-        if not need.search(text):
+    digits = _DIGIT.search(text) is not None
+    for kind, needs, pattern in PATTERNS:
+        if not (digits or kind in ("name", "email")) or not any(x in text for x in needs):
             continue
         for m in pattern.finditer(text):
             e = m["e"]
@@ -216,21 +219,22 @@ def assign(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     man's and a woman's name words differ too.
     """
     schema = "family string, kind string, entity string, attempt int, surrogate string"
+    names = [x.split()[0] for x in schema.split(", ")]
     entities = store(
         docs.select("text").mapInArrow(_detect, "family string, kind string, entity string").distinct(), "entities"
     )
-    taken = entities.select("family", F.col("entity").alias("surrogate")).distinct()
+    taken = entities.select("family", "kind", "entity", F.lit(-1).alias("attempt"), F.col("entity").alias("surrogate"))
+    first = Window.partitionBy("family", "surrogate").orderBy("held", "kind", "entity")
     todo, done, attempt = entities, None, 0
     while not todo.isEmpty():
         tried = todo.select("family", "kind", "entity", F.lit(attempt).alias("attempt")).mapInArrow(_assign(key), schema)
-        tried = store(tried, "tried")
-        first = tried.groupBy("family", "surrogate").agg(F.min(F.struct("kind", "entity")).alias("of"))
-        free = tried.join(taken, ["family", "surrogate"], "left_anti").join(first, ["family", "surrogate"])
-        free = free.where(F.struct("kind", "entity") == F.col("of")).select(*(x.split()[0] for x in schema.split(", ")))
-        free = store(free, "free")
+        both = taken.withColumn("held", F.lit(0)).unionByName(tried.withColumn("held", F.lit(1)))
+        both = both.withColumn("free", F.row_number().over(first) == 1).where("held = 1")
+        both = store(both.select(*names, "free"), "tried")
+        free = both.where("free").select(*names)
         done = free if done is None else done.unionByName(free)
-        todo = store(todo.join(free, ["kind", "entity"], "left_anti"), "todo")
-        taken = taken.unionByName(free.select("family", "surrogate"))
+        todo = both.where("not free").select("family", "kind", "entity")
+        taken = taken.unionByName(free)
         attempt += 1
     return done if done is not None else docs.sparkSession.createDataFrame([], schema)
 
