@@ -238,7 +238,7 @@ def _cut(at: int, counted: int | None):
                 out = pa.RecordBatch.from_arrays(batch.columns[:n], batch.schema.names[:n]).take(pa.array(rows, pa.int64()))
                 out = out.set_column(at, batch.schema.names[at], pa.array(texts, pa.string()))
                 if counted is not None:
-                    out = out.set_column(counted, batch.schema.names[counted], pa.array([len(t) for t in texts], pa.int64()))
+                    out = out.set_column(counted, batch.schema.names[counted], pa.array([len(t) for t in texts], batch.schema.types[counted]))
                 yield out
 
     return run
@@ -255,8 +255,12 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("block", "words", "uses"))).alias("mix_p"), F.max("uses").alias("mix_max")
     )  # as long as the document
     plan = store(plan.where("mix_max > 0").select("mix_no", "mix_at", "mix_p"), "plan")
-    rows = _placed(docs.withColumn("mix_size", n_words("text")), mixture.sources, mixture.buckets, F.xxhash64("text"))
-    rows = rows.where("mix_size > 0").join(plan, ["mix_no", "mix_at"])
-    rows = rows.select(*docs.columns, F.col("mix_p.words").alias("mix_words"), F.col("mix_p.uses").alias("mix_uses"))
+    # Other columns ride along under names of their own, whatever they are called.
+    other = {c: f"other_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "source", "text")}
+    rows = docs.select("doc_id", "source", "text", *(F.col(f"`{c}`").alias(n) for c, n in other.items()), n_words("text").alias("mix_size"))
+    rows = _placed(rows, mixture.sources, mixture.buckets, F.xxhash64("text")).where("mix_size > 0").join(plan, ["mix_no", "mix_at"])
+    rows = rows.select(
+        *(F.col(other.get(c, c)).alias(c) for c in docs.columns), F.col("mix_p.words").alias("mix_words"), F.col("mix_p.uses").alias("mix_uses")
+    )
     counted = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
     return rows.mapInArrow(_cut(docs.columns.index("text"), counted), docs.schema)

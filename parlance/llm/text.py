@@ -54,9 +54,9 @@ _POWERS: dict = {}
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS:
-        _POWERS["t"] = powers(n), powers(n, pow(BASE, -1, 1 << 64))
-    return _POWERS["t"]
+    if n not in _POWERS:
+        _POWERS[n] = powers(n), powers(n, pow(BASE, -1, 1 << 64))
+    return _POWERS[n]
 
 
 class Block:
