@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -23,7 +23,6 @@ class Settings:
     random_seed: int = 42
     rare_threshold: int = 3
     batch_size: int = 16
-    num_epochs: int = 15
     max_input_length: int = 128
     max_output_length: int = 256
     vocab_size: int = 32128
@@ -31,11 +30,6 @@ class Settings:
     # Engine parameters (not from the original project).
     # Hex digits of the md5 used as the rank bucket; 16**k buckets per group.
     rank_bucket_hex_digits: int = 4
-    # Depth bound of the parameter flattening loop.
-    flatten_depth: int = 8
-    # Largest dimension table that may be broadcast, in rows.
-    broadcast_max_rows: int = 1_000_000
-    extra: dict = field(default_factory=dict)
 
     @property
     def val_ratio(self) -> float:
@@ -63,19 +57,20 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) a fresh folder is made under the system temporary directory.
+    Uses the context's checkpoint directory or the cluster's
+    ``spark.checkpoint.dir``. Only a local master, where driver and executors
+    are one process, may do without: there a fresh temporary folder is made.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    local = tempfile.mkdtemp(prefix="parlance-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local)
+    if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all nodes of {sc.master} share")
+        configured = tempfile.mkdtemp(prefix="parlance-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 

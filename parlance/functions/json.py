@@ -77,28 +77,3 @@ def py_type_name(kind: Column) -> Column:
     for k, name in PY_TYPE_NAMES.items():
         expr = expr.when(kind == k, F.lit(name))
     return expr
-
-
-def object_has_key(json_text, key: str) -> Column:
-    """True when the JSON object text has ``key`` at top level (null-safe false)."""
-    return F.coalesce(F.array_contains(F.json_object_keys(_c(json_text)), F.lit(key)), F.lit(False))
-
-
-def member_text(json_text, key: str) -> Column:
-    """Raw text of one member of a JSON object, key order of nested objects kept.
-
-    Strings come back unquoted (as Spark reads a string field); callers that
-    need JSON text quote them with :func:`json_quote` by kind.
-    """
-    return F.from_json(_c(json_text), f"struct<`{key}`:string>")[key]
-
-
-def exact_sum(c) -> Column:
-    """Sum of a DOUBLE column through DECIMAL(38,10): independent of the order
-    in which partitions are added, so every run gives the same double."""
-    return F.sum(_c(c).cast("decimal(38,10)")).cast("double")
-
-
-def exact_mean(c) -> Column:
-    """Mean from :func:`exact_sum` and the count of present values."""
-    return exact_sum(c) / F.count(_c(c))

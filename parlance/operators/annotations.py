@@ -184,13 +184,14 @@ def params_flag() -> Column:
 def quarantine_bad_rows(df: DataFrame, nli: str = "nli_output") -> DataFrame:
     """F8: rows whose annotation could not be used, with the reason.
 
-    ``bad_json`` (not strict JSON) and ``bad_element`` (first element of a
-    list is not an object).  The caller decides how many to show (the
+    ``bad_json`` (not strict JSON), ``bad_element`` (first element of a list
+    is not an object) and ``bad_params`` (its ``params`` is not an object).  The caller decides how many to show (the
     original printed those among the first five rows).
     """
     a = annotate(df, nli)
     reason = (
         F.when(~F.col("a_valid"), F.lit("bad_json"))
         .when(F.col("a_is_list") & ~F.col("a_elem_object"), F.lit("bad_element"))
+        .when(F.col("a_has_params") & (F.col("a_params_kind") != "OBJECT"), F.lit("bad_params"))
     )
     return a.withColumn("reason", reason).where(F.col("reason").isNotNull()).drop(*ANNOTATION_COLUMNS)

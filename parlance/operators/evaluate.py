@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parlance.config import DEFAULT
+from parlance.config import scratch_path
 from parlance.functions.json import strict_json, variant_kind
 
 
@@ -113,15 +113,20 @@ def bottom_intent_accuracy(per_intent: DataFrame, k: int = 5) -> DataFrame:
 def value_key(v: Column, kind: Column) -> Column:
     """Comparison key of a JSON leaf: Python ``==`` classes as text.
 
-    ``n:<double>`` numbers and booleans, ``s:<text>`` strings, ``l:<json>``
-    lists, ``null``; objects never reach here.
+    ``n:<number>`` numbers and booleans, ``s:<text>`` strings, ``l:<json>``
+    lists, ``null``; objects never reach here. Integers keep all their digits;
+    a float joins them only when it is integral and within 64 bits, where its
+    value is exact.
     """
+    number = F.try_variant_get(v, "$", "double")
+    whole = (F.floor(number).cast("double") == number) & (F.abs(number) < F.lit(9.2e18))
     return (
-        F.when(kind.isin("INT", "FLOAT"), F.concat(F.lit("n:"), F.try_variant_get(v, "$", "double").cast("string")))
-        .when(
-            kind == "BOOLEAN",
-            F.concat(F.lit("n:"), F.try_variant_get(v, "$", "boolean").cast("int").cast("double").cast("string")),
+        F.when(
+            kind == "INT",
+            F.concat(F.lit("n:"), F.coalesce(F.try_variant_get(v, "$", "decimal(38,0)").cast("string"), number.cast("string"))),
         )
+        .when(kind == "FLOAT", F.concat(F.lit("n:"), F.when(whole, number.cast("bigint").cast("string")).otherwise(number.cast("string"))))
+        .when(kind == "BOOLEAN", F.concat(F.lit("n:"), F.try_variant_get(v, "$", "boolean").cast("int").cast("string")))
         .when(kind == "STRING", F.concat(F.lit("s:"), F.try_variant_get(v, "$", "string")))
         .when(kind == "ARRAY", F.concat(F.lit("l:"), F.to_json(v)))
         .when(kind == "NULL", F.lit("null"))
@@ -142,24 +147,20 @@ def params_variant(text) -> tuple[Column, Column]:
     return eligible, F.when(p.isNull(), F.parse_json(F.lit("{}"))).otherwise(p)
 
 
-def flatten_params(
-    df: DataFrame, id_cols: list[str], v: str = "v", depth: int | None = None, stop_early: bool = True
-) -> DataFrame:
+def flatten_params(df: DataFrame, id_cols: list[str], v: str = "v") -> DataFrame:
     """Nested objects to dotted paths, one row per leaf.
 
-    Output ``id_cols, path, kind, vkey`` (comparison key).  Level by level:
-    each level explodes the objects of the previous one; empty objects give
-    no row.  An object still present after ``depth`` levels is kept as a row
-    with kind ``OBJECT`` and null ``vkey`` (visible, never dropped).
-
-    With ``stop_early`` the loop ends at the first level without objects (one
-    small emptiness check per level); callers should persist ``df`` so that
-    the levels read it from cache rather than from the source.
+    Output ``id_cols, path, kind, vkey`` (comparison key) and ``level``.  Each
+    level explodes the objects of the previous one, for as long as there are
+    any: the depth is that of the data.  Empty objects give no row; paths that
+    collide (``{"a.b": 1, "a": {"b": 2}}``) give one row each, at different
+    levels.  The objects left after each level are stored, so no level is
+    computed twice.
     """
-    d = DEFAULT.flatten_depth if depth is None else depth
+    spark = df.sparkSession
     frontier = df.select(*id_cols, F.lit(None).cast("string").alias("_prefix"), F.col(v).alias("_v"))
-    leaves = None
-    for level in range(d):
+    leaves, level = None, 0
+    while True:
         exploded = frontier.select(
             *id_cols,
             "_prefix",
@@ -172,51 +173,55 @@ def flatten_params(
             "_v",
             variant_kind("_v").alias("kind"),
         )
-        last = level == d - 1
-        leaf = exploded if last else exploded.where(F.col("kind") != "OBJECT")
-        leaf = leaf.select(
-            *id_cols,
-            F.col("_prefix").alias("path"),
-            "kind",
-            F.when(F.col("kind") != "OBJECT", value_key(F.col("_v"), F.col("kind"))).alias("vkey"),
+        leaf = exploded.where(F.col("kind") != "OBJECT").select(
+            *id_cols, F.col("_prefix").alias("path"), "kind", value_key(F.col("_v"), F.col("kind")).alias("vkey"), F.lit(level).alias("level")
         )
         leaves = leaf if leaves is None else leaves.unionByName(leaf)
-        if last:
-            break
-        frontier = exploded.where(F.col("kind") == "OBJECT").select(*id_cols, "_prefix", "_v")
-        if stop_early and frontier.isEmpty():
-            break
-    return leaves
+        path = scratch_path(spark, "open_objects")
+        exploded.where(F.col("kind") == "OBJECT").select(*id_cols, "_prefix", F.to_json("_v").alias("_v")).write.parquet(path)
+        stored = spark.read.parquet(path)
+        if stored.isEmpty():
+            return leaves
+        frontier = stored.withColumn("_v", F.parse_json("_v"))
+        level += 1
 
 
-def param_counts(aligned: DataFrame) -> DataFrame:
-    """J3 + A21 inputs: total correct, predicted and reference leaves.
+def side_leaves(aligned: DataFrame) -> DataFrame:
+    """Leaves of both sides of the eligible pairs: ``row_id, side, path, kind, vkey``.
 
-    Only pairs eligible on both sides count.  ``correct`` comes from the
-    flattened prediction joined with the flattened reference on
-    (row_id, path) with equal comparison keys.
+    Both sides are flattened in one pass, tagged ``p`` (prediction) or ``r``
+    (reference); only pairs eligible on both sides count.
     """
     pe, pv = params_variant("pred_text")
     re_, rv = params_variant("ref_text")
-    pairs = (
-        aligned.select("row_id", pe.alias("_pe"), pv.alias("pv"), re_.alias("_re"), rv.alias("rv"))
-        .where(F.col("_pe") & F.col("_re"))
-        .select("row_id", "pv", "rv")
-        .persist()
+    sides = F.array(
+        F.struct(F.lit("p").alias("side"), F.to_json(pv).alias("v")), F.struct(F.lit("r").alias("side"), F.to_json(rv).alias("v"))
+    )
+    both = aligned.where(pe & re_).select("row_id", F.inline(sides))
+    path = scratch_path(aligned.sparkSession, "eligible_params")
+    both.write.parquet(path)
+    stored = aligned.sparkSession.read.parquet(path).withColumn("v", F.parse_json("v"))
+    return flatten_params(stored, ["row_id", "side"])
+
+
+def matched_leaves(aligned: DataFrame) -> DataFrame:
+    """Per (row_id, path) the leaf of each side and whether they are equal: one grouping, no join.
+
+    Of colliding paths the deepest leaf counts, so a path counts once.
+    """
+    p, r = F.col("side") == "p", F.col("side") == "r"
+    return (
+        side_leaves(aligned).groupBy("row_id", "path")
+        .agg(F.max_by("vkey", F.when(p, F.col("level"))).alias("pkey"), F.max_by("vkey", F.when(r, F.col("level"))).alias("rkey"))
+        .withColumn("equal", F.coalesce(F.col("pkey") == F.col("rkey"), F.lit(False)))
     )
-    pf = flatten_params(pairs, ["row_id"], "pv")
-    rf = flatten_params(pairs, ["row_id"], "rv")
-    matched = pf.alias("p").join(
-        rf.alias("r"),
-        (F.col("p.row_id") == F.col("r.row_id"))
-        & (F.col("p.path") == F.col("r.path"))
-        & F.col("p.vkey").eqNullSafe(F.col("r.vkey")),
-        "inner",
+
+
+def param_counts(aligned: DataFrame) -> DataFrame:
+    """J3 + A21 inputs: total correct, predicted and reference leaves."""
+    return matched_leaves(aligned).agg(
+        F.count_if("equal").alias("correct"), F.count("pkey").alias("predicted"), F.count("rkey").alias("reference")
     )
-    correct = matched.agg(F.count(F.lit(1)).alias("correct"))
-    predicted = pf.agg(F.count(F.lit(1)).alias("predicted"))
-    reference = rf.agg(F.count(F.lit(1)).alias("reference"))
-    return correct.crossJoin(predicted).crossJoin(reference)
 
 
 def param_prf(counts: DataFrame) -> DataFrame:

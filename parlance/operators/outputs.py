@@ -8,8 +8,9 @@
   else the sentinel ``PARSE_ERROR`` with the raw text and an error (P16).
   A repair result that is an empty object counts as a failure.
 * ``batch``    strict JSON, else ``UNSUPPORTED`` with the raw text; no repair.
-* ``fallback`` strict JSON, else the intent by pattern or ``PARSE_ERROR``,
-  params ``{}`` (P12).
+* ``fallback`` strict JSON, where an object without intent has ``N/A`` and one
+  without params ``{}``; else the intent by pattern or ``PARSE_ERROR``, params
+  ``{}`` and an error. The raw text is on every row (P12).
 
 Output columns: ``settled_by`` (strict, braces, regex, scan, sentinel),
 ``result`` (JSON text of the result value), ``is_object``, ``intent``,
@@ -24,8 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.functions.json import json_quote, strict_json, variant_kind
+from parlance.config import scratch_path
 from parlance.functions import scan
+from parlance.functions.json import json_quote, strict_json, variant_kind
 
 # Patterns and sentinels of the original output handling.
 INTENT_PATTERN = r'"intent":\s*"([^"]+)"'
@@ -35,16 +37,17 @@ UNSUPPORTED = "UNSUPPORTED"
 UNKNOWN = "UNKNOWN"
 ERROR = "ERROR"
 PARSE_ERROR_MESSAGE = "invalid JSON"
+NO_INTENT = "N/A"
 
 
 # The scanner module travels with the UDF (pickled by value), so executors
-# need only pandas, not this package on their path.
+# need only pyarrow, not this package on their path.
 cloudpickle.register_pickle_by_value(scan)
-_scan_udf = F.pandas_udf(scan.scan_batch, T.StringType())
 
 
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Without white space at both ends, as Python's ``strip`` has it (Unicode too)."""
+    return F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
 def _count(c: Column, ch: str) -> Column:
@@ -104,13 +107,19 @@ def parse_outputs(df: DataFrame, text: str = "raw", mode: str = "single") -> Dat
     else:
         found = F.regexp_extract(t, INTENT_PATTERN, 1)
         sentinel_intent = F.when(found != "", found).otherwise(F.lit(PARSE_ERROR))
-        sentinel_error = F.lit(None).cast("string")
-    keep_raw = F.lit(mode != "fallback")
+        sentinel_error = F.lit(PARSE_ERROR_MESSAGE)
+        out = out.withColumns(
+            {
+                "intent": F.when(F.col("is_object") & ~F.col("has_intent"), F.lit(NO_INTENT)).otherwise(F.col("intent")),
+                "params": F.when(F.col("is_object"), F.coalesce("params", F.lit("{}"))),
+            }
+        )
+    keep_raw = failed | F.lit(mode == "fallback")
     out = out.withColumns(
         {
             "intent": F.when(failed, sentinel_intent).otherwise(F.col("intent")),
             "params": F.when(failed, F.lit("{}")).otherwise(F.col("params")),
-            "raw_output": F.when(failed & keep_raw, t),
+            "raw_output": F.when(keep_raw, t),
             "error": F.when(failed, sentinel_error),
             "result": F.coalesce(
                 F.col("_result"),
@@ -158,40 +167,41 @@ def _repair_stages(base: DataFrame, t: Column) -> DataFrame:
             "_has_p14": F.col("_ptext") != "",
         }
     ).withColumn("_ok14", F.col("_try14") & (~F.col("_has_p14") | strict_json(F.col("_p14"))))
-    # Only rows the native stages could not settle carry text into Python;
-    # every other row passes null, so the Arrow batches stay nearly empty and
-    # the plan stays one pass (no filter + union that would recompute the
-    # stages for each branch).
-    needs_scan = F.col("_try14") & ~F.col("_ok14")
-    both = base.withColumn("_scan_in", F.when(needs_scan, F.col("_p14"))).withColumn(
-        "_scan", _scan_udf(F.col("_scan_in"))
-    ).drop("_scan_in")
+    # The native stages are stored, so they run once; of the stored rows only
+    # those they could not settle go through Python, the others pass by.
+    # mapInArrow is no expression: a filter on the result cannot duplicate it.
+    base = base.withColumn("_needs_scan", F.coalesce(F.col("_try14") & ~F.col("_ok14"), F.lit(False)))
+    path = scratch_path(base.sparkSession, "repair_stages")
+    base.write.mode("overwrite").parquet(path)
+    stored = base.sparkSession.read.schema(base.schema).parquet(path)
+    schema = T.StructType([*stored.schema.fields, T.StructField("_scan", T.StringType())])
+    scanned = stored.where("_needs_scan").mapInArrow(scan.scan_batches, schema)
+    both = stored.where("not _needs_scan").withColumn("_scan", F.lit(None).cast("string")).unionByName(scanned)
     repaired_params = (
         F.when(F.col("_ok14") & ~F.col("_has_p14"), F.lit("{}"))
         .when(F.col("_ok14"), F.col("_p14"))
         .otherwise(F.col("_scan"))
     )
     repaired = F.concat(F.lit('{"intent":'), json_quote(F.col("_intent14")), F.lit(',"params":'), repaired_params, F.lit("}"))
-    # Both start from the Python output, so a filter on them cannot be pushed
-    # below the Arrow stage and stays a cheap test of computed columns.
+    # A row the scanner could not read ends at the sentinel.
+    unread = F.col("_needs_scan") & F.col("_scan").isNull()
     result = (
         F.when(F.col("_scan").isNotNull(), repaired)
         .when(F.col("_ok0"), t)
         .when(F.col("_ok13") & ~F.col("_empty13"), F.col("_t13"))
-        .when(F.col("_ok13"), F.lit(None))
+        .when(F.col("_ok13") | unread, F.lit(None))
         .when(F.col("_try14"), repaired)
     )
     settled = (
         F.when(F.col("_scan").isNotNull(), F.lit("scan"))
         .when(F.col("_ok0"), F.lit("strict"))
         .when(F.col("_ok13") & ~F.col("_empty13"), F.lit("braces"))
-        .when(F.col("_ok13"), F.lit(None))
+        .when(F.col("_ok13") | unread, F.lit(None))
         .when(F.col("_ok14"), F.lit("regex"))
-        .when(F.col("_try14"), F.lit("scan"))
     )
     return both.withColumns({"_result": result, "_settled": settled}).drop(
         "_opened", "_t13", "_ok13", "_empty13", "_try14", "_intent14", "_ptext", "_p1", "_p2",
-        "_has_p14", "_p14", "_ok14", "_scan",
+        "_has_p14", "_p14", "_ok14", "_scan", "_needs_scan",
     )
 
 
@@ -222,7 +232,7 @@ def retype_string_params(m: Column) -> Column:
 
 def response_record(parsed: DataFrame, time_ms: Column | None = None) -> DataFrame:
     """Intent (``UNKNOWN`` when missing, ``ERROR`` when the result is not an
-    object), params as a string map, optional raw output and error, time."""
+    object), params as a string map, optional raw output and error, time (0 for ``ERROR``)."""
     intent = (
         F.when(~F.col("is_object"), F.lit(ERROR))
         .when(~F.col("has_intent"), F.lit(UNKNOWN))
@@ -231,7 +241,7 @@ def response_record(parsed: DataFrame, time_ms: Column | None = None) -> DataFra
     pmap = F.when(F.col("is_object"), F.coalesce(params_to_string_map(F.col("params")), F.create_map().cast("map<string,string>")))
     pmap = F.coalesce(pmap, F.create_map().cast("map<string,string>"))
     error = F.when(~F.col("is_object"), F.lit("result is not an object")).otherwise(F.col("error"))
-    t = (time_ms if time_ms is not None else F.lit(0.0)).cast("float")
+    t = F.when(~F.col("is_object"), F.lit(0.0)).otherwise(time_ms if time_ms is not None else F.lit(0.0)).cast("float")
     return parsed.withColumns(
         {
             "resp_intent": intent,
@@ -249,8 +259,8 @@ def map_as_text(m: Column) -> Column:
 
 
 def drop_blank_utterances(df: DataFrame, text: str = "text") -> DataFrame:
-    """rows whose text is not empty after stripping whitespace."""
-    return df.where(F.coalesce(~F.col(text).rlike(r"^\s*$"), F.lit(False)))
+    """rows whose text is not empty after stripping whitespace (Unicode blanks too)."""
+    return df.where(F.coalesce(~F.col(text).rlike(r"(?U)^[\s\x1c-\x1f]*$"), F.lit(False)))
 
 
 # The issue kinds of the original diagnosis, in its order.
@@ -262,7 +272,12 @@ def classify_output_issue(parsed: DataFrame, utterance: str = "transcript") -> D
     """first match of parse failure, bad intent, missing params for a
     timer utterance, else ok."""
     intent = F.when(F.col("has_intent"), F.col("intent")).otherwise(F.lit(UNKNOWN))
-    no_params = F.col("params").isNull() | F.col("params").isin("{}", "[]", '""', "null", "0", "false")
+    # What Python counts as false: empty containers and texts, null, false and zero in any spelling.
+    no_params = (
+        F.col("params").isNull()
+        | F.col("params").isin("{}", "[]", '""', "null", "false")
+        | F.col("params").rlike(r"^-?0+(\.0*)?([eE][+-]?\d+)?$")
+    )
     issue = (
         F.when(F.col("raw_output").isNotNull() | F.col("error").isNotNull() | ~F.col("is_object"), F.lit("json_parse_error"))
         .when(intent.isin(*BAD_INTENTS), F.lit("wrong_intent"))
@@ -273,7 +288,7 @@ def classify_output_issue(parsed: DataFrame, utterance: str = "transcript") -> D
 
 
 def issue_summary(classified: DataFrame) -> DataFrame:
-    """Count and percent of all rows per issue kind; kinds with no rows kept."""
+    """Count and percent of all rows per issue kind; kinds with no rows kept; null percent of no rows."""
     spark = classified.sparkSession
     kinds = spark.createDataFrame([(k,) for k in ISSUE_KINDS], "issue string")
     counts = classified.groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
@@ -284,7 +299,7 @@ def issue_summary(classified: DataFrame) -> DataFrame:
         .select(
             "issue",
             F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"),
-            F.round(F.coalesce(F.col("n"), F.lit(0)) * 100.0 / F.col("total"), 6).alias("pct"),
+            F.try_divide(F.coalesce(F.col("n"), F.lit(0)) * F.lit(100.0), F.col("total").cast("double")).alias("pct"),
         )
     )
 

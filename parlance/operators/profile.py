@@ -19,8 +19,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.functions.json import exact_mean
-
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -57,18 +55,25 @@ def dataset_shape(df: DataFrame) -> DataFrame:
     return schema.crossJoin(n).withColumn("n_cols", F.lit(len(cols)).cast("bigint"))
 
 
+def _present(df: DataFrame, c: str):
+    """The column with NaN as null and one zero: what counts as a value."""
+    if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(c), F.col(c) + F.lit(0.0).cast(df.schema[c].dataType))
+    return F.col(c)
+
+
 def _long(df: DataFrame, cols: list[str], value_type: str = "string") -> DataFrame:
     """Unpivot ``cols`` to ``(column_name, value)``; values cast to one type."""
     return df.select(
         F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast(value_type).alias("value")) for c in cols])
+            F.array(*[F.struct(F.lit(c).alias("column_name"), _present(df, c).cast(value_type).alias("value")) for c in cols])
         ).alias("kv")
     ).select("kv.column_name", "kv.value")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    """A2: missing values per column, only columns that have some."""
-    sums = df.agg(*[F.sum(F.col(c).isNull().cast("bigint")).alias(c) for c in df.columns])
+    """A2: missing values (null, NaN) per column, only columns that have some."""
+    sums = df.agg(*[F.sum(_present(df, c).isNull().cast("bigint")).alias(c) for c in df.columns])
     stacked = sums.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_null")) for c in df.columns])).alias("kv")
     ).select("kv.column_name", "kv.n_null")
@@ -122,7 +127,7 @@ def text_column_profile(df: DataFrame, min_avg: float = 10.0) -> DataFrame:
     avgs = df.agg(*[F.avg(F.length(c).cast("double")).alias(c) for c in cols])
     stacked = avgs.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("avg_length")) for c in cols])).alias("kv")
-    ).select("kv.column_name", F.round("kv.avg_length", 6).alias("avg_length"))
+    ).select("kv.column_name", "kv.avg_length")
     return stacked.where(F.col("avg_length") > min_avg)
 
 
@@ -189,18 +194,21 @@ def order_statistics(
     done: dict[tuple[str, int], float] = {}
     schema = "column_name string, k bigint, lo double, hi double, krel bigint"
     while state:
-        tdf = F.broadcast(spark.createDataFrame([(c, k, lo, hi, kr) for (c, k), (lo, hi, kr) in state.items()], schema))
-        inside = long.join(tdf, "column_name").where(F.col("value").between(F.col("lo"), F.col("hi")))
+        # Ranks that still share an interval share its histogram; only the short list of ranks is joined to it.
+        spans = sorted({(c, lo, hi) for (c, _), (lo, hi, _) in state.items()})
+        sdf = F.broadcast(spark.createDataFrame(spans, "column_name string, lo double, hi double"))
+        tdf = spark.createDataFrame([(c, k, lo, hi, kr) for (c, k), (lo, hi, kr) in state.items()], schema)
+        inside = long.join(sdf, "column_name").where(F.col("value").between(F.col("lo"), F.col("hi")))
         span = F.col("hi") - F.col("lo")
         b = F.when(span == 0, F.lit(0)).otherwise(
             F.least(F.floor((F.col("value") - F.col("lo")) / span * buckets), F.lit(buckets - 1))
         )
-        agg = inside.groupBy("column_name", "k", "krel", b.alias("b")).agg(
+        agg = inside.groupBy("column_name", "lo", "hi", b.alias("b")).agg(
             F.count(F.lit(1)).alias("n"), F.min("value").alias("bmin"), F.max("value").alias("bmax")
         )
-        w = Window.partitionBy("column_name", "k").orderBy("b")
+        w = Window.partitionBy("column_name", "lo", "hi").orderBy("b")
         agg = agg.withColumn("before", F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        chosen = agg.where((F.col("before") <= F.col("krel")) & (F.col("krel") < F.col("before") + F.col("n"))).collect()
+        chosen = agg.join(F.broadcast(tdf), ["column_name", "lo", "hi"]).where((F.col("before") <= F.col("krel")) & (F.col("krel") < F.col("before") + F.col("n"))).collect()
         nxt = {}
         finals = []
         for r in chosen:
@@ -230,7 +238,7 @@ def numeric_describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     long = _long(df, cols, "double").where(F.col("value").isNotNull())
     basic = long.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("count"),
-        exact_mean("value").alias("mean"),
+        F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),

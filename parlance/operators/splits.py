@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.config import DEFAULT, Settings
-from parlance.functions.joins import join_small
 from parlance.operators.positions import bucket_offsets, hash_bucket, rank_with_offsets, seeded_key
 
 
@@ -38,7 +37,7 @@ def rare_intents(df: DataFrame, threshold: int | None = None, intent: str = "int
 def anti_join_rare(df: DataFrame, threshold: int | None = None, intent: str = "intent") -> DataFrame:
     """Drop rows of rare intents and rows without an intent."""
     rare = rare_intents(df, threshold, intent)
-    return join_small(df.where(F.col(intent).isNotNull()), rare, intent, "left_anti")
+    return df.where(F.col(intent).isNotNull()).join(rare, intent, "left_anti")
 
 
 def _largest_remainder(counts: DataFrame, c: str, n_keep: str, n: str, out: str, intent: str) -> DataFrame:
@@ -88,7 +87,7 @@ def stratified_split(df: DataFrame, settings: Settings = DEFAULT, intent: str =
     offsets = bucket_offsets(kept, [intent]).persist()
     counts = offsets.groupBy(intent).agg(F.sum("_n").cast("bigint").alias("c"))
     quotas = split_quotas(counts.where(F.col("c") >= settings.rare_threshold), settings, intent)
-    table = join_small(offsets, quotas.select(intent, "q_tv", "q_train"), intent, "inner")
+    table = offsets.join(quotas.select(intent, "q_tv", "q_train"), intent)
     ranked = rank_with_offsets(kept, table, [intent], ["_key", "row_id"], rank_col="_rank")
     split = (
         F.when(F.col("_rank") <= F.col("q_train"), F.lit("train"))

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.config import DEFAULT
-from parlance.functions.json import exact_mean
 
 # Thresholds of the original diagnosis script.
 HIGH_LOSS, MODERATE_LOSS = 1.0, 0.5
@@ -22,7 +21,7 @@ PARSE_ERROR_LIMIT, MISSING_PARAMS_LIMIT = 30.0, 20.0
 def epoch_mean_loss(batch_loss: DataFrame) -> DataFrame:
     """Unweighted mean of batch losses per (epoch, split)."""
     return batch_loss.groupBy("epoch", "split").agg(
-        F.round(exact_mean("loss"), 6).alias("mean_loss"), F.count(F.lit(1)).alias("n_batches")
+        F.avg("loss").alias("mean_loss"), F.count(F.lit(1)).alias("n_batches")
     )
 
 
@@ -70,7 +69,7 @@ def loss_delta(hist: DataFrame) -> DataFrame:
     )
     return last.select(
         "n_epochs",
-        F.when(F.col("n_epochs") > 2, F.round("delta", 6)).alias("last_delta"),
+        F.when(F.col("n_epochs") > 2, F.col("delta")).alias("last_delta"),
         status.alias("status"),
     )
 
@@ -79,14 +78,14 @@ def generalization_gap(hist: DataFrame) -> DataFrame:
     """Val minus train per epoch with its reading."""
     gap = F.col("val_loss") - F.col("train_loss")
     status = F.when(gap > OVERFIT_GAP, "overfitting").when(gap < GOOD_GAP, "good").otherwise("ok")
-    return hist.select("epoch", F.round(gap, 6).alias("gap"), status.alias("status"))
+    return hist.select("epoch", gap.alias("gap"), status.alias("status"))
 
 
 def final_gap(hist: DataFrame) -> DataFrame:
     """Gap of the last epoch."""
     return hist.agg(
         F.max("epoch").alias("epoch"),
-        F.round(F.max_by(F.col("val_loss") - F.col("train_loss"), "epoch"), 6).alias("final_gap"),
+        F.max_by(F.col("val_loss") - F.col("train_loss"), "epoch").alias("final_gap"),
     )
 
 
@@ -113,14 +112,13 @@ def diagnosis_flags(hist: DataFrame, issues: DataFrame) -> DataFrame:
 
 
 def history_document(hist: DataFrame) -> DataFrame:
-    """S8 sink side: one row of arrays ordered by epoch (epochs are few)."""
-    rows = F.array_sort(F.collect_list(F.struct("epoch", "train_loss", "val_loss")))
-    return hist.agg(rows.alias("_r")).select(
-        F.col("_r.train_loss").alias("train_loss"), F.col("_r.val_loss").alias("val_loss")
-    )
+    """S8 sink side: one row with an array per metric (losses, learning rate), ordered by epoch (epochs are few)."""
+    metrics = [c for c in hist.columns if c != "epoch"]
+    rows = F.array_sort(F.collect_list(F.struct("epoch", *metrics)))
+    return hist.agg(rows.alias("_r")).select(*(F.col(f"_r.{c}").alias(c) for c in metrics))
 
 
 def history_rows(doc: DataFrame) -> DataFrame:
     """S8 scan side: arrays per metric back to one row per epoch."""
-    z = doc.select(F.posexplode(F.arrays_zip("train_loss", "val_loss")).alias("pos", "z"))
-    return z.select((F.col("pos") + 1).alias("epoch"), F.col("z.train_loss").alias("train_loss"), F.col("z.val_loss").alias("val_loss"))
+    z = doc.select(F.posexplode(F.arrays_zip(*doc.columns)).alias("pos", "z"))
+    return z.select((F.col("pos") + 1).alias("epoch"), *(F.col(f"z.{c}").alias(c) for c in doc.columns))

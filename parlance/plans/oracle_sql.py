@@ -191,22 +191,23 @@ SELECT p.row_id, pv, rv FROM ({eligible_sql('pred_text', 'pv')}) p JOIN ({eligib
 """
 
 
-def flat_sql(col: str) -> str:
+def flat_sql(col: str, source: str = "eligible_pairs") -> str:
     kind = (
         "CASE WHEN t.type IN ('BIGINT', 'UBIGINT', 'HUGEINT') THEN 'INT' WHEN t.type = 'DOUBLE' THEN 'FLOAT' "
         "WHEN t.type = 'VARCHAR' THEN 'STRING' ELSE t.type END"
     )
     vkey = (
-        "CASE WHEN t.type IN ('BIGINT', 'UBIGINT', 'HUGEINT', 'DOUBLE') "
-        "THEN 'n:' || CAST(CAST(t.value AS DOUBLE) AS VARCHAR) "
-        "WHEN t.type = 'BOOLEAN' THEN 'n:' || CAST(CAST(CAST(CAST(t.value AS BOOLEAN) AS INT) AS DOUBLE) AS VARCHAR) "
+        "CASE WHEN t.type IN ('BIGINT', 'UBIGINT', 'HUGEINT') THEN 'n:' || CAST(t.value AS VARCHAR) "
+        "WHEN t.type = 'DOUBLE' THEN 'n:' || CASE WHEN floor(CAST(t.value AS DOUBLE)) = CAST(t.value AS DOUBLE) AND abs(CAST(t.value AS DOUBLE)) < 9.2e18 "
+        "THEN CAST(CAST(CAST(t.value AS DOUBLE) AS BIGINT) AS VARCHAR) ELSE CAST(CAST(t.value AS DOUBLE) AS VARCHAR) END "
+        "WHEN t.type = 'BOOLEAN' THEN 'n:' || CAST(CAST(CAST(t.value AS BOOLEAN) AS INT) AS VARCHAR) "
         "WHEN t.type = 'VARCHAR' THEN 's:' || json_extract_string(t.value, '$') "
         "WHEN t.type = 'ARRAY' THEN 'l:' || CAST(t.value AS VARCHAR) "
         "WHEN t.type = 'NULL' THEN 'null' END"
     )
     return f"""
 SELECT e.row_id, substr(t.fullkey, 3) AS path, {kind} AS kind, {vkey} AS vkey
-FROM eligible_pairs e, json_tree(e.{col}) t
+FROM {source} e, json_tree(e.{col}) t
 WHERE t.type <> 'OBJECT' AND t.fullkey NOT LIKE '%[%'
 """
 

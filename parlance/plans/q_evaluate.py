@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parlance.operators import evaluate as ev
-from parlance.plans.oracle_sql import with_views
+from parlance.plans.oracle_sql import eligible_sql, flat_sql, with_views
 from parlance.plans.registry import register
 from parlance.sources import views
 
@@ -112,14 +112,12 @@ def q_bottom_intent_accuracy(spark, sf_dir):
     return ev.bottom_intent_accuracy(ev.per_intent_accuracy(_aligned(spark, sf_dir)))
 
 
-@register("flatten_params", with_views("SELECT row_id, path, kind, vkey FROM ref_flat", "ref_flat"))
+@register("flatten_params", with_views(f"SELECT row_id, path, kind, vkey FROM ({flat_sql('rv', 'all_refs')}) x", "aligned", extra={"all_refs": eligible_sql("ref_text", "rv")}))
 def q_flatten_params(spark, sf_dir):
-    """Flattened reference params of the eligible pairs."""
-    aligned = _aligned(spark, sf_dir)
-    pe, pv = ev.params_variant("pred_text")
-    re_, rv = ev.params_variant("ref_text")
-    pairs = aligned.select("row_id", (pe & re_).alias("_ok"), rv.alias("rv")).where("_ok").persist()
-    return ev.flatten_params(pairs, ["row_id"], "rv")
+    """Flattened params of every reference."""
+    ok, v = ev.params_variant("ref_text")
+    refs = views.references(spark, sf_dir).where(ok).select("row_id", v.alias("v"))
+    return ev.flatten_params(refs, ["row_id"]).drop("level")
 
 
 @register(
@@ -132,20 +130,7 @@ def q_flatten_params(spark, sf_dir):
 )
 def q_match_params(spark, sf_dir):
     """Predicted leaves that equal the reference leaf at the same path."""
-    aligned = _aligned(spark, sf_dir)
-    pe, pv = ev.params_variant("pred_text")
-    re_, rv = ev.params_variant("ref_text")
-    pairs = (
-        aligned.select("row_id", (pe & re_).alias("_ok"), pv.alias("pv"), rv.alias("rv")).where("_ok").persist()
-    )
-    pf = ev.flatten_params(pairs, ["row_id"], "pv").alias("p")
-    rf = ev.flatten_params(pairs, ["row_id"], "rv").alias("r")
-    cond = (
-        (F.col("p.row_id") == F.col("r.row_id"))
-        & (F.col("p.path") == F.col("r.path"))
-        & F.col("p.vkey").eqNullSafe(F.col("r.vkey"))
-    )
-    return pf.join(rf, cond, "inner").select(F.col("p.row_id").alias("row_id"), F.col("p.path").alias("path"))
+    return ev.matched_leaves(_aligned(spark, sf_dir)).where("equal").select("row_id", "path")
 
 
 PRF = """

@@ -54,8 +54,9 @@ def q_parse_outputs_batch(spark, sf_dir):
     with_views(
         """SELECT row_id,
   CASE WHEN j IS NULL THEN coalesce(nullif(regexp_extract(pred_text, '"intent":\\s*"([^"]+)"', 1), ''), 'PARSE_ERROR')
-       WHEN json_type(j) = 'OBJECT' THEN json_extract_string(j, '$.intent') END AS intent,
-  CASE WHEN j IS NULL THEN '{}' WHEN json_type(j) = 'OBJECT' THEN CAST(json_extract(j, '$.params') AS VARCHAR) END AS params
+       WHEN json_type(j) = 'OBJECT' THEN CASE WHEN json_extract(j, '$.intent') IS NULL THEN 'N/A' ELSE json_extract_string(j, '$.intent') END END AS intent,
+  CASE WHEN j IS NULL THEN '{}' WHEN json_type(j) = 'OBJECT' THEN coalesce(CAST(json_extract(j, '$.params') AS VARCHAR), '{}') END AS params,
+  pred_text AS raw_output, CASE WHEN j IS NULL THEN 'invalid JSON' END AS error
 FROM (SELECT row_id, pred_text, TRY_CAST(pred_text AS JSON) AS j FROM predictions) p""",
         "predictions",
     ),
@@ -63,7 +64,7 @@ FROM (SELECT row_id, pred_text, TRY_CAST(pred_text AS JSON) AS j FROM prediction
 def q_parse_output_intent_fallback(spark, sf_dir):
     """Strict parse, else the intent by pattern or ``PARSE_ERROR``."""
     p = out.parse_outputs(views.predictions(spark, sf_dir), "pred_text", "fallback")
-    return p.select("row_id", "intent", "params")
+    return p.select("row_id", "intent", "params", "raw_output", "error")
 
 
 INTENT_ONLY_SQL = "SELECT row_id, '\"intent\":' || CAST(to_json(intent) AS VARCHAR) AS raw FROM pairs"
@@ -165,7 +166,7 @@ SELECT s.row_id,
   coalesce(m.n_params, 0) AS n_params,
   s.raw_output,
   CASE WHEN NOT s.is_object THEN 'result is not an object' ELSE s.error END AS error,
-  CAST(e.value AS FLOAT) AS inference_time_ms
+  CAST(CASE WHEN s.is_object THEN e.value ELSE 0.0 END AS FLOAT) AS inference_time_ms
 FROM ({SINGLE}) s
 LEFT JOIN (SELECT row_id, string_agg(key || '=' || value, ';' ORDER BY key || '=' || value) AS params_text,
                   count(*) AS n_params FROM ({PMAP}) p GROUP BY row_id) m ON s.row_id = m.row_id
@@ -198,7 +199,10 @@ TEXTS_SQL = (
 
 @register(
     "drop_blank_utterances",
-    with_views("SELECT row_id FROM texts WHERE NOT regexp_matches(text, '^\\s*$')", extra={"texts": TEXTS_SQL}),
+    with_views(
+        "SELECT row_id FROM texts WHERE NOT regexp_matches(text, '^[\\x09-\\x0D\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]*$')",
+        extra={"texts": TEXTS_SQL},
+    ),
 )
 def q_drop_blank_utterances(spark, sf_dir):
     """texts that are not blank."""
@@ -209,7 +213,7 @@ CLASSIFIED = f"""
 SELECT s.row_id,
   CASE WHEN s.raw_output IS NOT NULL OR s.error IS NOT NULL OR NOT s.is_object THEN 'json_parse_error'
        WHEN (CASE WHEN s.has_intent THEN s.intent ELSE 'UNKNOWN' END) IN ('UNSUPPORTED', 'PARSE_ERROR', 'UNKNOWN') THEN 'wrong_intent'
-       WHEN (s.params IS NULL OR s.params IN ('{{}}', '[]', '""', 'null', '0', 'false'))
+       WHEN (s.params IS NULL OR s.params IN ('{{}}', '[]', '""', 'null', 'false') OR regexp_matches(s.params, '^-?0+(\\.0*)?([eE][+-]?[0-9]+)?$'))
             AND contains(lower(u.transcript), 'timer') THEN 'missing_params'
        ELSE 'ok' END AS issue
 FROM ({SINGLE}) s JOIN utterances u ON s.row_id = u.row_id
@@ -241,7 +245,7 @@ LEFT JOIN (SELECT issue, count(*) AS n FROM ({CLASSIFIED}) x GROUP BY issue) c O
 )
 def q_issue_summary(spark, sf_dir):
     """Count and percent per issue kind."""
-    return out.issue_summary(_classified(spark, sf_dir))
+    return out.issue_summary(_classified(spark, sf_dir)).withColumn("pct", F.round("pct", 6))
 
 
 def _requests(spark, sf_dir):

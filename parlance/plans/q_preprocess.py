@@ -127,8 +127,8 @@ def q_has_params_flag(spark, sf_dir):
 @register(
     "quarantine_bad_rows",
     with_views(
-        "SELECT row_id, CASE WHEN NOT valid THEN 'bad_json' ELSE 'bad_element' END AS reason "
-        "FROM annotated WHERE NOT valid OR (is_list AND NOT elem_object)",
+        "SELECT row_id, CASE WHEN NOT valid THEN 'bad_json' WHEN is_list AND NOT elem_object THEN 'bad_element' ELSE 'bad_params' END AS reason "
+        "FROM annotated WHERE NOT valid OR (is_list AND NOT elem_object) OR (has_params AND params_type <> 'OBJECT')",
         "annotated",
     ),
 )
@@ -140,8 +140,8 @@ def q_quarantine_bad_rows(spark, sf_dir):
 @register(
     "quarantine_first_rows",
     with_views(
-        "SELECT row_id, CASE WHEN NOT valid THEN 'bad_json' ELSE 'bad_element' END AS reason "
-        "FROM annotated WHERE (NOT valid OR (is_list AND NOT elem_object)) AND row_id < 5",
+        "SELECT row_id, CASE WHEN NOT valid THEN 'bad_json' WHEN is_list AND NOT elem_object THEN 'bad_element' ELSE 'bad_params' END AS reason "
+        "FROM annotated WHERE (NOT valid OR (is_list AND NOT elem_object) OR (has_params AND params_type <> 'OBJECT')) AND row_id < 5",
         "annotated",
     ),
 )

@@ -148,15 +148,15 @@ def q_top_values(spark, sf_dir):
 
 
 _DOC_AVG = " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, round(avg(CAST(length({c}) AS DOUBLE)), 6) AS avg_length FROM documents"
+    f"SELECT '{c}' AS column_name, avg(CAST(length({c}) AS DOUBLE)) AS avg_length FROM documents"
     for c in DOC_STRINGS
 )
 
 
-@register("text_column_profile", f"SELECT * FROM ({_DOC_AVG}) x WHERE avg_length > 10")
+@register("text_column_profile", f"SELECT column_name, round(avg_length, 6) AS avg_length FROM ({_DOC_AVG}) x WHERE avg_length > 10")
 def q_text_column_profile(spark, sf_dir):
     """Text columns (mean length > 10) of ``documents``."""
-    return pr.text_column_profile(table(spark, sf_dir, "documents", "doc_id", *DOC_STRINGS))
+    return pr.text_column_profile(table(spark, sf_dir, "documents", "doc_id", *DOC_STRINGS)).withColumn("avg_length", F.round("avg_length", 6))
 
 
 @register(
@@ -193,7 +193,7 @@ def q_head_rows(spark, sf_dir):
 def _describe_sql(col: str) -> str:
     v = f"CAST({col} AS DOUBLE)"
     return (
-        f"SELECT '{col}' AS column_name, count({col}) AS count, round(CAST(sum(CAST({v} AS DECIMAL(38,10))) AS DOUBLE) / count({v}), 6) AS mean, "
+        f"SELECT '{col}' AS column_name, count({col}) AS count, round(avg({v}), 6) AS mean, "
         f"round(stddev_samp({v}), 6) AS std, round(min({v}), 6) AS min, "
         f"round(quantile_cont({v}, 0.25), 6) AS p25, round(quantile_cont({v}, 0.5), 6) AS p50, "
         f"round(quantile_cont({v}, 0.75), 6) AS p75, round(max({v}), 6) AS max FROM lineitem"

@@ -2,8 +2,10 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from parlance.functions.scan import read_pairs
-from parlance.operators.outputs import parse_outputs, response_record
+from parlance.operators.outputs import classify_output_issue, drop_blank_utterances, issue_summary, parse_outputs, response_record
 
 GOLDEN_SINGLE = [
     ('{"intent": "SET_TIMER", "params": {"timer_duration": {"amount": 5, "unit": "min"}}}', "strict", "SET_TIMER",
@@ -63,5 +65,54 @@ def test_scanner_pure():
 
 def test_scanner_runs_only_on_failing_rows(spark):
     df = spark.createDataFrame([(0, '{"intent": "A"}')], "row_id long, raw string")
-    plan = parse_outputs(df, "raw", "single")._jdf.queryExecution().executedPlan().toString()
-    assert "ArrowEvalPython" in plan
+    parsed = parse_outputs(df, "raw", "single")
+    for rows in (parsed, parsed.where("settled_by = 'scan'"), parsed.where("settled_by = 'sentinel'")):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "ArrowEvalPython" not in plan and plan.count("MapInArrow") <= 1
+        if "MapInArrow" in plan:
+            assert "Filter" in plan[plan.index("MapInArrow") :] and "_needs_scan" in plan[plan.index("MapInArrow") :]
+
+
+def test_unreadable_rows_end_at_the_sentinel(spark):
+    bad = ['"intent": "A", "params": {"n": ' + "9" * 5000 + ", x", '"intent": "A", "params": ' + '{"a":' * 2000]
+    df = spark.createDataFrame([*enumerate(bad), (2, '"intent": "X", "params": {"a": {"b": 1}')], "row_id long, raw string")
+    got = {r.row_id: r for r in parse_outputs(df, "raw", "single").collect()}
+    assert [got[i].settled_by for i in range(3)] == ["sentinel", "sentinel", "scan"]
+    assert got[0].intent == got[1].intent == "PARSE_ERROR" and got[1].raw_output == bad[1]
+
+
+def test_scanner_reads_long_and_deep_texts():
+    deep = read_pairs('"a": {' * 900 + '"x": 1')
+    for _ in range(900):
+        deep = deep["a"]
+    assert deep == {"x": 1}
+    assert len(read_pairs(", ".join(f'"k{i}": {{"v": [{i}]}}' for i in range(20_000)))) == 20_000
+    assert read_pairs('"a": 1, "a": 2') == {"a": 2}
+
+
+def test_fallback_defaults(spark):
+    rows = [(0, '{"params": {"k": 1}}'), (1, '{"intent": "A"}'), (2, "nothing")]
+    got = {r.row_id: r for r in parse_outputs(spark.createDataFrame(rows, "row_id long, raw string"), "raw", "fallback").collect()}
+    assert (got[0].intent, got[1].params) == ("N/A", "{}")
+    assert [got[i].raw_output for i in range(3)] == [r[1] for r in rows]
+    assert [got[i].error is None for i in range(3)] == [True, True, False]
+
+
+def test_error_record_has_no_time(spark):
+    df = spark.createDataFrame([(0, "[1]", 12.5), (1, '{"intent": "A"}', 12.5)], "row_id long, raw string, ms double")
+    got = {r.row_id: r.inference_time_ms for r in response_record(parse_outputs(df, "raw", "single"), F.col("ms")).collect()}
+    assert got == {0: 0.0, 1: 12.5}
+
+
+def test_unicode_blanks_and_falsy_numbers(spark):
+    texts = spark.createDataFrame([(0, "\u00a0\u2003"), (1, " \x1c"), (2, "x\u00a0"), (3, ""), (4, None)], "row_id long, text string")
+    assert [r.row_id for r in drop_blank_utterances(texts).collect()] == [2]
+    rows = [(i, f'{{"intent": "A", "params": {p}}}', "set a timer") for i, p in enumerate(("0.0", "-0", "0e5", "0.5", "{}", '{"a": 1}'))]
+    parsed = parse_outputs(spark.createDataFrame(rows, "row_id long, raw string, transcript string"), "raw", "single")
+    got = {r.row_id: r.issue for r in classify_output_issue(parsed).collect()}
+    assert got == {0: "missing_params", 1: "missing_params", 2: "missing_params", 3: "ok", 4: "missing_params", 5: "ok"}
+
+
+def test_summary_of_no_rows(spark):
+    empty = spark.createDataFrame([], "issue string")
+    assert {(r.n, r.pct) for r in issue_summary(empty).collect()} == {(0, None)}
