@@ -56,20 +56,20 @@ def select_best_model(train: DataFrame, val: DataFrame, grid=(0.0, 0.01, 0.1)):
     """M3: fit one model per regularisation value, keep the lowest val log-loss.
 
     Returns ``(model, table)``; the table has one row per candidate with its
-    loss and ``is_best`` (strict improvement, first wins ties).
+    loss and ``is_best`` (exactly one: the first of the lowest loss).
     """
     rows = []
-    best = None
+    best, kept = None, None
     for reg in grid:
         m = train_intent_classifier(train, reg)
         loss = log_loss(m, val)
         improved = best is None or loss < best[1]
         if improved:
-            best = (m, loss)
+            best, kept = (m, loss), len(rows)
         rows.append((float(reg), float(loss)))
     spark = train.sparkSession
-    table = spark.createDataFrame(rows, "reg_param double, val_log_loss double")
-    return best[0], table.withColumn("is_best", F.col("val_log_loss") == F.lit(best[1]))
+    marked = [(*r, i == kept) for i, r in enumerate(rows)]
+    return best[0], spark.createDataFrame(marked, "reg_param double, val_log_loss double, is_best boolean")
 
 
 def model_roundtrip(model: PipelineModel, path: str) -> PipelineModel:

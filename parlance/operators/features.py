@@ -3,8 +3,10 @@
 The original tokenizer's vocabulary file is not published, so the
 vocabulary is built from the data: whitespace tokens, dense ids by
 (count desc, token asc) starting at 3, with 0 = pad, 1 = end of sequence,
-2 = unknown.  Encoding is explode + broadcast join with the vocabulary (its
-size is bounded by ``vocab_size``) + ordered re-collection per row.
+2 = unknown.  Encoding cuts each row's tokens to the length that is kept, then
+explodes, joins the vocabulary (its size is bounded by ``vocab_size``) and
+collects each row's ids in order.  A row without tokens stays: it encodes to the
+end id and decodes to the empty text.
 """
 
 from __future__ import annotations
@@ -13,17 +15,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.config import DEFAULT, Settings
-from parlance.operators.positions import exact_rank, hash_bucket, id_bucket, seeded_key
+from parlance.operators.positions import exact_rank, hash_bucket, seeded_key, with_id_bucket
 
 # Special ids of the original tokenizer.
 PAD_ID, EOS_ID, UNK_ID, FIRST_ID = 0, 1, 2, 3
 IGNORE_ID = -100
 
 
-def tokens(df: DataFrame, text: str, id_col: str = "row_id") -> DataFrame:
-    """``id_col, pos, token``: whitespace tokens with their position (0-based)."""
-    parts = F.filter(F.split(F.col(text), r"\s+"), lambda t: t != "")
-    return df.select(id_col, F.posexplode(parts).alias("pos", "token"))
+def tokens(df: DataFrame, text: str, id_col: str = "row_id", keep: int | None = None) -> DataFrame:
+    """``id_col, pos, token``: whitespace tokens with their position (0-based).
+
+    With ``keep`` only the first ``keep`` tokens of a row are exploded, for an
+    encoding of ``keep`` ids: a row of more still shows that it is too long, as
+    ``keep`` tokens and the end id exceed it.  A row without tokens gives one row
+    with null ``pos`` and ``token``.
+    """
+    parts = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+"), lambda t: t != "")
+    if keep is not None:
+        parts = F.slice(parts, 1, keep)
+    return df.select(id_col, F.posexplode_outer(parts).alias("pos", "token"))
 
 
 def build_vocabulary(toks: DataFrame, vocab_size: int | None = None) -> DataFrame:
@@ -35,7 +45,7 @@ def build_vocabulary(toks: DataFrame, vocab_size: int | None = None) -> DataFram
     ``vocab_size``) are ranked.
     """
     size = (DEFAULT.vocab_size if vocab_size is None else vocab_size) - FIRST_ID
-    counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("n")).persist()
+    counts = toks.where(F.col("token").isNotNull()).groupBy("token").agg(F.count(F.lit(1)).alias("n")).persist()
     hist = counts.groupBy("n").agg(F.count(F.lit(1)).alias("k"))
     w = Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc())
     hist = hist.withColumn("before", F.coalesce(F.sum("k").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -54,7 +64,8 @@ def encode_tokens(toks: DataFrame, vocab: DataFrame, id_col: str = "row_id") ->
     """``id_col, ids``: token ids in text order, unknown -> 2, end id appended."""
     v = F.broadcast(vocab.select("token", F.col("id").alias("tid")))  # at most vocab_size rows
     joined = toks.join(v, "token", "left").select(id_col, "pos", F.coalesce("tid", F.lit(UNK_ID)).alias("tid"))
-    grouped = joined.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "tid"))).alias("_p"))
+    some = F.when(F.col("pos").isNotNull(), F.struct("pos", "tid"))  # collect_list leaves nulls out
+    grouped = joined.groupBy(id_col).agg(F.array_sort(F.collect_list(some)).alias("_p"))
     return grouped.select(id_col, F.concat(F.col("_p.tid"), F.array(F.lit(EOS_ID))).alias("ids"))
 
 
@@ -73,11 +84,12 @@ def mask_labels(labels: Column) -> Column:
 
 
 def unmask_decode(df: DataFrame, labels: str, vocab: DataFrame, id_col: str = "row_id") -> DataFrame:
-    """Drop -100 and special ids, ids back to text joined by spaces."""
-    kept = df.select(id_col, F.posexplode(F.filter(F.col(labels), lambda x: x >= FIRST_ID)).alias("pos", "id"))
+    """Drop -100 and special ids, ids back to text joined by spaces; no ids give the empty text."""
+    kept = df.select(id_col, F.posexplode_outer(F.filter(F.col(labels), lambda x: x >= FIRST_ID)).alias("pos", "id"))
     v = F.broadcast(vocab.select("id", "token"))
-    joined = kept.join(v, "id", "inner")
-    grouped = joined.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("_p"))
+    joined = kept.join(v, "id", "left")
+    some = F.when(F.col("token").isNotNull(), F.struct("pos", "token"))
+    grouped = joined.groupBy(id_col).agg(F.array_sort(F.collect_list(some)).alias("_p"))
     return grouped.select(id_col, F.array_join(F.col("_p.token"), " ").alias("text"))
 
 
@@ -85,12 +97,13 @@ def assign_batches(splits: DataFrame, settings: Settings = DEFAULT) -> DataFrame
     """Position in the split's order and batch number.
 
     ``train`` is in seeded shuffle order (md5 of seed and row id), ``val``
-    and ``test`` in row order.  Positions come from :func:`exact_rank`
-    (bucket counts + offsets), never from a window over a whole split.
+    and ``test`` in row order.  One ranking pass over all splits: positions come
+    from :func:`exact_rank` (bucket counts + offsets), never from a window over a
+    whole split; the buckets of row ids follow their quantiles, so sparse or
+    outlying ids do not fill one bucket.
     """
-    train = splits.where(F.col("split") == "train").withColumn("_key", seeded_key("row_id", settings.random_seed))
-    ranked_train = exact_rank(train, ["split"], ["_key", "row_id"], hash_bucket("_key", settings.rank_bucket_hex_digits), "position").drop("_key")
-    rest = splits.where(F.col("split") != "train")
-    ranked_rest = exact_rank(rest, ["split"], ["row_id"], id_bucket(rest), "position")
-    both = ranked_train.unionByName(ranked_rest)
-    return both.withColumn("batch", F.expr(f"(position - 1) div {settings.batch_size}"))
+    train = F.col("split") == "train"
+    keyed = with_id_bucket(splits, "_ids").withColumn("_key", F.when(train, seeded_key("row_id", settings.random_seed)))
+    bucket = F.when(train, hash_bucket("_key", settings.rank_bucket_hex_digits)).otherwise(F.lpad(F.col("_ids").cast("string"), 8, "0"))
+    ranked = exact_rank(keyed, ["split"], ["_key", "row_id"], bucket, "position").drop("_key", "_ids")
+    return ranked.withColumn("batch", F.expr(f"(position - 1) div {settings.batch_size}"))

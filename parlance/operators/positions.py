@@ -5,7 +5,7 @@ task; with one group holding a third of all rows that does not scale, and a
 global order (no partition) is worse.  Here the rank is built from
 
 1. a *bucket* that is monotone in the order key (a prefix of an md5 key, or
-   ``row_id div width``), counted per (group, bucket) with partial
+   a quantile range of ids), counted per (group, bucket) with partial
    aggregation: a table of at most ``groups x buckets`` rows;
 2. the running count of earlier buckets in the group (window over that small
    table);
@@ -18,6 +18,7 @@ exactly the rank of the plain window.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,13 +86,14 @@ def exact_rank(
     return rank_with_offsets(keyed, offsets, group_cols, order_cols, rank_col=rank_col)
 
 
-def id_bucket(df: DataFrame, row_id: str = "row_id", buckets: int = 65536) -> Column:
-    """Bucket by ``row_id`` ranges of equal width, from the id range (one small job).
+def with_id_bucket(df: DataFrame, out: str, row_id: str = "row_id", buckets: int = 4096) -> DataFrame:
+    """Add ``out``: a bucket non-decreasing in ``row_id`` with about equal row counts.
 
-    A bucket holds at most ``width`` rows because ids are unique.
+    The boundaries are approximate quantiles (one job; at most ``buckets``
+    numbers reach the driver), looked up by binary search.  The rank does not
+    depend on where they lie.
     """
-    lo, hi = df.agg(F.min(row_id), F.max(row_id)).first()
-    if lo is None:
-        return F.lit(0)
-    width = max(1, (hi - lo + buckets) // buckets)
-    return F.expr(f"(`{row_id}` - ({lo})) div {width}")
+    cuts = df.select(F.col(row_id).cast("double").alias("_id")).approxQuantile("_id", [i / buckets for i in range(1, buckets)], 0.25 / buckets)
+    edges = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    keyed = df.withColumn("_id", F.col(row_id).cast("double"))
+    return Bucketizer(splits=edges, inputCol="_id", outputCol=out).transform(keyed).withColumn(out, F.col(out).cast("int")).drop("_id")

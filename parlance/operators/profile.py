@@ -40,7 +40,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def select_columns_by_type(df: DataFrame) -> DataFrame:
-    """one row per column with its category (from the schema, no scan)."""
+    """one row per column with its category."""
     spark = df.sparkSession
     rows = [(i + 1, f.name, column_category(f.dataType)) for i, f in enumerate(df.schema.fields)]
     return spark.createDataFrame(rows, "position bigint, column_name string, category string")

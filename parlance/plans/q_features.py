@@ -8,7 +8,8 @@ from parlance.config import DEFAULT, scratch_path
 from parlance.operators import classifier as clf
 from parlance.operators import features as fe
 from parlance.operators import splits as sp
-from parlance.plans.oracle_sql import with_views
+from parlance.plans.oracle_sql import VIEWS, with_views
+from parlance.plans.q_splits import stored_splits
 from parlance.plans.registry import register
 from parlance.sources import views
 from parlance.sources.tables import table
@@ -30,13 +31,15 @@ def _vocab_sql(toks: str) -> str:
     )
 
 
-def _encode_sql(toks: str, vocab: str, n: int) -> str:
+def _encode_sql(rows: str, toks: str, vocab: str, n: int) -> str:
     """Ids of every row, end id, cut to n-1 + end when long, padded to n."""
     return f"""
 SELECT row_id, array_to_string(list_resize(body, {n}, 0), ' ') AS ids_text, CAST(len(body) AS BIGINT) AS n_real
 FROM (SELECT row_id, CASE WHEN len(full_ids) > {n} THEN list_concat(list_slice(full_ids, 1, {n - 1}), [1]) ELSE full_ids END AS body
-      FROM (SELECT t.row_id, list_concat(list(coalesce(v.id, 2) ORDER BY t.pos), [1]) AS full_ids
-            FROM ({toks}) t LEFT JOIN ({vocab}) v ON t.token = v.token GROUP BY t.row_id) a) b
+      FROM (SELECT s.row_id, list_concat(coalesce(ids, []), [1]) AS full_ids
+            FROM ({rows}) s LEFT JOIN (
+              SELECT t.row_id, list(coalesce(v.id, 2) ORDER BY t.pos) AS ids
+              FROM ({toks}) t LEFT JOIN ({vocab}) v ON t.token = v.token GROUP BY t.row_id) i ON s.row_id = i.row_id) a) b
 """
 
 
@@ -46,28 +49,36 @@ DOC_TOKS = _tok_sql("documents", "text", "doc_id")
 DOC_VOCAB = _vocab_sql(DOC_TOKS)
 
 
-def _pair_vocab(spark, sf_dir):
+ROWS = "SELECT row_id FROM pairs"
+
+
+def _build_pair_vocab(spark, sf_dir):
     p = views.pairs(spark, sf_dir)
     toks = fe.tokens(p, "input_text").unionByName(fe.tokens(p, "output_text"))
     return fe.build_vocabulary(toks)
 
 
+def _pair_vocab(spark, sf_dir):
+    """The stored vocabulary that encoding and decoding read."""
+    return views.written(spark, sf_dir, "pair_vocabulary", lambda: _build_pair_vocab(spark, sf_dir))
+
+
 @register("build_vocabulary", with_views(PAIR_VOCAB, "pairs"))
 def q_build_vocabulary(spark, sf_dir):
     """Vocabulary of the training pairs, dense ids from 3."""
-    return _pair_vocab(spark, sf_dir)
+    return _build_pair_vocab(spark, sf_dir)
 
 
 def _encoded(spark, sf_dir, text: str, n: int):
     p = views.pairs(spark, sf_dir)
-    ids = fe.encode_tokens(fe.tokens(p, text), _pair_vocab(spark, sf_dir))
+    ids = fe.encode_tokens(fe.tokens(p, text, keep=n), _pair_vocab(spark, sf_dir))
     padded, mask = fe.pad_truncate_ids(F.col("ids"), n)
     return ids.select("row_id", padded.alias("padded"), mask.alias("mask"))
 
 
 @register(
     "encode_tokens",
-    with_views(_encode_sql(_tok_sql("pairs", "input_text"), PAIR_VOCAB, DEFAULT.max_input_length), "pairs"),
+    with_views(_encode_sql(ROWS, _tok_sql("pairs", "input_text"), PAIR_VOCAB, DEFAULT.max_input_length), "pairs"),
 )
 def q_encode_tokens(spark, sf_dir):
     """P23 + P20: input ids of every pair, length 128, and the real-token count."""
@@ -79,13 +90,13 @@ def q_encode_tokens(spark, sf_dir):
 
 @register(
     "pad_truncate_ids",
-    _encode_sql(DOC_TOKS, DOC_VOCAB, DEFAULT.max_input_length),
+    _encode_sql("SELECT doc_id AS row_id FROM documents", DOC_TOKS, DOC_VOCAB, DEFAULT.max_input_length),
 )
 def q_pad_truncate_ids(spark, sf_dir):
-    """P20 on whole documents: every token encoded, then cut or padded to 128."""
+    """P20 on documents: encoded to the first 128 ids or padded to as many."""
     d = table(spark, sf_dir, "documents", "doc_id", "text").withColumnRenamed("doc_id", "row_id")
-    toks = fe.tokens(d, "text")
-    ids = fe.encode_tokens(toks, fe.build_vocabulary(toks))
+    vocab = views.written(spark, sf_dir, "document_vocabulary", lambda: fe.build_vocabulary(fe.tokens(d, "text")))
+    ids = fe.encode_tokens(fe.tokens(d, "text", keep=DEFAULT.max_input_length), vocab)
     padded, mask = fe.pad_truncate_ids(F.col("ids"), DEFAULT.max_input_length)
     return ids.select(
         "row_id",
@@ -94,7 +105,7 @@ def q_pad_truncate_ids(spark, sf_dir):
     )
 
 
-_LABELS_SQL = _encode_sql(_tok_sql("pairs", "output_text"), PAIR_VOCAB, DEFAULT.max_output_length)
+_LABELS_SQL = _encode_sql(ROWS, _tok_sql("pairs", "output_text"), PAIR_VOCAB, DEFAULT.max_output_length)
 
 
 @register(
@@ -114,9 +125,9 @@ def q_mask_labels(spark, sf_dir):
 @register(
     "unmask_decode",
     with_views(
-        f"SELECT t.row_id, string_agg(v.token, ' ' ORDER BY t.pos) AS text FROM ("
+        f"SELECT s.row_id, coalesce(text, '') AS text FROM ({ROWS}) s LEFT JOIN (SELECT t.row_id, string_agg(v.token, ' ' ORDER BY t.pos) AS text FROM ("
         f"SELECT row_id, pos, token FROM ({_tok_sql('pairs', 'output_text')}) x WHERE pos < {DEFAULT.max_output_length - 1}) t "
-        f"JOIN ({PAIR_VOCAB}) v ON t.token = v.token GROUP BY t.row_id",
+        f"JOIN ({PAIR_VOCAB}) v ON t.token = v.token GROUP BY t.row_id) x ON s.row_id = x.row_id",
         "pairs",
     ),
 )
@@ -138,17 +149,14 @@ def q_unmask_decode(spark, sf_dir):
 )
 def q_assign_batches(spark, sf_dir):
     """Position and batch of 16 in each split (train shuffled by seed)."""
-    s = sp.stratified_split(views.pairs(spark, sf_dir)).select("row_id", "split")
+    s = stored_splits(spark, sf_dir).select("row_id", "split")
     return fe.assign_batches(s).select("row_id", "split", "position", "batch")
 
 
 def _clf_data(spark, sf_dir):
-    s = sp.stratified_split(views.pairs(spark, sf_dir)).select(
-        "row_id", F.col("transcript").alias("text"), "intent", "split"
+    s = views.written(
+        spark, sf_dir, "labelled_splits", lambda: sp.stratified_split(views.labelled_texts(spark, sf_dir)).select("row_id", "text", "intent", "split")
     )
-    path = scratch_path(spark, "clf_splits")
-    s.write.mode("overwrite").parquet(path)
-    s = spark.read.parquet(path)
     return s.where("split = 'train'"), s.where("split = 'val'"), s.where("split = 'test'")
 
 
@@ -175,7 +183,13 @@ def q_select_best_model(spark, sf_dir):
     return table_
 
 
-@register("model_roundtrip")
+@register(
+    "model_roundtrip",
+    "WITH pairs AS (SELECT d.doc_id AS row_id, CASE quality WHEN 1 THEN 'KEEP' ELSE 'DROP' END AS intent "
+    "FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE quality IS NOT NULL), "
+    f"split_quotas AS ({VIEWS['split_quotas']}), splits AS ({VIEWS['splits']}) "
+    "SELECT row_id, true AS same FROM splits WHERE split = 'test'",
+)
 def q_model_roundtrip(spark, sf_dir):
     """M4: predictions of the saved-and-loaded model equal the original's."""
     train, _, test = _clf_data(spark, sf_dir)
@@ -183,4 +197,4 @@ def q_model_roundtrip(spark, sf_dir):
     again = clf.model_roundtrip(model, scratch_path(spark, "intent_model"))
     a = clf.predict_intents(model, test).select("row_id", F.col("intent_pred").alias("a"))
     b = clf.predict_intents(again, test).select("row_id", F.col("intent_pred").alias("b"))
-    return a.join(b, "row_id").select("row_id", "a", (F.col("a") == F.col("b")).alias("same"))
+    return a.join(b, "row_id").select("row_id", (F.col("a") == F.col("b")).alias("same"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from parlance.operators import profile as pr
 from parlance.plans.oracle_sql import with_views
+from parlance.plans.q_splits import stored_splits
 from parlance.plans.registry import register
 from parlance.sources import views
 from parlance.sources.tables import table
@@ -50,16 +51,28 @@ def q_dataset_shape(spark, sf_dir):
     return pr.dataset_shape(table(spark, sf_dir, "orders"))
 
 
+ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+
+
 @register(
     "select_columns_by_type",
+    "SELECT position, column_name, category, n_present, n_distinct FROM ("
     "SELECT CAST(row_number() OVER () AS BIGINT) AS position, column_name, "
     "CASE WHEN column_type = 'VARCHAR' THEN 'string' "
     "WHEN column_type IN ('BIGINT', 'INTEGER', 'DOUBLE', 'SMALLINT', 'TINYINT', 'FLOAT', 'REAL') "
-    "OR column_type LIKE 'DECIMAL%' THEN 'numeric' ELSE 'other' END AS category FROM (DESCRIBE orders)",
+    "OR column_type LIKE 'DECIMAL%' THEN 'numeric' ELSE 'other' END AS category FROM (DESCRIBE orders)) d "
+    "JOIN (" + " UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS n_present, count(DISTINCT {c}) AS n_distinct FROM orders" for c in ORDER_COLS) + ") n "
+    "ON column_name = name WHERE category <> 'other'",
 )
 def q_select_columns_by_type(spark, sf_dir):
-    """string / numeric / other columns of ``orders``."""
-    return pr.select_columns_by_type(table(spark, sf_dir, "orders"))
+    """the string and numeric columns of ``orders``, selected by type and counted (present, distinct)."""
+    orders = table(spark, sf_dir, "orders")
+    chosen = orders.select(*pr.string_columns(orders), *pr.numeric_columns(orders))
+    present = chosen.agg(*[F.count(c).alias(c) for c in chosen.columns])
+    present = present.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_present")) for c in chosen.columns])).alias("c")).select("c.*")
+    return pr.select_columns_by_type(orders).join(present, "column_name").join(pr.distinct_counts(chosen), "column_name")
+
+
 
 
 @register(
@@ -190,6 +203,16 @@ def q_head_rows(spark, sf_dir):
     return pr.head_rows(views.utterances(spark, sf_dir), 5)
 
 
+@register(
+    "head_pairs",
+    with_views("SELECT row_id, input_text, output_text FROM splits WHERE split = 'train' ORDER BY row_id LIMIT 3", "splits"),
+)
+def q_head_pairs(spark, sf_dir):
+    """K1: the three example pairs of the train split."""
+    train = stored_splits(spark, sf_dir).where("split = 'train'")
+    return pr.head_rows(train.select("row_id", "input_text", "output_text"), 3)
+
+
 def _describe_sql(col: str) -> str:
     v = f"CAST({col} AS DOUBLE)"
     return (

@@ -8,7 +8,8 @@ from parlance.config import scratch_path
 from parlance.operators import evaluate as ev
 from parlance.operators import splits as sp
 from parlance.plans.oracle_sql import with_views
-from parlance.plans.q_evaluate import PRF, _aligned, _pct_sql
+from parlance.plans.q_evaluate import PER_INTENT, PRF, _aligned, _pct_sql
+from parlance.plans.q_splits import stored_splits
 from parlance.plans.registry import register
 from parlance.sources import tables, views
 
@@ -27,41 +28,64 @@ def q_sink_sample(spark, sf_dir):
 @register(
     "sink_intent_stats",
     with_views(
-        "SELECT s.split, s.intent, count(*) AS n, i.total_intents, i.intent_list FROM splits s, "
-        "(SELECT count(*) AS total_intents, string_agg(intent, ',' ORDER BY intent) AS intent_list "
-        " FROM (SELECT DISTINCT intent FROM splits WHERE split = 'train') d) i "
-        "GROUP BY s.split, s.intent, i.total_intents, i.intent_list",
+        "SELECT (SELECT count(DISTINCT intent) FROM splits WHERE split = 'train') AS total_intents, "
+        "(SELECT string_agg(intent, ',' ORDER BY intent) FROM (SELECT DISTINCT intent FROM splits WHERE split = 'train') d) AS intent_list, "
+        "string_agg(split || '/' || intent || '=' || n, ',' ORDER BY split || '/' || intent || '=' || n) AS counts "
+        "FROM (SELECT split, intent, CAST(count(*) AS VARCHAR) AS n FROM splits GROUP BY split, intent) c",
         "splits",
     ),
 )
 def q_sink_intent_stats(spark, sf_dir):
-    """Intent statistics document (A15 rows with the A16 inventory) as JSON."""
-    s = sp.stratified_split(views.pairs(spark, sf_dir))
-    doc = sp.intent_stats(s).crossJoin(sp.intent_inventory(s))
+    """One statistics document (counts per split and intent, total and list once) as JSON."""
+    s = stored_splits(spark, sf_dir)
+    # One row per split and intent; the document lists each once.
+    counts = sp.intent_stats(s).agg(F.sort_array(F.collect_list(F.struct("split", "intent", "n"))).alias("counts"))
     path = scratch_path(spark, "intent_stats")
-    tables.sink_json(doc, path)
-    return spark.read.schema(
-        "split string, intent string, n bigint, total_intents bigint, intent_list string"
+    tables.sink_json(sp.intent_inventory(s).join(counts), path)
+    doc = spark.read.schema(
+        "total_intents bigint, intent_list string, counts array<struct<split:string,intent:string,n:bigint>>"
     ).json(path)
+    text = F.transform("counts", lambda c: F.concat(c["split"], F.lit("/"), c["intent"], F.lit("="), c["n"].cast("string")))
+    return doc.select("total_intents", "intent_list", F.array_join(F.array_sort(text), ",").alias("counts"))
 
 
-@register(
-    "sink_metrics",
-    with_views(
-        f"""SELECT 'test' AS eval_set, s.*, m.param_precision, m.param_recall, m.param_f1
+def _metrics_sql(eval_set: str) -> str:
+    """The metrics document of one split."""
+    own = f"(SELECT row_id FROM splits WHERE split = '{eval_set}')"
+    prf = PRF.replace("FROM pred_flat p JOIN ref_flat r ON", f"FROM (SELECT * FROM pred_flat WHERE row_id IN {own}) p JOIN ref_flat r ON")
+    prf = prf.replace("count(*) FROM pred_flat)", f"count(*) FROM pred_flat WHERE row_id IN {own})")
+    prf = prf.replace("count(*) FROM ref_flat)", f"count(*) FROM ref_flat WHERE row_id IN {own})")
+    rows = f"(SELECT * FROM aligned WHERE row_id IN {own})"
+    per = PER_INTENT.replace("FROM aligned", f"FROM {rows} a")
+    return f"""SELECT '{eval_set}' AS eval_set, s.*, m.param_precision, m.param_recall, m.param_f1, i.per_intent
 FROM (SELECT {_pct_sql('coalesce(pred_text = ref_text, false)', 'exact_match')},
              {_pct_sql('intent_pred IS NOT DISTINCT FROM intent_true', 'intent_accuracy')},
              {_pct_sql("intent_pred IS DISTINCT FROM 'PARSE_ERROR'", 'parse_success_rate')},
-             count(*) AS total_samples FROM aligned) s, ({PRF}) m""",
-        "aligned", "pred_flat", "ref_flat",
-    ),
+             count(*) AS total_samples FROM {rows} a) s, ({prf}) m,
+     (SELECT string_agg(concat(intent_true, '=', correct, '/', total), ',' ORDER BY intent_true) AS per_intent FROM ({per}) p) i"""
+
+
+@register(
+    "sink_metrics",
+    with_views(f"{_metrics_sql('val')}\nUNION ALL\n{_metrics_sql('test')}", "aligned", "pred_flat", "ref_flat", "splits"),
 )
 def q_sink_metrics(spark, sf_dir):
-    """The metrics document written as JSON with its evaluation set, read back."""
-    report = ev.evaluation_report(_aligned(spark, sf_dir)).withColumn("eval_set", F.lit("test"))
+    """A metrics document per evaluation set (val, test), with the accuracy per intent, written as JSON and read back."""
+    aligned = _aligned(spark, sf_dir).join(stored_splits(spark, sf_dir).select("row_id", "split"), "row_id")
     path = scratch_path(spark, "metrics")
-    tables.sink_json(report, path)
-    return spark.read.schema(
+    for eval_set in ("val", "test"):
+        rows = aligned.where(F.col("split") == eval_set).drop("split")
+        per = F.sort_array(F.collect_list(F.struct("intent_true", "correct", "total", "accuracy")))
+        per_intent = ev.per_intent_accuracy(rows).agg(per.alias("per_intent_accuracy"))  # one entry per intent
+        report = ev.evaluation_report(rows).join(per_intent).withColumn("eval_set", F.lit(eval_set))
+        tables.sink_json(report, f"{path}/{eval_set}")
+    docs = spark.read.schema(
         "eval_set string, exact_match double, intent_accuracy double, parse_success_rate double, "
-        "total_samples bigint, param_precision double, param_recall double, param_f1 double"
-    ).json(path)
+        "total_samples bigint, param_precision double, param_recall double, param_f1 double, "
+        "per_intent_accuracy array<struct<intent_true:string,correct:bigint,total:bigint,accuracy:double>>"
+    ).json([f"{path}/val", f"{path}/test"])
+    text = F.transform(
+        "per_intent_accuracy",
+        lambda p: F.concat(p["intent_true"], F.lit("="), p["correct"].cast("string"), F.lit("/"), p["total"].cast("string")),
+    )
+    return docs.withColumn("per_intent", F.array_join(text, ",")).drop("per_intent_accuracy")

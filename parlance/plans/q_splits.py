@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from parlance.config import scratch_path
 from parlance.operators import splits as sp
@@ -12,8 +11,9 @@ from parlance.plans.registry import register
 from parlance.sources import tables, views
 
 
-def _splits(spark, sf_dir):
-    return sp.stratified_split(views.pairs(spark, sf_dir))
+def stored_splits(spark, sf_dir):
+    """The split (W2) as a stored table: computed once, read by all that use it."""
+    return views.written(spark, sf_dir, "splits", lambda: sp.stratified_split(views.pairs(spark, sf_dir)))
 
 
 @register(
@@ -52,7 +52,7 @@ def q_split_quotas(spark, sf_dir):
 @register("stratified_split", with_views("SELECT row_id, intent, split FROM splits", "splits"))
 def q_stratified_split(spark, sf_dir):
     """Exact, seeded, intent-stratified train / val / test."""
-    return _splits(spark, sf_dir).select("row_id", "intent", "split")
+    return sp.stratified_split(views.pairs(spark, sf_dir)).select("row_id", "intent", "split")
 
 
 @register(
@@ -61,7 +61,7 @@ def q_stratified_split(spark, sf_dir):
 )
 def q_intent_stats(spark, sf_dir):
     """Rows per split and intent."""
-    return sp.intent_stats(_splits(spark, sf_dir))
+    return sp.intent_stats(stored_splits(spark, sf_dir))
 
 
 @register(
@@ -74,7 +74,7 @@ def q_intent_stats(spark, sf_dir):
 )
 def q_intent_inventory(spark, sf_dir):
     """Number and sorted list of train intents."""
-    return sp.intent_inventory(_splits(spark, sf_dir))
+    return sp.intent_inventory(stored_splits(spark, sf_dir))
 
 
 @register(
@@ -87,7 +87,7 @@ def q_intent_inventory(spark, sf_dir):
 )
 def q_split_sizes(spark, sf_dir):
     """Rows and percent per split."""
-    return sp.split_sizes(_splits(spark, sf_dir))
+    return sp.split_sizes(stored_splits(spark, sf_dir))
 
 
 @register(
@@ -97,7 +97,7 @@ def q_split_sizes(spark, sf_dir):
 def q_scan_split_partition(spark, sf_dir):
     """S3 over S4: write the splits partitioned by split, read back only ``val``."""
     root = scratch_path(spark, "splits")
-    tables.sink_splits(_splits(spark, sf_dir), root)
+    tables.sink_splits(stored_splits(spark, sf_dir), root)
     return tables.scan_split_partition(spark, root, "val").select(
         "row_id", "intent", "params", "output_text", "split"
     )
@@ -105,15 +105,11 @@ def q_scan_split_partition(spark, sf_dir):
 
 @register(
     "sink_splits_csv",
-    with_views("SELECT row_id, transcript, intent, params, output_text, split FROM splits", "splits"),
+    with_views("SELECT row_id, transcript, intent, params, input_text, output_text, frequency, split FROM splits", "splits"),
 )
 def q_sink_splits_csv(spark, sf_dir):
     """S4 + S2: CSV splits (JSON inside quoted cells) survive a round trip."""
     root = scratch_path(spark, "splits_csv")
-    tables.sink_splits(_splits(spark, sf_dir), root, fmt="csv")
-    back = (
-        spark.read.schema(T.StructType([*tables.PAIR_SCHEMA.fields, T.StructField("split", T.StringType())]))
-        .option("header", True).option("multiLine", True).option("escape", '"')
-        .csv(root)
-    )
-    return back.select("row_id", "transcript", "intent", "params", "output_text", "split")
+    tables.sink_splits(stored_splits(spark, sf_dir), root, fmt="csv")
+    parts = [tables.scan_split_csv(spark, f"{root}/split={s}").withColumn("split", F.lit(s)) for s in ("train", "val", "test")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -186,6 +186,8 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``row_id, text, intent``: documents with a label, the language as intent."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    return docs.select(F.col("doc_id").alias("row_id"), "text", F.col("lang").alias("intent"))
+    """``row_id, text, intent``: documents joined with their quality label as intent."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality").where(F.col("quality").isNotNull())
+    intent = F.when(F.col("quality") == 1, F.lit("KEEP")).otherwise(F.lit("DROP"))
+    return docs.join(labels, "doc_id").select(F.col("doc_id").alias("row_id"), "text", intent.alias("intent"))
