@@ -15,8 +15,8 @@ def test_rows_without_tokens_stay(spark):
     vocab = fe.build_vocabulary(fe.tokens(df, "text").where("row_id < 5"))
     ids = fe.encode_tokens(fe.tokens(df, "text", keep=4), vocab)
     padded, mask = fe.pad_truncate_ids(F.col("ids"), 4)
-    rows = ids.select("row_id", padded.alias("ids"), mask.alias("mask"), fe.mask_labels(padded).alias("labels"))
-    got = {r.row_id: (r.ids, sum(r["mask"])) for r in rows.collect()}
+    rows = ids.select("row_id", padded.alias("padded"), mask.alias("mask"), fe.mask_labels(padded).alias("labels"))
+    got = {r.row_id: (r.padded, sum(r["mask"])) for r in rows.collect()}
     assert got == {1: ([3, 4, 3, 1], 4), 2: ([1, 0, 0, 0], 1), 3: ([1, 0, 0, 0], 1), 4: ([1, 0, 0, 0], 1), 5: ([2, 2, 2, 1], 4)}
     text = {r.row_id: r.text for r in fe.unmask_decode(rows, "labels", vocab).collect()}
     assert text == {1: "a b a", 2: "", 3: "", 4: "", 5: ""}
