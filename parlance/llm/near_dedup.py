@@ -236,7 +236,7 @@ class _Search:
         )
         edges = self.confirmed(likely)
         labels = components(edges)
-        sized = labels.join(labels.groupBy("label").agg(F.count("*").alias("nodes")), "label")
+        sized = labels.join(store(labels.groupBy("label").agg(F.count("*").alias("nodes")), "sizes"), "label")
         named = members.where("size > 2").join(sized, F.col("node") == F.col("rep"), "left")
         named = named.select("key", "rep", "size", "center", F.coalesce("label", "rep").alias("label"), F.coalesce("nodes", F.lit(1)).alias("nodes"))
         named = store(named, "named")
