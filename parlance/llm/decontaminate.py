@@ -10,7 +10,11 @@ two: one-permutation hashing with a load of at most one half, so a short item
 inside a document of any length still meets its own minima there. Registers
 equal to the item's give the candidates, with a bound five standard deviations
 below what 80 % containment leads one to expect; candidates are then verified
-on the whole shingle sets, in the same task, so no text is shuffled.
+on the whole shingle sets, in the same task, so no text is shuffled. A register
+keeps a shingle with a chance of 0.79 or more, so an item of few shingles could
+lose them all: items are partitioned by size too, and those of fewer than FEW
+are looked up with a register per shingle, the whole set. Others are missed with
+a chance below 0.22 ** 13.
 
 Items are sent to the tasks in blocks of about BLOCK_SHINGLES shingles, one
 pass over the documents per block, so what is broadcast stays bounded however
@@ -34,6 +38,7 @@ from parlance.llm.text import blocks, mix, row_sets
 WIDTH = 5
 PERCENT = 80
 BLOCK_SHINGLES = 2_000_000
+FEW = 16
 
 
 def _items(width: int):
@@ -55,21 +60,22 @@ def _items(width: int):
     return run
 
 
-def arrays(rows: list, width: int) -> tuple:
-    """The shingles of items (id, shingles) of one width, sorted, with the items that hold each."""
+def arrays(rows: list, width: int, few: bool) -> tuple:
+    """The shingles of items (id, shingles) of one width and size class, sorted, with the items that hold each."""
     sizes = np.array([len(r[1]) for r in rows], np.int64)
     every = np.concatenate([r[1] for r in rows])
     owner = np.repeat(np.arange(len(rows)), sizes)
     order = np.lexsort((owner, every))
     hashes, first = np.unique(every[order], return_index=True)
-    return width, [r[0] for r in rows], sizes, owner[order], hashes, np.append(first, len(every))
+    return width, few, [r[0] for r in rows], sizes, owner[order], hashes, np.append(first, len(every))
 
 
 class Index:
     """Search in what ``arrays`` returns."""
 
-    def __init__(self, width, ids, sizes, owner, hashes, at):
-        self.width, self.ids, self.sizes, self.owner, self.hashes, self.at = width, ids, sizes, owner, hashes, at
+    def __init__(self, width, few, ids, sizes, owner, hashes, at):
+        self.width, self.few, self.ids, self.sizes = width, few, ids, sizes
+        self.owner, self.hashes, self.at = owner, hashes, at
 
     def _hits(self, s: np.ndarray) -> np.ndarray:
         """How many of the values ``s`` each item holds."""
@@ -87,7 +93,7 @@ class Index:
         for i in range(block.n):
             s = np.sort(shingles[at[i] : at[i + 1]])
             sets.append(s)
-            signatures.append(signature(s))
+            signatures.append(np.unique(s) if self.few else signature(s))
         if not sets:
             return
         every = np.concatenate(signatures)
@@ -98,7 +104,7 @@ class Index:
             s = sets[row]
             count = self._hits(signatures[row])
             load = min(len(s) / registers(len(s)), 1.0)
-            stay = (1 - np.exp(-load)) / load  # chance that a shingle is the least of its register
+            stay = 1.0 if self.few else (1 - np.exp(-load)) / load  # chance that a shingle is the least of its register
             expect = PERCENT / 100 * self.sizes * stay
             likely = count >= np.maximum(1, expect - 5 * np.sqrt(expect * (1 - stay) + 1))
             if likely.any():
@@ -126,8 +132,8 @@ def _indexes(items: DataFrame, block: int) -> list[tuple]:
     rows = items.where(F.col("block") == block).select("item_id", "width", "shingles").orderBy("item_id", "d1").toArrow()
     by: dict = {}
     for item, width, s in zip(*(rows.column(i) for i in range(3)), strict=True):
-        by.setdefault(width.as_py(), []).append((item.as_py(), np.array(s.values, np.int64).view(np.uint64)))
-    return [arrays(v, k) for k, v in sorted(by.items())]
+        by.setdefault((width.as_py(), len(s) < FEW), []).append((item.as_py(), np.array(s.values, np.int64).view(np.uint64)))
+    return [arrays(v, *k) for k, v in sorted(by.items())]
 
 
 def item_blocks(benchmark: DataFrame, width: int = WIDTH, block_shingles: int = BLOCK_SHINGLES):
