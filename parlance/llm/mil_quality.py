@@ -9,8 +9,9 @@ is scored. Only document labels are learned from:
     score = sigmoid(c . sum_k a_k e_k + b)
 
 Training takes at most SAMPLE labelled documents of each class, those whose
-hashed id is least, whole; at most that many rows ever reach the driver.
-Scoring is one pass over all documents without a shuffle.
+hashed id is least, whole; at most that many rows ever reach the driver: of the
+texts of one doc_id, the one whose features come first. Scoring is one pass over
+all documents without a shuffle.
 
 Rows: a text without words (null too) has no passage and scores EMPTY_SCORE;
 repeated rows score alike; labels that are null or not 0 or 1 are not used, and
@@ -196,9 +197,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
         .mapInArrow(_features, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int, x binary")
-        .where("length(x) > 0").toArrow()
+        .where("length(x) > 0").groupBy("doc_id", "y").agg(F.min("x").alias("x")).toArrow()
     )
-    rows = rows.sort_by([("doc_id", "ascending"), ("x", "ascending")])
+    rows = rows.sort_by("doc_id")
     parts = [np.frombuffer(b, "<f4").reshape(-1, N_FEATURES).astype(float) for b in rows.column("x").to_pylist()]
     y = np.array(rows.column("y").to_pylist(), float)
     if not len(y) or y.min() == y.max():
