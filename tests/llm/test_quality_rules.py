@@ -146,3 +146,27 @@ def test_decontamination_of_empty_tables(spark):
     assert decontaminate.contained_items(docs(spark, []), bench).count() == 0
     assert decontaminate.contained_items(docs(spark, AWKWARD), bench.where("false")).count() == 0
     assert decontaminate.without_items(docs(spark, AWKWARD), bench.where("false")).count() == len(AWKWARD)
+
+
+def test_items_of_few_shingles_are_all_found(spark):
+    """The fewer shingles an item has, the less one may be lost: items of 1 to 20 words in documents of any length."""
+    rng = np.random.default_rng(9)
+    items = [(i, " ".join(f"i{i}w{x}" for x in range(1 + i % 20))) for i in range(600)]
+    rows = []
+    for n in range(200):
+        parts = [t for i in range(n, 600, 200) for t in (items[i][1], " ".join(f"q{x}" for x in rng.integers(0, 3000, 1 << n % 12)))]
+        rows.append((n, " ".join(parts), "a"))
+    sizes = [max(1, i % 20 - 3) for i in range(600)]  # words that nothing else has: each item is in its one document, whole
+    expected = sorted(((i % 200, i, n, n) for i, n in enumerate(sizes)), key=str)
+    got = decontaminate.contained_items(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=str) == expected
+
+
+def test_training_reads_each_document_once(spark):
+    """One labelled doc_id on a great many rows reaches the driver once."""
+    good, bad = "plain words in a line " * 30, "BUY!!! | $$$ " * 30
+    rows = [*((1, good, "a") for _ in range(50)), *((2, bad, "a") for _ in range(3)), (1, good + "more", "a")]
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    once = mil_quality.train(docs(spark, [rows[0], rows[50]]), labels)
+    model = mil_quality.train(docs(spark, rows), labels)
+    assert all(np.array_equal(once.p[k], model.p[k]) for k in once.p)
