@@ -11,7 +11,7 @@ semantics follow the original evaluator:
   when both sides are JSON objects whose ``params`` is an object or missing.
   Values compare like Python ``==``: numbers and booleans by value
   (``5 == 5.0``, ``True == 1``), strings by text, null equals null.
-* Percentages are 0-100, rounded to 6 digits; empty input gives null.
+* Percentages are 0-100; empty input gives null.
 """
 
 from __future__ import annotations
@@ -69,7 +69,7 @@ def align_predictions(pred: DataFrame, ref: DataFrame) -> DataFrame:
 
 
 def _pct(cond: Column) -> Column:
-    return F.round(F.avg(F.when(cond, 1.0).otherwise(0.0)) * 100.0, 6)
+    return F.avg(F.when(cond, 1.0).otherwise(0.0)) * 100.0
 
 
 def exact_match() -> Column:
@@ -103,8 +103,8 @@ def top_intent_accuracy(per_intent: DataFrame, k: int = 10) -> DataFrame:
 
 
 def bottom_intent_accuracy(per_intent: DataFrame, k: int = 5) -> DataFrame:
-    """K6: the ``k`` intents with the lowest accuracy (ties by intent name)."""
-    return per_intent.orderBy(F.col("accuracy"), F.col("intent_true")).limit(k)
+    """K6: the ``k`` intents with the lowest accuracy, by its full value (ties by intent name)."""
+    return per_intent.orderBy(F.col("correct") / F.col("total"), F.col("intent_true")).limit(k)
 
 
 # --- parameters -----------------------------------------------------------------
@@ -234,9 +234,9 @@ def param_prf(counts: DataFrame) -> DataFrame:
         "correct",
         "predicted",
         "reference",
-        F.round("_p", 6).alias("param_precision"),
-        F.round("_r", 6).alias("param_recall"),
-        F.round(f1, 6).alias("param_f1"),
+        F.col("_p").alias("param_precision"),
+        F.col("_r").alias("param_recall"),
+        f1.alias("param_f1"),
     )
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parlance.config import DEFAULT, Settings
+from parlance.config import DEFAULT, Settings, scratch_path
 from parlance.operators.positions import exact_rank, hash_bucket, seeded_key, with_id_bucket
 
 # Special ids of the original tokenizer.
@@ -45,7 +45,9 @@ def build_vocabulary(toks: DataFrame, vocab_size: int | None = None) -> DataFram
     ``vocab_size``) are ranked.
     """
     size = (DEFAULT.vocab_size if vocab_size is None else vocab_size) - FIRST_ID
-    counts = toks.where(F.col("token").isNotNull()).groupBy("token").agg(F.count(F.lit(1)).alias("n")).persist()
+    path = scratch_path(toks.sparkSession, "token_counts")
+    toks.where(F.col("token").isNotNull()).groupBy("token").agg(F.count(F.lit(1)).alias("n")).write.parquet(path)
+    counts = toks.sparkSession.read.parquet(path)
     hist = counts.groupBy("n").agg(F.count(F.lit(1)).alias("k"))
     w = Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc())
     hist = hist.withColumn("before", F.coalesce(F.sum("k").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

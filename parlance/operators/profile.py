@@ -264,11 +264,8 @@ def numeric_describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
             a, b = stats[(c, lo)], stats[(c, hi)]
             qs.append(a + (b - a) * frac)
         out.append((c, r["count"], r["mean"], r["std"], r["min"], *qs, r["max"]))
-    res = spark.createDataFrame(
+    return spark.createDataFrame(
         out,
         "column_name string, count bigint, mean double, std double, min double, "
         "p25 double, p50 double, p75 double, max double",
     )
-    return res.select(
-        "column_name", "count", *[F.round(c, 6).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]
-    )

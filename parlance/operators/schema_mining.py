@@ -145,8 +145,8 @@ def utterance_param_coverage(utt: DataFrame) -> DataFrame:
         "rows_with_params",
         "rows_without_params",
         "total_rows",
-        F.round(F.col("rows_with_params") * 100.0 / F.col("total_rows"), 6).alias("pct_with"),
-        F.round(F.col("rows_without_params") * 100.0 / F.col("total_rows"), 6).alias("pct_without"),
+        F.try_divide(F.col("rows_with_params") * F.lit(100.0), "total_rows").alias("pct_with"),
+        F.try_divide(F.col("rows_without_params") * F.lit(100.0), "total_rows").alias("pct_without"),
     )
 
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parlance.config import DEFAULT, Settings
+from parlance.config import DEFAULT, Settings, scratch_path
 from parlance.operators.positions import bucket_offsets, hash_bucket, rank_with_offsets, seeded_key
 
 
@@ -84,7 +84,9 @@ def stratified_split(df: DataFrame, settings: Settings = DEFAULT, intent: str =
     kept = df.where(F.col(intent).isNotNull()).withColumn(
         "_key", seeded_key("row_id", settings.random_seed)
     ).withColumn("_bucket", hash_bucket("_key", settings.rank_bucket_hex_digits))
-    offsets = bucket_offsets(kept, [intent]).persist()
+    path = scratch_path(df.sparkSession, "split_offsets")
+    bucket_offsets(kept, [intent]).write.parquet(path)
+    offsets = df.sparkSession.read.parquet(path)
     counts = offsets.groupBy(intent).agg(F.sum("_n").cast("bigint").alias("c"))
     quotas = split_quotas(counts.where(F.col("c") >= settings.rare_threshold), settings, intent)
     table = offsets.join(quotas.select(intent, "q_tv", "q_train"), intent)
@@ -122,5 +124,5 @@ def split_sizes(splits: DataFrame) -> DataFrame:
     return per.select(
         "split",
         "n",
-        F.round(F.col("n").cast("double") * 100.0 / F.sum("n").over(whole), 6).alias("pct"),
+        (F.col("n").cast("double") * 100.0 / F.sum("n").over(whole)).alias("pct"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from parlance.operators import evaluate as ev
 from parlance.plans.oracle_sql import eligible_sql, flat_sql, with_views
-from parlance.plans.registry import register
+from parlance.plans.registry import register, rounded
 from parlance.sources import views
 
 
@@ -52,7 +52,7 @@ def q_align_predictions(spark, sf_dir):
 )
 def q_exact_match(spark, sf_dir):
     """Percent identical texts."""
-    return _aligned(spark, sf_dir).agg(ev.exact_match())
+    return rounded(_aligned(spark, sf_dir).agg(ev.exact_match()))
 
 
 @register(
@@ -64,7 +64,7 @@ def q_exact_match(spark, sf_dir):
 )
 def q_intent_accuracy(spark, sf_dir):
     """Percent equal intents."""
-    return _aligned(spark, sf_dir).agg(ev.intent_accuracy())
+    return rounded(_aligned(spark, sf_dir).agg(ev.intent_accuracy()))
 
 
 @register(
@@ -76,7 +76,7 @@ def q_intent_accuracy(spark, sf_dir):
 )
 def q_parse_success_rate(spark, sf_dir):
     """Percent parseable predictions."""
-    return _aligned(spark, sf_dir).agg(ev.parse_success_rate())
+    return rounded(_aligned(spark, sf_dir).agg(ev.parse_success_rate()))
 
 
 PER_INTENT = f"""
@@ -91,7 +91,7 @@ FROM aligned GROUP BY intent_true
 @register("per_intent_accuracy", with_views(PER_INTENT, "aligned"))
 def q_per_intent_accuracy(spark, sf_dir):
     """Correct / total / accuracy per true intent."""
-    return ev.per_intent_accuracy(_aligned(spark, sf_dir))
+    return rounded(ev.per_intent_accuracy(_aligned(spark, sf_dir)))
 
 
 @register(
@@ -100,16 +100,16 @@ def q_per_intent_accuracy(spark, sf_dir):
 )
 def q_top_intent_accuracy(spark, sf_dir):
     """K5: ten largest intents with their accuracy."""
-    return ev.top_intent_accuracy(ev.per_intent_accuracy(_aligned(spark, sf_dir)))
+    return rounded(ev.top_intent_accuracy(ev.per_intent_accuracy(_aligned(spark, sf_dir))))
 
 
 @register(
     "bottom_intent_accuracy",
-    with_views(f"SELECT * FROM ({PER_INTENT}) x ORDER BY accuracy, intent_true LIMIT 5", "aligned"),
+    with_views(f"SELECT * FROM ({PER_INTENT}) x ORDER BY CAST(correct AS DOUBLE) / total, intent_true LIMIT 5", "aligned"),
 )
 def q_bottom_intent_accuracy(spark, sf_dir):
     """K6: five least accurate intents."""
-    return ev.bottom_intent_accuracy(ev.per_intent_accuracy(_aligned(spark, sf_dir)))
+    return rounded(ev.bottom_intent_accuracy(ev.per_intent_accuracy(_aligned(spark, sf_dir))))
 
 
 @register("flatten_params", with_views(f"SELECT row_id, path, kind, vkey FROM ({flat_sql('rv', 'all_refs')}) x", "aligned", extra={"all_refs": eligible_sql("ref_text", "rv")}))
@@ -149,7 +149,7 @@ FROM (SELECT *, CASE WHEN predicted > 0 THEN CAST(correct AS DOUBLE) * 100.0 / p
 @register("param_prf", with_views(PRF, "pred_flat", "ref_flat"))
 def q_param_prf(spark, sf_dir):
     """Micro precision / recall / F1 over flattened params."""
-    return ev.param_prf(ev.param_counts(_aligned(spark, sf_dir)))
+    return rounded(ev.param_prf(ev.param_counts(_aligned(spark, sf_dir))))
 
 
 @register(
@@ -165,4 +165,4 @@ FROM (SELECT {_pct_sql('coalesce(pred_text = ref_text, false)', 'exact_match')},
 )
 def q_evaluation_report(spark, sf_dir):
     """All scalar metrics in one row."""
-    return ev.evaluation_report(_aligned(spark, sf_dir))
+    return rounded(ev.evaluation_report(_aligned(spark, sf_dir)))

@@ -10,7 +10,7 @@ from parlance.operators import outputs as out
 from parlance.operators import training_log as tl
 from parlance.plans.oracle_sql import with_views
 from parlance.plans.q_outputs import CLASSIFIED, SINGLE, _classified, _single
-from parlance.plans.registry import register
+from parlance.plans.registry import register, rounded
 from parlance.sources import views
 
 BATCH_LOSS = (
@@ -27,11 +27,6 @@ HISTORY = (
 LOG_VIEWS = {"batch_loss": BATCH_LOSS, "epoch_means": EPOCH_MEANS, "history": HISTORY}
 
 
-def _rounded(df, *cols):
-    """Measured values at six digits, for the comparison only: operators decide on full values."""
-    return df.withColumns({c: F.round(c, 6) for c in cols})
-
-
 def _hist(spark, sf_dir):
     return tl.history(tl.epoch_mean_loss(views.batch_loss(spark, sf_dir)))
 
@@ -39,7 +34,7 @@ def _hist(spark, sf_dir):
 @register("epoch_mean_loss", with_views("SELECT epoch, split, round(mean_loss, 6) AS mean_loss, n_batches FROM epoch_means", extra=LOG_VIEWS))
 def q_epoch_mean_loss(spark, sf_dir):
     """Mean batch loss per epoch and split."""
-    return _rounded(tl.epoch_mean_loss(views.batch_loss(spark, sf_dir)), "mean_loss")
+    return rounded(tl.epoch_mean_loss(views.batch_loss(spark, sf_dir)), "mean_loss")
 
 
 @register(
@@ -55,7 +50,7 @@ FROM (SELECT epoch, val_loss, min(val_loss) OVER (ORDER BY epoch ROWS BETWEEN UN
 )
 def q_running_best_loss(spark, sf_dir):
     """Best validation loss so far and the checkpoint flags."""
-    return _rounded(tl.running_best_loss(_hist(spark, sf_dir)), "val_loss", "best_before", "best_so_far")
+    return rounded(tl.running_best_loss(_hist(spark, sf_dir)), "val_loss", "best_before", "best_so_far")
 
 
 @register(
@@ -71,7 +66,7 @@ FROM (SELECT epoch, train_loss - lag(train_loss) OVER (ORDER BY epoch) AS delta,
 )
 def q_loss_delta(spark, sf_dir):
     """Change of the train loss in the last epoch."""
-    return _rounded(tl.loss_delta(_hist(spark, sf_dir)), "last_delta")
+    return rounded(tl.loss_delta(_hist(spark, sf_dir)), "last_delta")
 
 
 @register(
@@ -84,7 +79,7 @@ def q_loss_delta(spark, sf_dir):
 )
 def q_generalization_gap(spark, sf_dir):
     """Validation minus train loss per epoch."""
-    return _rounded(tl.generalization_gap(_hist(spark, sf_dir)), "gap")
+    return rounded(tl.generalization_gap(_hist(spark, sf_dir)), "gap")
 
 
 @register(
@@ -96,7 +91,7 @@ def q_generalization_gap(spark, sf_dir):
 )
 def q_final_gap(spark, sf_dir):
     """Gap of the last epoch."""
-    return _rounded(tl.final_gap(_hist(spark, sf_dir)), "final_gap")
+    return rounded(tl.final_gap(_hist(spark, sf_dir)), "final_gap")
 
 
 @register(
@@ -117,7 +112,7 @@ FROM (SELECT arg_max(val_loss, epoch) AS final_val_loss FROM history) h,
 def q_diagnosis_flags(spark, sf_dir):
     """Loss band and issue-rate flags."""
     flags = tl.diagnosis_flags(_hist(spark, sf_dir), out.issue_summary(_classified(spark, sf_dir)))
-    return _rounded(flags, "final_val_loss", "parse_error_pct", "missing_params_pct")
+    return rounded(flags, "final_val_loss", "parse_error_pct", "missing_params_pct")
 
 
 @register("history_roundtrip", with_views(
@@ -132,7 +127,7 @@ def q_history_roundtrip(spark, sf_dir):
     tl.history_document(hist).coalesce(1).write.mode("overwrite").json(path)
     doc = spark.read.schema("train_loss array<double>, val_loss array<double>, learning_rate array<double>").json(path)
     rows = tl.history_rows(doc).withColumn("epoch", F.col("epoch").cast("bigint"))
-    return _rounded(rows, "train_loss", "val_loss")
+    return rounded(rows, "train_loss", "val_loss")
 
 
 @register(
@@ -149,7 +144,7 @@ def q_latency_summary(spark, sf_dir):
     """Success rate and timing of the scored outputs."""
     s = _single(spark, sf_dir).select("row_id", "intent")
     t = views.latencies(spark, sf_dir).select("row_id", "inference_time_ms")
-    return _rounded(lat.latency_summary(s.join(t, "row_id")), "success_pct", "mean_ms")
+    return rounded(lat.latency_summary(s.join(t, "row_id")), "success_pct", "mean_ms")
 
 
 @register(
@@ -163,7 +158,7 @@ FROM events""",
 )
 def q_latency_benchmark(spark, sf_dir):
     """Benchmark statistics of all measured times."""
-    return _rounded(lat.latency_benchmark(views.latencies(spark, sf_dir)), "mean_ms", "std_ms", "queries_per_second")
+    return rounded(lat.latency_benchmark(views.latencies(spark, sf_dir)), "mean_ms", "std_ms", "queries_per_second")
 
 
 @register(
@@ -173,4 +168,4 @@ def q_latency_benchmark(spark, sf_dir):
 )
 def q_batch_average_latency(spark, sf_dir):
     """Average time per text of every batch."""
-    return _rounded(lat.batch_average_latency(views.latencies(spark, sf_dir)), "total_ms", "avg_ms")
+    return rounded(lat.batch_average_latency(views.latencies(spark, sf_dir)), "total_ms", "avg_ms")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from parlance.operators import profile as pr
 from parlance.plans.oracle_sql import with_views
 from parlance.plans.q_splits import stored_splits
-from parlance.plans.registry import register
+from parlance.plans.registry import register, rounded
 from parlance.sources import views
 from parlance.sources.tables import table
 
@@ -169,7 +169,7 @@ _DOC_AVG = " UNION ALL ".join(
 @register("text_column_profile", f"SELECT column_name, round(avg_length, 6) AS avg_length FROM ({_DOC_AVG}) x WHERE avg_length > 10")
 def q_text_column_profile(spark, sf_dir):
     """Text columns (mean length > 10) of ``documents``."""
-    return pr.text_column_profile(table(spark, sf_dir, "documents", "doc_id", *DOC_STRINGS)).withColumn("avg_length", F.round("avg_length", 6))
+    return rounded(pr.text_column_profile(table(spark, sf_dir, "documents", "doc_id", *DOC_STRINGS)))
 
 
 @register(
@@ -226,4 +226,4 @@ def _describe_sql(col: str) -> str:
 @register("numeric_describe", " UNION ALL ".join(_describe_sql(c) for c in LINEITEM_NUMERIC))
 def q_numeric_describe(spark, sf_dir):
     """describe() of the numeric columns of ``lineitem`` with exact quartiles."""
-    return pr.numeric_describe(table(spark, sf_dir, "lineitem", *LINEITEM_NUMERIC))
+    return rounded(pr.numeric_describe(table(spark, sf_dir, "lineitem", *LINEITEM_NUMERIC)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from parlance.operators import schema_mining as sm
 from parlance.plans.oracle_sql import with_views
-from parlance.plans.registry import register
+from parlance.plans.registry import register, rounded
 from parlance.sources import views
 
 
@@ -100,7 +100,7 @@ FROM (SELECT CAST(sum(CASE WHEN flag = 'with' THEN 1 ELSE 0 END) AS BIGINT) AS r
 )
 def q_utterance_param_coverage(spark, sf_dir):
     """Rows with and without params."""
-    return sm.utterance_param_coverage(views.utterances(spark, sf_dir))
+    return rounded(sm.utterance_param_coverage(views.utterances(spark, sf_dir)))
 
 
 SPREAD = "SELECT param, count(DISTINCT ann_intent) AS n_intents FROM entries GROUP BY param"

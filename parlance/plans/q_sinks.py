@@ -10,7 +10,7 @@ from parlance.operators import splits as sp
 from parlance.plans.oracle_sql import with_views
 from parlance.plans.q_evaluate import PER_INTENT, PRF, _aligned, _pct_sql
 from parlance.plans.q_splits import stored_splits
-from parlance.plans.registry import register
+from parlance.plans.registry import register, rounded
 from parlance.sources import tables, views
 
 
@@ -88,4 +88,4 @@ def q_sink_metrics(spark, sf_dir):
         "per_intent_accuracy",
         lambda p: F.concat(p["intent_true"], F.lit("="), p["correct"].cast("string"), F.lit("/"), p["total"].cast("string")),
     )
-    return docs.withColumn("per_intent", F.array_join(text, ",")).drop("per_intent_accuracy")
+    return rounded(docs.withColumn("per_intent", F.array_join(text, ",")).drop("per_intent_accuracy"))

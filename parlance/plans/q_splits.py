@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from parlance.config import scratch_path
 from parlance.operators import splits as sp
 from parlance.plans.oracle_sql import with_views
-from parlance.plans.registry import register
+from parlance.plans.registry import register, rounded
 from parlance.sources import tables, views
 
 
@@ -87,7 +87,7 @@ def q_intent_inventory(spark, sf_dir):
 )
 def q_split_sizes(spark, sf_dir):
     """Rows and percent per split."""
-    return sp.split_sizes(stored_splits(spark, sf_dir))
+    return rounded(sp.split_sizes(stored_splits(spark, sf_dir)))
 
 
 @register(

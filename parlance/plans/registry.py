@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parlance.config import prepare_session
 
@@ -14,6 +15,12 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
 
 
+def rounded(df: DataFrame, *cols: str) -> DataFrame:
+    """Measured values at six digits, for the comparison only: operators decide on full values."""
+    cols = cols or tuple(c for c, kind in df.dtypes if kind == "double")
+    return df.withColumns({c: F.round(c, 6) for c in cols})
+
+
 def register(name: str, sql: str | None = None):
     """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name``.
 

@@ -1,7 +1,5 @@
 """Evaluation invariants, latency golden values, training-log rules."""
 
-from pyspark.sql import functions as F
-
 from parlance.operators import evaluate as ev
 from parlance.operators import latency as lat
 from parlance.operators import training_log as tl
@@ -49,4 +47,3 @@ def test_running_best(spark):
     assert d.status == "plateau" and d.n_epochs == 4
     flat = tl.history_rows(tl.history_document(hist)).orderBy("epoch").collect()
     assert [r.val_loss for r in flat] == [0.5, 0.6, 0.4, 0.4]
-    assert F is not None

@@ -5,7 +5,7 @@ from types import SimpleNamespace
 import pytest
 
 from parlance import config
-from parlance.operators import annotations, evaluate, latency, profile, training_log
+from parlance.operators import annotations, evaluate, latency, profile, splits, training_log
 
 
 def nested(depth, leaf):
@@ -77,3 +77,15 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
         fake = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: d))
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             config.checkpoint_dir(fake)
+
+
+def test_least_accurate_intents_by_full_values(spark):
+    rows = [("A", 999_999_998, 10**9), ("B", 999_999_997, 10**9), ("C", 10**9, 10**9)]
+    per = spark.createDataFrame([(i, c, n, c / n * 100.0) for i, c, n in rows], "intent_true string, correct long, total long, accuracy double")
+    assert [r.intent_true for r in evaluate.bottom_intent_accuracy(per, 2).collect()] == ["B", "A"]
+
+
+def test_percentages_keep_all_digits(spark):
+    rows = [(i, "train" if i else "val") for i in range(3)]
+    got = {r.split: r.pct for r in splits.split_sizes(spark.createDataFrame(rows, "row_id long, split string")).collect()}
+    assert got == {"train": 200 / 3, "val": 100 / 3}
