@@ -18,11 +18,14 @@ a chance below 0.22 ** 13.
 
 Items are sent to the tasks in blocks of about BLOCK_SHINGLES shingles, one
 pass over the documents per block, so what is broadcast stays bounded however
-large the benchmark is. Items with equal shingle sets count as one, the least
-item_id standing for them.
+large the benchmark is. Items with equal shingle sets are searched for once,
+and a hit gives a pair with the id of each; a set of more than about IDS ids is
+searched for once per so many.
 
 Rows: null and empty texts contain nothing, and items without words are in no
-document; repeated rows answer each for itself; null ids are carried through.
+document; repeated documents answer each for itself; null doc_ids are carried
+through. As in the SQL, an item with a null id gives no pair; a document that
+contains it is not clean all the same.
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ from parlance.llm.text import blocks, mix, row_sets
 WIDTH = 5
 PERCENT = 80
 BLOCK_SHINGLES = 2_000_000
+IDS = 10_000
+OUT_ROWS = 100_000
 FEW = 16
 
 
@@ -61,7 +66,7 @@ def _items(width: int):
 
 
 def arrays(rows: list, width: int, few: bool) -> tuple:
-    """The shingles of items (id, shingles) of one width and size class, sorted, with the items that hold each."""
+    """The shingles of items (ids, shingles) of one width and size class, sorted, with the items that hold each."""
     sizes = np.array([len(r[1]) for r in rows], np.int64)
     every = np.concatenate([r[1] for r in rows])
     owner = np.repeat(np.arange(len(rows)), sizes)
@@ -129,49 +134,60 @@ def signature(s: np.ndarray) -> np.ndarray:
 
 def _indexes(items: DataFrame, block: int) -> list[tuple]:
     """Of one block of items, whose size is bounded by the number of blocks."""
-    rows = items.where(F.col("block") == block).select("item_id", "width", "shingles").orderBy("item_id", "d1").toArrow()
+    rows = items.where(F.col("block") == block).orderBy("d1", "d2", "width", "chunk").select("ids", "width", "shingles").toArrow()
     by: dict = {}
-    for item, width, s in zip(*(rows.column(i) for i in range(3)), strict=True):
-        by.setdefault((width.as_py(), len(s) < FEW), []).append((item.as_py(), np.array(s.values, np.int64).view(np.uint64)))
+    for ids, width, s in zip(*(rows.column(i) for i in range(3)), strict=True):
+        by.setdefault((width.as_py(), len(s) < FEW), []).append((np.array(ids.values, np.int64), np.array(s.values, np.int64).view(np.uint64)))
     return [arrays(v, *k) for k, v in sorted(by.items())]
 
 
-def item_blocks(benchmark: DataFrame, width: int = WIDTH, block_shingles: int = BLOCK_SHINGLES):
-    """The broadcast variables, one per block of items."""
+def item_blocks(benchmark: DataFrame, width: int = WIDTH, block_shingles: int = BLOCK_SHINGLES, *, ids: bool):
+    """The broadcast variables, one per block of items, with the ids of all items of each set or with none."""
     spark = benchmark.sparkSession
     kind = benchmark.schema["item_id"].dataType.simpleString()
+    same = ["d1", "d2", "width"]
     sets = benchmark.select("item_id", "text").mapInArrow(
         _items(width), f"item_id {kind}, width int, shingles array<long>, d1 long, d2 long"
-    )
-    items = store(
-        sets.where("size(shingles) > 0").groupBy("d1", "d2", "width")
-        .agg(F.min("item_id").alias("item_id"), F.first("shingles").alias("shingles")),
-        "items",
-    )
-    total = items.agg(F.sum(F.size("shingles"))).first()[0] or 0
+    ).where("size(shingles) > 0")
+    items = store(sets.groupBy(*same).agg(F.count("item_id").alias("copies"), F.first("shingles").alias("shingles")), "items")
+    if ids:
+        members = sets.where("item_id is not null").select(*same, "item_id").distinct().join(items.select(*same, "copies"), same)
+        chunk = F.pmod(F.xxhash64("item_id"), F.ceil(F.col("copies") / IDS))
+        members = members.groupBy(*same, chunk.alias("chunk")).agg(F.collect_list("item_id").alias("ids"))
+        items = store(members.join(items.select(*same, "shingles"), same), "members")
+    else:
+        items = items.select(*same, F.lit(0).alias("chunk"), F.array().cast("array<long>").alias("ids"), "shingles")
+    total = items.agg(F.sum(F.size("shingles") + F.size("ids"))).first()[0] or 0
     n = -(-total // block_shingles)
-    items = items.withColumn("block", F.pmod(F.xxhash64("d1", "d2"), F.lit(max(n, 1))))
+    items = items.withColumn("block", F.pmod(F.xxhash64("d1", "d2", "chunk"), F.lit(max(n, 1))))
     for block in range(n):
         yield spark.sparkContext.broadcast(_indexes(items, block))
 
 
 def _pairs(sent):
+    def table(ids, found):
+        """The hits (row, ids, n_item, n_common) as columns, a row for every id."""
+        each = np.array([len(x[1]) for x in found])
+        rows, sizes, common = (np.repeat(np.array([x[i] for x in found], np.int64), each) for i in (0, 2, 3))
+        items = np.concatenate([x[1] for x in found])
+        return pa.RecordBatch.from_arrays(
+            [ids.take(pa.array(rows)), pa.array(items), pa.array(sizes), pa.array(common)], ["doc_id", "item_id", "n_item", "n_common"]
+        )
+
     def run(batches):
         indexes = [Index(*x) for x in sent.value]
         for batch in batches:
-            rows, items, sizes, common = [], [], [], []
+            found, n = [], 0
             for block in blocks(batch.column(1), True):
                 for index in indexes:
-                    for row, item, n in index.search(block):
-                        rows.append(row)
-                        items.append(index.ids[item])
-                        sizes.append(int(index.sizes[item]))
-                        common.append(n)
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(items, pa.int64()), pa.array(sizes, pa.int64()), pa.array(common, pa.int64())],
-                    ["doc_id", "item_id", "n_item", "n_common"],
-                )
+                    for row, item, common in index.search(block):
+                        found.append((row, index.ids[item], int(index.sizes[item]), common))
+                        n += len(index.ids[item])
+                        if n >= OUT_ROWS:
+                            yield table(batch.column(0), found)
+                            found, n = [], 0
+            if found:
+                yield table(batch.column(0), found)
 
     return run
 
@@ -183,7 +199,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -
     schema = f"doc_id {kind}, item_id long, n_item long, n_common long"
     found = [
         docs.select("doc_id", "text").mapInArrow(_pairs(sent), schema)
-        for sent in item_blocks(benchmark.withColumn("item_id", F.col("item_id").cast("long")), width)
+        for sent in item_blocks(benchmark.withColumn("item_id", F.col("item_id").cast("long")), width, ids=True)
     ]
     if not found:
         return spark.createDataFrame([], schema)
@@ -209,6 +225,6 @@ def _clean(sent, at: int):
 
 def without_items(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """The documents that contain no test item, all columns as they are."""
-    for sent in item_blocks(benchmark.withColumn("item_id", F.col("item_id").cast("long")), width):
+    for sent in item_blocks(benchmark.withColumn("item_id", F.col("item_id").cast("long")), width, ids=False):
         docs = docs.mapInArrow(_clean(sent, docs.columns.index("text")), docs.schema)
     return docs

@@ -170,3 +170,29 @@ def test_training_reads_each_document_once(spark):
     once = mil_quality.train(docs(spark, [rows[0], rows[50]]), labels)
     model = mil_quality.train(docs(spark, rows), labels)
     assert all(np.array_equal(once.p[k], model.p[k]) for k in once.p)
+
+
+def test_repeated_items_give_every_pair(spark, monkeypatch):
+    """Items equal as they stand, up to case or space, or in their shingle set, and null ids, as the SQL has them."""
+    import duckdb
+
+    from parlance.llm.sql import ORACLES
+
+    long, loop = " ".join(f"k{i}" for i in range(40)), "a b c d e f"
+    items = [(3, long), (5, long), (9, long.upper().replace(" ", "\n ")), (None, long), (4, "Two words"), (2, "two  WORDS"), (None, "lonely item")]
+    items += [(20, loop + " a b c d e f a b c d e"), (21, loop + " a b c d e f a b c d e f"), (22, loop)]
+    rows = [(1, "x " + long + " y", "a"), (1, "x " + long + " y", "a"), (None, long, "a"), (2, "two words", "b"), (3, "a lonely item", "b"), (4, (loop + " ") * 4, None), (5, None, "a")]
+    con = duckdb.connect()
+    for name, schema, values in (("documents", "doc_id BIGINT, text VARCHAR", [r[:2] for r in rows]), ("benchmark", "item_id BIGINT, text VARCHAR", items)):
+        con.execute(f"CREATE TABLE {name} ({schema})")
+        con.executemany(f"INSERT INTO {name} VALUES (?, ?)", values)
+    expected = sorted(con.execute(ORACLES["op7_decontamination"]).fetchall(), key=str)
+    assert {x[1] for x in expected} == {2, 3, 4, 5, 9, 20, 21, 22} and len(expected) == 14
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for ids, size, out in ((decontaminate.IDS, decontaminate.BLOCK_SHINGLES, decontaminate.OUT_ROWS), (1, 10, 1)):
+        monkeypatch.setattr(decontaminate, "IDS", ids)
+        monkeypatch.setattr(decontaminate, "OUT_ROWS", out)
+        monkeypatch.setattr(decontaminate.item_blocks, "__defaults__", (5, size))
+        got = [tuple(r) for r in decontaminate.contained_items(docs(spark, rows), bench).collect()]
+        assert sorted(got, key=str) == expected
+    assert {r.doc_id for r in decontaminate.without_items(docs(spark, rows), bench).collect()} == {5}
