@@ -1,17 +1,25 @@
 """Keyed surrogates for personal data (operator 3).
 
-Entities are found in the whole text: e-mail addresses, telephone numbers, IPv4
-addresses, payment card numbers, access keys, passwords and tokens after their
-keyword, and names after a title. Each is replaced by a surrogate of the same
-type, format and script:
+Entities are found in the whole text:
+
+* e-mail addresses, IPv4 addresses, payment card numbers, access keys;
+* telephone numbers with a country code, with an area code in brackets, as
+  3-3-4 digits or with a trunk 0, and any of 7 digits or more after a word such
+  as ``tel``;
+* passwords and tokens after their keyword, which may end a longer word: what is
+  quoted there, else all up to the next space, digits or not;
+* all name words after a title, with initials and particles such as ``van``
+  between them, and every other mention of those words in the same document.
+
+Each is replaced by a surrogate of the same type, format and script:
 
 * characters are permuted within their class (digits, hexadecimal digits,
   letters of one script, case kept) by a keyed Feistel permutation over all
   strings of that format, so different entities of a format get different
   surrogates and an entity gets the same one wherever it occurs;
 * card numbers keep their first digit and their checksum, telephone numbers
-  their country code and a fictional 555 exchange, e-mail addresses their
-  domain, IPv4 addresses valid octets;
+  their country code or the digits that mark a national number, and a fictional
+  555 exchange, e-mail addresses their domain, IPv4 addresses valid octets;
 * given names known for the title's gender are permuted within the names of
   that gender, other name words within the letters of their script, their last
   letter kept, as it marks the gender in many languages.
@@ -33,6 +41,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -55,22 +64,37 @@ GIVEN = {
 }
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_TITLE = "|".join(t for g in TITLES.values() for t in g)
-_KEYWORD = "|".join(f(w) for w in ("password", "passwd", "token", "secret", "apikey", "api_key") for f in (str, str.title, str.upper))
-#: (kind, one of these occurs in the text, pattern); the entity is the group named e. All but names need a digit.
+_TITLES = tuple(t for g in TITLES.values() for t in g)
+_TITLE = "|".join(_TITLES)
+_KEYWORDS = ("password", "passwd", "token", "secret", "apikey", "api_key")
+_TELEPHONES = ("tel", "telephone", "phone", "mobile", "fax")
+_ASSIGNED = rf"(?:{'|'.join(_KEYWORDS)})[\"']?\s*(?:=>|:=|=+|:)\s*"
+#: A word of a name, and the next one of the same name with what may stand between.
+_WORD = r"[^\W\d_]+"
+_NEXT = re.compile(rf"(?:[ '’-]|(?<=\b[^\W\d_])\. ?)(?P<e>{_WORD})")
+_PARTICLES = frozenset("van von der den de del della di da dos du la le bin ibn al ter ten zu zur".split())
+_DATE = r"\d{1,2}(?P<d>[ ./-])\d{1,2}(?P=d)\d{4}(?!\d)|\d{4}-\d{2}-\d{2}(?!\d)"
+#: (kind, one of these occurs in the text, for keywords in any case, pattern); the entity is the group named e. All but secrets, names and e-mail addresses need a digit.
 PATTERNS = tuple(
     (kind, needs, re.compile(pattern))
     for kind, needs, pattern in (
         ("email", ("@",), r"(?<![A-Za-z0-9._%+-])(?P<e>[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24})"),
-        ("secret", ("=", ":"), rf"\b(?:{_KEYWORD})\s*[=:]\s*(?P<q>[\"']?)(?P<e>[A-Za-z0-9_+/-]*\d[A-Za-z0-9_+/-]*)(?P=q)"),
+        ("secret", _KEYWORDS, rf"(?i:{_ASSIGNED})(?P<q>[\"'`])(?P<e>(?:\\.|(?!(?P=q))[^\\\n])+)(?P=q)"),
+        ("secret", _KEYWORDS, rf"(?i:{_ASSIGNED})[\"'`]?(?P<e>(?:(?![&,;][\w.-]+\s*[=:])[^\s\"'`<>])+)"),
         ("key", ("AKIA",), r"\b(?P<e>AKIA[A-Z0-9]{16})\b"),
         ("ip", (".",), rf"(?<![\d.])(?P<e>(?:{_OCTET}\.){{3}}{_OCTET})(?!\.?\d)"),
         ("phone", ("+",), r"(?<![\w+])(?P<e>\+\d{1,3}(?:[ .-]?\(\d{2,4}\))?(?:[ .-]?\d{2,5}){2,4})(?![\w-])"),
+        ("phone", ("(",), r"(?P<e>(?:(?<![\w+.-])1[ .-]?)?\((?!(?:19|20)\d\d\))\d{2,5}\)(?:[ ./-]?\d{2,5}){2,4})(?![\w-])"),
+        ("phone", ("",), r"(?<![\w+.,/-])(?P<e>(?:1[ .-])?[2-9]\d\d(?P<s>[ .-])[2-9]\d\d(?P=s)\d{4})(?![\w-]|\.\d)"),
+        ("phone", ("0",), rf"(?<![\w+.,/-])(?!{_DATE})(?P<e>0[1-9]\d{{7,9}}|0[1-9]\d{{0,3}}[ ./-]\d{{2,8}}(?:[ .-]\d{{2,5}}){{0,4}})(?![\w-]|\.\d)"),
+        ("phone", _TELEPHONES, rf"(?i:\b(?P<tel>{'|'.join(_TELEPHONES)})\b)\.?[ :]{{0,3}}(?!{_DATE})(?P<e>\(?\d(?:[ ()./-]{{0,2}}\d){{6,14}})(?![\w-]|\.\d)"),
         ("card", ("",), r"(?<![\w.+-])(?P<e>\d{4}(?P<s>[ -]?)\d{4}(?P=s)\d{4}(?P=s)\d{1,7})(?![\w-]|\.\d)"),
-        ("name", tuple(t for g in TITLES.values() for t in g), rf"\b(?P<t>{_TITLE})(?:\.|(?<=Miss|Herr|Frau|г-жа)|(?<=Mme)|(?<=г-н)|(?<=Madame|Señora)|(?<=Señor)|(?<=Monsieur)|(?<=Κα)|(?<=Κος)) (?P<e>[^\W\d_]+(?:[ -][^\W\d_]+)?)"),
+        ("name", _TITLES, rf"\b(?P<t>{_TITLE})(?:\.|(?<=Miss|Herr|Frau|г-жа)|(?<=Mme)|(?<=г-н)|(?<=Madame|Señora)|(?<=Señor)|(?<=Monsieur)|(?<=Κα)|(?<=Κος)) (?P<e>{_WORD})"),
     )
 )
 _DIGIT = re.compile("[0-9]")
+#: Area code and exchange of a national number of 3-3-4 digits.
+_NATIONAL = re.compile(r"(?:1[ .-]?)?\(?(?P<a>[2-9])\d\d\)?[ ./-]?(?P<b>[2-9])\d\d[ ./-]?\d{4}")
 
 
 def luhn(digits: str) -> int:
@@ -82,27 +106,53 @@ def luhn(digits: str) -> int:
     return total % 10
 
 
+def _name_words(m: re.Match):
+    """(start, word) of the name whose first word is ``m["e"]``: up to a title or a word in lower or upper case that is no particle between others."""
+    particles, first = 0, True
+    while m:
+        w = m["e"]
+        if w[0].isupper() and (len(w) == 1 or not w.isupper()) and w not in _TITLES:
+            yield m.start("e"), w
+            particles, first = 0, False
+        elif first or w not in _PARTICLES or particles == 3:
+            return
+        else:
+            particles += 1
+        m = _NEXT.match(m.string, m.end("e"))
+
+
 def mentions(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, entity) without overlaps, in order; names word by word, kind ``name m`` or ``name f``."""
-    found = []
+    found, named = [], {}
     digits = _DIGIT.search(text) is not None
+    low = text.lower()
     for kind, needs, pattern in PATTERNS:
-        if not (digits or kind in ("name", "email")) or not any(x in text for x in needs):
+        if not (digits or kind in ("name", "email", "secret")) or not any(x in (low if needs in (_KEYWORDS, _TELEPHONES) else text) for x in needs):
             continue
         for m in pattern.finditer(text):
             e = m["e"]
             if kind == "card" and luhn(re.sub(r"\D", "", e)):
                 continue
-            if kind == "phone" and len(re.sub(r"\D", "", e)) < 8:
+            if kind == "phone" and len(re.sub(r"\D", "", e)) < (7 if "tel" in pattern.groupindex else 9 if e[0] == "0" else 8):
                 continue
+            if kind == "secret":
+                e = e if "q" in pattern.groupindex else e.rstrip(".,;:)]}")
+                if not any(c.isalnum() for c in e):
+                    continue
             if kind == "name":
                 gender = "m" if m["t"] in TITLES["m"] else "f"
-                words = [w for w in re.finditer(r"[^\W\d_]+", e) if w[0][0].isupper() and (len(w[0]) == 1 or not w[0].isupper())]
-                if not words or words[0].start():
-                    continue
-                found += [(m.start("e") + w.start(), m.start("e") + w.end(), f"name {gender}", w[0]) for w in words]
+                for at, w in _name_words(m):
+                    found.append((at, at + len(w), f"name {gender}", w))
+                    if len(w) > 1:
+                        named.setdefault(w, {})[at] = f"name {gender}"
             else:
-                found.append((m.start("e"), m.end("e"), kind, e))
+                found.append((m.start("e"), m.start("e") + len(e), kind, e))
+    if named:
+        last = {w: next(iter(at.values())) for w, at in named.items()}  # the kind of a mention without title is that of the title before it
+        for w in re.finditer(_WORD, text):
+            if w[0] in last:
+                last[w[0]] = named[w[0]].get(w.start(), last[w[0]])
+                found.append((w.start(), w.end(), last[w[0]], w[0]))
     out, end = [], 0
     for x in sorted(found, key=lambda x: (x[0], -x[1])):
         if x[0] >= end:
@@ -125,13 +175,21 @@ def permuted(x: int, size: int, key: bytes, tweak: str) -> int:
             return x
 
 
-def _format_preserving(text: str, keep: set[int], key: bytes, tweak: str, hexadecimal: bool = False) -> str:
-    """``text`` with the characters outside ``keep`` permuted within their classes, case kept."""
+@cache
+def _page(n: int) -> str:
+    """The letters and digits among 256 characters, capitals left out."""
+    return "".join(c for c in map(chr, range(n << 8, (n + 1) << 8)) if c.isalnum() and c.lower() == c)
+
+
+def _format_preserving(text: str, keep: set[int], key: bytes, tweak: str, hexadecimal: bool = False, every: bool = False) -> str:
+    """``text`` with the characters outside ``keep`` permuted within their classes, case kept; with ``every`` those of other scripts too."""
     alphabets = {}
     for i, c in enumerate(text):
         for letters in (HEX,) if hexadecimal else (DIGITS, *SCRIPTS):
             if i not in keep and c.lower() in letters and len(c.lower()) == 1:
                 alphabets[i] = letters
+        if every and i not in alphabets and len(c.lower()) == 1 and c.lower() in _page(ord(c.lower()) >> 8):
+            alphabets[i] = _page(ord(c.lower()) >> 8)
     rank, size = 0, 1
     for i, letters in alphabets.items():
         rank, size = rank * len(letters) + letters.index(text[i].lower()), size * len(letters)
@@ -162,8 +220,13 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes = KEY) -> str:
         n = permuted(n, 1 << 32, key, tweak)
         return ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))
     if kind == "phone":
-        code = re.match(r"\+\d+", entity).end() if re.match(r"\+\d{1,3}[^\d]", entity) else 2
-        keep = set(range(code))
+        if entity[0] == "+":
+            code = re.match(r"\+\d+", entity).end() if re.match(r"\+\d{1,3}[^\d]", entity) else 2
+            keep = set(range(code))
+        elif m := _NATIONAL.fullmatch(entity):
+            keep = {*range(m.end("a")), m.start("b")}
+        else:
+            keep = {i for i, c in enumerate(entity) if c == "0" and not entity[:i].strip("(")}
         if m := re.search(r"\b555(?=[ .-]?\d{4}$)", entity):
             keep |= set(range(*m.span()))
         return _format_preserving(entity, keep, key, tweak) + "0" * longer
@@ -177,7 +240,7 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes = KEY) -> str:
         return _format_preserving(entity, set(range(4)), key, tweak) + "A" * longer
     if kind == "secret":
         plain = set(entity) <= set(HEX)
-        return _format_preserving(entity, set(), key, tweak, plain) + "0" * longer
+        return _format_preserving(entity, set(), key, tweak, plain, True) + "0" * longer
     word, gender = entity.lower(), kind[-1]
     for names in GIVEN[gender]:
         if word in names and not longer:

@@ -90,3 +90,41 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("text", ["", "plain", "4111", "+1", "a@b", "Mr. ", "password=", "1.2.3", "@" * 1000, "4" * 1000])
 def test_nothing_found(text):
     assert found(text) == set()
+
+
+@pytest.mark.parametrize(
+    "text, entities",
+    [
+        ("access_token=abc123 client_secret: xyzzy; DB_PASSWORD=Hunter", {("secret", "abc123"), ("secret", "xyzzy"), ("secret", "Hunter")}),
+        ("password=p@ss!w0rd#, next", {("secret", "p@ss!w0rd#")}),
+        ('{"userPassword": "correct horse, \\" battery!", \'api_key\': \'a b\'}', {("secret", 'correct horse, \\" battery!'), ("secret", "a b")}),
+        ("?token=abc&page=2 secret=a&b password=***", {("secret", "abc"), ("secret", "a&b")}),
+        ("(212) 555-0100, 1-212-555-0101 or 212.555.0102", {("phone", "(212) 555-0100"), ("phone", "1-212-555-0101"), ("phone", "212.555.0102")}),
+        ("030/1234567; 020 7946 0958, 01 23 45 67 89. Tel.: 555 0100", {("phone", "030/1234567"), ("phone", "020 7946 0958"), ("phone", "01 23 45 67 89"), ("phone", "555 0100")}),
+        ("On 01-02-2024, 01.02.2024 or 2024-01-02, 08.30-12.45, 12 (2004) 123-145, 0.12345678, 100 200 3000, fax 2024-01-02", set()),
+        ("Mr. John Paul Smith left.", {("name m", "John"), ("name m", "Paul"), ("name m", "Smith")}),
+        ("Mrs. Mary J. van der Berg-O'Neil went home", {("name f", x) for x in ("Mary", "J", "Berg", "O", "Neil")}),
+    ],
+)
+def test_wider_formats(text, entities):
+    assert found(text) == entities
+
+
+def test_other_mentions_of_a_name():
+    text = "Smith? Mr. John Paul Smith came. Paul said Smith's Smithy and blacksmith. Mrs. Smith sang; Smith left."
+    at = [(text[a:b], k) for a, b, k, _ in surrogates.mentions(text)]
+    m, f = "name m", "name f"
+    assert at == [("Smith", m), ("John", m), ("Paul", m), ("Smith", m), ("Paul", m), ("Smith", m), ("Smith", f), ("Smith", f)]
+
+
+def test_surrogates_of_the_wider_formats(spark):
+    texts = ["(212) 555-0100 and 212-867-5309, 030/1234567.", "access_token=abcdef and password='пароль ß密碼!'", "Mr. John Paul Smith. Later Smith and Paul."]
+    rows = {r.doc_id: r for r in surrogates.pseudonymize(docs(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect()}
+    assert [rows[i].n_entities for i in range(3)] == [3, 2, 5]
+    for i, t in enumerate(texts):
+        for _, _, _, e in surrogates.mentions(t):
+            assert e not in rows[i].text
+    assert re.fullmatch(r"\(2\d\d\) 555-\d{4} and 2\d\d-8\d\d-\d{4}, 0\d\d/\d{7}\.", rows[0].text)
+    assert not set("пароль密碼") <= set(rows[1].text) and rows[1].text.endswith("!'")
+    first, paul, smith = re.fullmatch(r"Mr\. (\w+) (\w+) (\w+)\. Later \3 and \2\.", rows[2].text).groups()
+    assert len({first, paul, smith}) == 3
