@@ -29,9 +29,11 @@ confirmed on full shingle sets; groups are the connected components.
    common one is at a place after which enough are left in both. A join on those
    finds every such pair without comparing all. No bucket is capped.
 
-Rows: a null text is empty; repeated rows form one node; rows with one doc_id
-and different texts are one node (their groups meet); a null doc_id groups only
-with equal sets. Other columns of the input are not read.
+Rows: a null text is empty; every distinct shingle set is a node, whatever the
+doc_ids of its rows, so texts that share a doc_id meet only if they are linked,
+and texts with a null doc_id link like any others. Where all of a group's
+doc_ids are null, so is its component_id. Other columns of the input are read
+only to tell rows apart.
 """
 
 from __future__ import annotations
@@ -52,6 +54,14 @@ BANDS = REGISTERS // ROWS
 EMPTY = 0xFFFF
 DENSE = 32
 PERCENT = 80
+#: What tells a row from others: rows equal in these are equal in all columns.
+ROW = ("doc_id", "text_digest", "row_digest")
+
+
+def _keys_of(docs: DataFrame) -> list[F.Column]:
+    """The columns ROW of ``docs``."""
+    hashed = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    return [F.col("doc_id").cast("long").alias(ROW[0]), F.xxhash64("text").alias(ROW[1]), F.xxhash64(*hashed).alias(ROW[2])]
 
 
 def registers(s: np.ndarray) -> np.ndarray:
@@ -78,8 +88,8 @@ def registers(s: np.ndarray) -> np.ndarray:
 def _sketch(ngram: int):
     def run(batches):
         for batch in batches:
-            ids, sizes, d1, d2, regs = batch.column(0), [], [], [], []
-            for block in blocks(batch.column(1), True):
+            sizes, d1, d2, regs = [], [], [], []
+            for block in blocks(batch.column(3), True):
                 for _, s in row_sets(block, ngram):
                     sizes.append(len(s))
                     with np.errstate(over="ignore"):
@@ -87,8 +97,8 @@ def _sketch(ngram: int):
                         d2.append(int(np.bitwise_xor.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D))).view(np.int64)) if len(s) else 0)
                     regs.append(registers(s).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(regs, pa.binary())],
-                ["doc_id", "n", "d1", "d2", "regs"],
+                [*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(regs, pa.binary())],
+                [*ROW, "n", "d1", "d2", "regs"],
             )
 
     return run
@@ -197,7 +207,7 @@ def _confirm(ngram: int):
 
 
 class _Search:
-    """Links between the representatives (rep, n, regs)."""
+    """Links between the representatives (rep, n, regs, least: their row)."""
 
     def __init__(self, docs: DataFrame, reps: DataFrame, ngram: int):
         self.docs, self.reps, self.ngram = docs, reps, ngram
@@ -215,8 +225,8 @@ class _Search:
 
     def confirmed(self, likely: DataFrame) -> DataFrame:
         """Those of the pairs that are links, by their full sets."""
-        one = self.texts.select(F.col("doc_id").alias("a"), F.col("text").alias("s"))
-        two = self.texts.select(F.col("doc_id").alias("b"), F.col("text").alias("t"))
+        one = self.texts.select(F.col("rep").alias("a"), F.col("text").alias("s"))
+        two = self.texts.select(F.col("rep").alias("b"), F.col("text").alias("t"))
         found = likely.join(two, "b").join(one, "a").select("a", "b", "s", "t").mapInArrow(_confirm(self.ngram), "a long, b long")
         return store(found.distinct(), "confirmed")
 
@@ -230,10 +240,9 @@ class _Search:
         stars = members.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b"))
         likely = self.likely(stars)
         ids = likely.select("a").union(likely.select("b")).union(members.where("size > 2").select("rep")).distinct()
-        self.texts = store(
-            self.docs.select("doc_id", "text").join(ids.withColumnRenamed("a", "doc_id"), "doc_id", "left_semi").distinct(),
-            "texts",
-        )
+        rows_of = self.reps.join(ids.withColumnRenamed("a", "rep"), "rep", "left_semi").select("rep", *(F.col(f"least.{c}").alias(f"of_{c}") for c in ROW))
+        same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in ROW]
+        self.texts = store(self.docs.select(*_keys_of(self.docs), "text").join(rows_of, same).select("rep", "text").distinct(), "texts")
         edges = self.confirmed(likely)
         labels = components(edges)
         sized = labels.join(store(labels.groupBy("label").agg(F.count("*").alias("nodes")), "sizes"), "label")
@@ -259,8 +268,8 @@ class _Search:
         return x.join(y, "key").where("a < b and la <> lb").select("a", "b")
 
     def _large(self, members: DataFrame) -> DataFrame:
-        one = self.texts.select(F.col("doc_id").alias("ref"), F.col("text").alias("s"))
-        two = self.texts.select(F.col("doc_id").alias("rep"), F.col("text").alias("t"))
+        one = self.texts.select(F.col("rep").alias("ref"), F.col("text").alias("s"))
+        two = self.texts.select("rep", F.col("text").alias("t"))
         changed = store(
             members.join(two, "rep").join(one, "ref").select("ref", "rep", "label", "s", "t")
             .mapInArrow(_changes(self.ngram), "ref long, rep long, label long, e long, ninths long, n_ref long, left long"),
@@ -275,47 +284,45 @@ class _Search:
         return met.unionByName(direct)
 
 
+def _grouped(docs: DataFrame, ngram: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (ROW, n, d1, d2) and the sets (d1, d2, least); least is the first row of a set's group, null ids last."""
+    sketch = store(
+        docs.select(*_keys_of(docs), "text")
+        .mapInArrow(_sketch(ngram), "doc_id long, text_digest long, row_digest long, n long, d1 long, d2 long, regs binary"),
+        "sketch",
+    )
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), *ROW)
+    sets = sketch.where("n > 0").groupBy("d1", "d2").agg(F.min(row).alias("least"), F.first("n").alias("n"), F.first("regs").alias("regs"))
+    sets = store(sets.withColumn("rep", F.monotonically_increasing_id()), "sets")
+    labels = _Search(docs, sets, ngram).groups().withColumnRenamed("node", "rep")
+    firsts = store(labels.join(sets.select("rep", "least"), "rep").groupBy("label").agg(F.min("least").alias("first")), "firsts")
+    groups = sets.select("d1", "d2", "rep", "least").join(labels.join(firsts, "label").select("rep", "first"), "rep", "left")
+    return sketch.drop("regs"), store(groups.select("d1", "d2", F.coalesce("first", "least").alias("least")), "groups")
+
+
 def near_duplicates(docs: DataFrame, ngram: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
 
-    component_id is the least doc_id reachable over links, itself included;
-    kept holds where that is the row's own doc_id.
+    component_id is the least doc_id of the texts reachable over links, the
+    row's own included; kept holds where that is the row's own doc_id.
     """
-    sketch = store(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .mapInArrow(_sketch(ngram), "doc_id long, n long, d1 long, d2 long, regs binary"),
-        "sketch",
-    )
-    full = sketch.where("n > 0")
-    sets = store(
-        full.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("regs").alias("regs")),
-        "sets",
-    )
-    # A doc_id with several texts may stand for several sets; its copies then are one node.
-    shared = full.groupBy("doc_id").agg(F.min(F.struct("d1", "d2")).alias("p"), F.max(F.struct("d1", "d2")).alias("q"))
-    shared = shared.where("doc_id is not null and p <> q").select("doc_id")
-    shared = store(shared, "shared")
-    labels = _Search(docs, sets.where("rep is not null"), ngram).groups()
-    if not shared.isEmpty():
-        own = full.join(shared, "doc_id").join(sets.select("d1", "d2", "rep"), ["d1", "d2"])
-        more = own.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
-        known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-        labels = components(more.unionByName(known))
-    base = sketch.select("doc_id", "n", "d1", "d2")
-    out = (
-        base.join(sets.select("d1", "d2", "rep"), ["d1", "d2"], "left")
-        .join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left")
-        .select(
-            "doc_id",
-            F.col("n").alias("n_shingles"),
-            F.when(F.col("n") > 0, F.coalesce("label", "rep", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        )
-    )
+    rows, groups = _grouped(docs, ngram)
+    component = F.when(F.col("n") > 0, F.col("least.doc_id")).otherwise(F.col("doc_id"))
+    out = rows.join(groups, ["d1", "d2"], "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def one_of_each(docs: DataFrame, ngram: int = 5) -> DataFrame:
-    """The documents that stay: the least doc_id of every group, once; null ids all stay."""
-    kept = store(near_duplicates(docs, ngram).where("kept and doc_id is not null").select("doc_id").distinct(), "kept")
-    ids = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return ids.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """The documents that stay: one row of every group, the first by doc_id and digests; null ids all stay.
+
+    Rows without words are in no group; of those equal in doc_id and text one stays.
+    """
+    rows, groups = _grouped(docs, ngram)
+    empty = rows.where("n = 0").groupBy("doc_id", "text_digest").agg(F.min("row_digest").alias("row_digest"))
+    kept = groups.select("least.*").select(*ROW).distinct().unionByName(empty).where("doc_id is not null")
+    kept = store(kept.toDF(*(f"of_{c}" for c in ROW)), "kept")
+    names = [f"key_{c}" for c in ROW]
+    keyed = docs.where("doc_id is not null").select("*", *(k.alias(n) for k, n in zip(_keys_of(docs), names)))
+    same = [F.col(n) == F.col(f"of_{c}") for n, c in zip(names, ROW)]
+    first = keyed.join(kept, same, "left_semi").dropDuplicates(names)
+    return first.select(*docs.columns).unionByName(docs.where("doc_id is null"))

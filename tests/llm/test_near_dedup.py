@@ -137,3 +137,25 @@ def test_components_of_chains_and_stars(spark):
     star = [(100, 100 + i) for i in range(1, 50)] + [(149, 149)]
     got = graph.components(spark.createDataFrame(chain + star, "a long, b long")).collect()
     assert {r.node: r.label for r in got} == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 150)}
+
+
+def test_texts_that_share_an_id_or_have_none(spark):
+    rng = random.Random(3)
+    text = lambda: " ".join(f"v{rng.randrange(10**6)}" for _ in range(100))
+    a, b, c, d, e = (text() for _ in range(5))
+    chain = [d, d + " " + " ".join(f"x{i}" for i in range(20)), d + " " + " ".join(f"x{i}" for i in range(40))]
+    rows = [(5, a, "a"), (7, a, "b"), (7, b, "a"), (8, b, "a"), (7, c, "a"), (7, c, "z"), (7, c, "a"), (7, "", "a"), (7, None, "a")]
+    rows += [(20, chain[0], "a"), (None, chain[1], "a"), (21, chain[2], "a"), (None, e, "a"), (None, e + " y", "a")]
+    got = near_dedup.near_duplicates(docs(spark, rows), 2).collect()
+    assert len(got) == len(rows)
+    found = sorted((str(r.doc_id), str(r.component_id), r.kept) for r in got)
+    assert found == sorted(
+        [("5", "5", True), ("7", "5", False), ("7", "7", True), ("8", "7", False), *[("7", "7", True)] * 5]
+        + [("20", "20", True), ("None", "20", False), ("21", "20", False), *[("None", "None", True)] * 2]
+    )
+    kept = [
+        sorted((r.doc_id, str(r.text), r.source) for r in near_dedup.one_of_each(docs(spark, rows).repartition(n), 2).collect() if r.doc_id is not None)
+        for n in (1, 5)
+    ]
+    assert [x[:2] for x in kept[0]] == sorted([(5, a), (7, b), (7, c), (7, ""), (7, "None"), (20, chain[0])])
+    assert kept[0] == kept[1]
