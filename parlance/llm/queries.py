@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.llm import (
+    collocations,
+    conversation_repair,
     decontaminate,
     host_rules,
     mil_quality,
@@ -14,6 +16,7 @@ from parlance.llm import (
     packing,
     piece_counts,
     preference,
+    simhash,
     surrogates,
     warc,
 )
@@ -67,10 +70,24 @@ def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.format_pairs(preference.swapped_replies(table(spark, sf_dir, "conversations")))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, top=2000)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.digest(conversation_repair.repair(turns, F.col("present")))
+
+
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup, op2_token_packing, op3_pii_surrogates, op4_token_counts, op5_host_rules,
         op6_mil_quality, op7_decontamination, op8_warc, op9_mixing, op10_preference_format,
+        op11_collocations, op12_conversation_repair, op13_simhash_near_dedup,
     )
 }

@@ -96,9 +96,112 @@ SELECT conv_id AS pair_id, CAST(CASE WHEN yes = no THEN last ELSE last - 1 END A
 FROM x
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_COLLOCATIONS = rf"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang, string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]') AS ps FROM documents),
+p AS (SELECT id, lang, unnest(ps) AS piece, generate_subscripts(ps, 1) AS p FROM d),
+w AS (SELECT id, lang, p, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+u AS (SELECT id, lang, p, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM w),
+t AS (SELECT lang, x, lead(x, 1) OVER o AS x2, lead(x, 2) OVER o AS x3, lead(x, 3) OVER o AS x4 FROM u WINDOW o AS (PARTITION BY id, p ORDER BY i)),
+g AS (
+  SELECT lang, 1 AS n, x AS phrase FROM t UNION ALL SELECT lang, 2, concat(x, ' ', x2) FROM t WHERE x2 IS NOT NULL
+  UNION ALL SELECT lang, 3, concat(x, ' ', x2, ' ', x3) FROM t WHERE x3 IS NOT NULL
+  UNION ALL SELECT lang, 4, concat(x, ' ', x2, ' ', x3, ' ', x4) FROM t WHERE x4 IS NOT NULL),
+f AS (SELECT lang, n, phrase, count(*) AS f, string_split(phrase, ' ') AS ws FROM g GROUP BY lang, n, phrase HAVING count(*) >= 30),
+k AS (
+  SELECT c.lang, c.n, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, (CAST(c.f AS HUGEINT) * 2000000) // (CAST(l.f AS HUGEINT) + r.f) AS score
+  FROM f c, (SELECT unnest([1, 2, 3]) AS k), f l, f r
+  WHERE k < c.n AND l.lang = c.lang AND r.lang = c.lang AND l.phrase = array_to_string(c.ws[1:k], ' ') AND r.phrase = array_to_string(c.ws[k + 1:], ' ')),
+s AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM k),
+i AS (
+  SELECT lang, array_to_string(ws[b:b + m - 1], ' ') AS phrase, max(f) AS most
+  FROM f, (SELECT unnest([2, 3]) AS m), (SELECT unnest([1, 2, 3]) AS b) WHERE m < n AND b + m - 1 <= n GROUP BY ALL),
+j AS (SELECT s.* FROM s LEFT JOIN i ON s.lang = i.lang AND s.phrase = i.phrase WHERE place = 1 AND (most IS NULL OR 100 * CAST(most AS HUGEINT) < 80 * CAST(a AS HUGEINT))),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM j),
+q AS (SELECT lang, count(*) AS words FROM g WHERE n = 1 GROUP BY lang)
+SELECT z.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(words AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM z JOIN q ON z.lang = q.lang WHERE rank <= 2000
+"""
+
+
+def _edit(letter: str, cost: str, plan: str) -> str:
+    return f"{{'c': {plan}.c + {cost}, 'a': concat('{letter}', {plan}.a)}}"
+
+
+def _least(*plans: str) -> str:
+    return f"list_min([{', '.join(plans)}])"
+
+
+def _inserts(state: str) -> str:
+    """The least plan from a state when turns may be inserted before the next."""
+    one, two = _edit("I", "3", "e2"), _edit("I", "6", "{'c': e3.c, 'a': concat('I', e3.a)}")
+    return {"e3": _least("e3", one), "e2": _least("e2", _edit("I", "3", "e3"))}.get(state) or _least(state, one, two)
+
+
+def _turn(state: int, given: int, *keeps: tuple[str, int]) -> str:
+    """The least plan from a state over a turn: delete, change the role, keep one of the initials that may follow."""
+    kept = [_edit("K", f"t + CASE WHEN bad OR initial <> '{i}' THEN 1000000000 ELSE 0 END", f"v{to}") for i, to in keeps]
+    return _least(_edit("D", "4", f"v{state}"), _edit("R", "3 + t + CASE WHEN bad THEN 1000000000 ELSE 0 END", f"v{given}"), *kept)
+
+
+_SOLID = r"[^\x20\x09-\x0D]"
+_REPAIR = rf"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')) AS key FROM conversations),
+b AS (SELECT *, list_transform(range(8 * length(key)), lambda i: CAST((ascii(substr(key, CAST(i // 8 + 1 AS BIGINT), 1)) >> CAST(i % 8 AS INT)) & 1 AS UBIGINT)) AS bits FROM c),
+h AS (
+  SELECT *, xor(list_reduce([4294967295::UBIGINT] || bits, lambda x, y: xor(x >> 1, 3988292384::UBIGINT * (xor(x, y) & 1))), 4294967295::UBIGINT) % 20 AS kind FROM b),
+d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM h, (SELECT unnest([1, 2]) AS copy) WHERE kind <> 0 AND (copy = 1 OR kind = 3)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+s AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen, substr(role, 1, 1) AS initial,
+    regexp_extract(text, '({_SOLID})[\x20\x09-\x0D]*$', 1) AS last, lead(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS follows FROM o),
+f AS (
+  SELECT *, last = '' OR seen AS bad, CASE WHEN last <> '' AND NOT seen AND last NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS t FROM s),
+m AS (
+  SELECT conv_id, count(*) AS n, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, sum(CASE WHEN last = '' THEN 1 ELSE 0 END) AS blank,
+    sum(CASE WHEN last <> '' AND seen THEN 1 ELSE 0 END) AS duplicate, sum(t) // 3 AS truncated,
+    sum(CASE WHEN follows IS NOT NULL AND concat(initial, follows) NOT IN ('su', 'ua', 'au') THEN 1 ELSE 0 END) AS illegal
+  FROM f GROUP BY conv_id),
+dp AS (
+  SELECT conv_id, n AS i, {{'c': 0::BIGINT, 'a': ''}} AS e0, {{'c': 1000000000::BIGINT, 'a': ''}} AS e1, {{'c': 1000000000::BIGINT, 'a': ''}} AS e2,
+    {{'c': 0::BIGINT, 'a': ''}} AS e3 FROM m
+  UNION ALL
+  SELECT conv_id, i - 1, {_turn(0, 2, ("s", 1), ("u", 2))}, {_turn(1, 2, ("u", 2))}, {_turn(2, 3, ("a", 3))}, {_turn(3, 2, ("u", 2))}
+  FROM (
+    SELECT dp.conv_id, dp.i, initial, bad, t, {_inserts("e0")} AS v0, {_inserts("e1")} AS v1, {_inserts("e2")} AS v2, {_inserts("e3")} AS v3
+    FROM dp JOIN f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.i = dp.i)),
+z AS (SELECT conv_id, {_inserts("e0")} AS best FROM dp WHERE i = 0),
+x AS (
+  SELECT conv_id, best, unnest(list_transform(range(1, length(best.a) + 1), lambda k: substr(best.a, CAST(k AS BIGINT), 1))) AS letter,
+    unnest(range(1, length(best.a) + 1)) AS k FROM z),
+y AS (
+  SELECT *, sum(CASE WHEN letter = 'I' THEN 0 ELSE 1 END) OVER w AS at, sum(CASE WHEN letter = 'D' THEN 0 ELSE 1 END) OVER w AS place
+  FROM x WINDOW w AS (PARTITION BY conv_id ORDER BY k)),
+l AS (
+  SELECT y.conv_id, k, letter, place, CASE WHEN letter = 'I' THEN '' ELSE text END AS text, role,
+    max(CASE WHEN place = 1 AND letter = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY y.conv_id) AS led
+  FROM y LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM y.conv_id AND f.i = y.at WHERE letter <> 'D'),
+r AS (
+  SELECT conv_id, string_agg(concat(CASE WHEN letter = 'K' THEN role WHEN (place - led) % 2 = 1 THEN 'user' ELSE 'assistant' END, ':', text), chr(10) ORDER BY k) AS said
+  FROM l GROUP BY conv_id)
+SELECT k.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost,
+  coalesce(best.a, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) k LEFT JOIN m ON m.conv_id IS NOT DISTINCT FROM k.conv_id
+LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM k.conv_id LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM k.conv_id
+"""
+
 ORACLES = {
     "op5_host_rules": _HOST_RULES,
     "op7_decontamination": _CONTAINED,
     "op8_warc": _WARC,
     "op10_preference_format": _PREFERENCE,
+    "op11_collocations": _COLLOCATIONS,
+    "op12_conversation_repair": _REPAIR,
 }
