@@ -36,6 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> F.Column:
+    """The column of this very name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def n_words(column) -> F.Column:
     """Number of words of a text; null counts as empty."""
     return F.coalesce(F.regexp_count(column, F.lit(WORD)), F.lit(0)).cast("long")

@@ -18,16 +18,20 @@ confirmed on full shingle sets; groups are the connected components.
    collision-corrected register estimate (five standard deviations below 0.8),
    then the exact check.
 4. Buckets whose members still carry different labels are searched further, so
-   a link between two non-centres is not lost. Small buckets are compared
-   between differing labels (at most DENSE partners per row). Members of larger
-   ones are written as changes (shingles lost, shingles added) against one
-   reference document, that of the largest group. For sets A, B with changes of
-   weight g = (5 * lost + 4 * added) / 9, a similarity of 0.8 means that A and B
-   share at least g(A) + g(B) - |reference| / 9 changes. Where A is not linked to
-   the reference, g(A) > |reference| / 9, so B shares more than g(B) of its
-   changes with A: in an order common to all, rarer changes first, their first
-   common one is at a place after which enough are left in both. A join on those
-   finds every such pair without comparing all. No bucket is capped.
+   a link between two non-centres is not lost, on one path whatever their size.
+   Members are written as changes (shingles lost, shingles added) against one
+   reference set R for all buckets of a family (those with the same largest
+   group): the shingles that more than half of a bounded sample of its members
+   have. Any R gives the same links; a typical one makes changes few and rare.
+   For sets A, B with changes of weight g = (5 * lost + 4 * added) / 9, a
+   similarity of 0.8 means exactly that A and B share at least
+   g(A) + g(B) - |R| / 9 changes. So the member C of least weight is linked to
+   every A with g(A) + g(C) <= |R| / 9: one candidate each. Every other A shares
+   more than g(B) - g(C) changes with a partner B: in an order common to all,
+   those rare in the sample first, their first common one is at a place after
+   which enough are left in both. A join on those finds every such pair without
+   comparing all. Pairs just below 0.8 may become candidates too; they are the
+   only cost that can grow faster than the memberships. No bucket is capped.
 
 Rows: a null text is empty; every distinct shingle set is a node, whatever the
 doc_ids of its rows, so texts that share a doc_id meet only if they are linked,
@@ -40,10 +44,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parlance.llm.common import store
+from parlance.llm.common import quoted, store
 from parlance.llm.graph import components
 from parlance.llm.text import MASK, blocks, mix, row_sets
 
@@ -52,15 +56,17 @@ MANTISSA = 10
 ROWS = 6
 BANDS = REGISTERS // ROWS
 EMPTY = 0xFFFF
-DENSE = 32
+#: Members of a family whose shingles settle its reference; any reference gives the same links.
+TYPICAL = 64
 PERCENT = 80
-#: What tells a row from others: rows equal in these are equal in all columns.
+#: What tells a row from others: rows equal in these are equal in all columns. doc_id is an integer.
 ROW = ("doc_id", "text_digest", "row_digest")
 
 
 def _keys_of(docs: DataFrame) -> list[F.Column]:
     """The columns ROW of ``docs``."""
-    hashed = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    plain = [f for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    hashed = [quoted(f.name) for f in plain]
     return [F.col("doc_id").cast("long").alias(ROW[0]), F.xxhash64("text").alias(ROW[1]), F.xxhash64(*hashed).alias(ROW[2])]
 
 
@@ -136,34 +142,54 @@ def _bands(batches):
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(rep)], ["key", "rep"])
 
 
+def _shingles(ngram: int):
+    """(ref, e) of every distinct shingle of the texts."""
+
+    def run(batches):
+        for batch in batches:
+            for block in blocks(batch.column(1), True):
+                at, sets = zip(*row_sets(block, ngram), strict=True)
+                rows = pa.array(np.repeat(at, [len(s) for s in sets]))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(np.concatenate(sets).view(np.int64))], ["ref", "e"])
+
+    return run
+
+
 def _changes(ngram: int):
-    """Per member and change against the reference: the change, the member's weight in ninths, changes left from here.
+    """Per member its changes against the reference of its family, rare ones first, and how many are left from each on.
 
-    Changes are in an order all members share, those added first as they are
-    the rarer; places after which too few are left for a link are not written.
+    ``e`` and ``n`` are the shingles that several of the family's sample have
+    and in how many; those of more than half are the reference. Changes after
+    which too few are left for any link are not written.
     """
 
     def run(batches):
         for batch in batches:
-            rows, change, ninths, size, remain = [], [], [], [], []
-            left = (s for block in blocks(batch.column(3), True) for _, s in row_sets(block, ngram))
-            right = (s for block in blocks(batch.column(4), True) for _, s in row_sets(block, ngram))
-            refs, labels = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for i, (ref, s) in enumerate(zip(left, right, strict=True)):
-                lost, added = np.setdiff1d(ref, s, assume_unique=True), np.setdiff1d(s, ref, assume_unique=True)
-                weight = 5 * len(lost) + 4 * len(added)
-                after = np.arange(len(lost) + len(added), 0, -1)
-                use = 9 * after >= weight - len(ref) if refs[i] != labels[i] else 9 * after > weight
-                change.append(np.concatenate([added, mix(lost)])[use].view(np.int64))
-                rows.append(np.full(use.sum(), i))
-                ninths.append(np.full(use.sum(), weight))
-                size.append(np.full(use.sum(), len(ref)))
+            ninths, size, change, remain = [], [], [], []
+            seen, counts, sample = batch.column(4), batch.column(5), batch.column(6).to_numpy()
+            texts = (s for block in blocks(batch.column(3), True) for _, s in row_sets(block, ngram))
+            for i, s in enumerate(texts):
+                common, n = seen[i].values.to_numpy().view(np.uint64), counts[i].values.to_numpy()
+                order = np.argsort(common)
+                common, n = common[order], n[order]
+                usual = 2 * n > sample[i]
+                lost = np.flatnonzero(usual & ~np.isin(common, s, assume_unique=True))
+                added = np.setdiff1d(s, common[usual], assume_unique=True)
+                at = np.minimum(np.searchsorted(common, added), max(len(common) - 1, 0))
+                rate = np.where(common[at] == added, n[at], 0) if len(common) else np.zeros(len(added), np.int64)
+                key = np.concatenate([added, mix(common[lost])])
+                first = np.lexsort((key, np.concatenate([rate, sample[i] - n[lost]])))
+                weight, after = 5 * len(lost) + 4 * len(added), np.arange(len(key), 0, -1)
+                use = 9 * after > weight - int(usual.sum())
+                ninths.append(weight)
+                size.append(int(usual.sum()))
+                change.append(key[first][use].view(np.int64))
                 remain.append(after[use])
-            if rows:
-                at = pa.array(np.concatenate(rows))
+            if ninths:
+                listed = [pa.array(x, pa.list_(pa.int64())) for x in (change, remain)]
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.take(at) for c in batch.columns[:3]), *(pa.array(np.concatenate(c)) for c in (change, ninths, size, remain))],
-                    ["ref", "rep", "label", "e", "ninths", "n_ref", "left"],
+                    [*batch.columns[:3], pa.array(ninths, pa.int64()), pa.array(size, pa.int64()), *listed],
+                    ["ref", "rep", "label", "ninths", "n_ref", "e", "left"],
                 )
 
     return run
@@ -253,35 +279,42 @@ class _Search:
         largest = F.max_by("label", F.struct("nodes", -F.col("label"))).alias("ref")
         mixed = named.groupBy("key").agg(largest, F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
         mixed = store(mixed.select("key", "ref"), "mixed")
-        left = store(named.join(mixed, "key"), "open")
-        pairs = self._small(left.where((F.col("size") <= DENSE) & (F.col("rep") != F.col("center"))))
-        dense = left.where(F.col("size") > DENSE).select("ref", "rep", "label").distinct()
-        if not dense.isEmpty():
-            pairs = pairs.unionByName(self._large(dense))
-        more = self.confirmed(self.likely(pairs))
+        left = store(named.join(mixed, "key").select("ref", "rep", "label").distinct(), "open")
+        more = self.confirmed(self.likely(self._between(left)))
         return labels if more.isEmpty() else components(edges.unionByName(more))
 
-    @staticmethod
-    def _small(members: DataFrame) -> DataFrame:
-        x = members.select("key", F.col("rep").alias("a"), F.col("label").alias("la"))
-        y = members.select("key", F.col("rep").alias("b"), F.col("label").alias("lb"))
-        return x.join(y, "key").where("a < b and la <> lb").select("a", "b")
-
-    def _large(self, members: DataFrame) -> DataFrame:
-        one = self.texts.select(F.col("rep").alias("ref"), F.col("text").alias("s"))
-        two = self.texts.select("rep", F.col("text").alias("t"))
+    def _references(self, members: DataFrame) -> DataFrame:
+        """(ref, e, n, sample): shingles that two or more of a family's sample of members have, and the sample's size."""
+        order = Window.partitionBy("ref").orderBy(F.xxhash64("rep"), "rep")
+        sample = store(members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= TYPICAL).select("ref", "rep"), "sample")
+        texts = sample.join(self.texts, "rep").select("ref", "text")
+        counts = texts.mapInArrow(_shingles(self.ngram), "ref long, e long").groupBy("ref", "e").agg(F.count("*").alias("n")).where("n > 1")
+        listed = counts.groupBy("ref").agg(F.collect_list(F.struct("e", "n")).alias("c"))
+        sizes = sample.groupBy("ref").agg(F.count("*").alias("sample"))
+        none = F.array().cast("array<long>")
+        return sizes.join(listed, "ref", "left").select("ref", F.coalesce("c.e", none).alias("e"), F.coalesce("c.n", none).alias("n"), "sample")
+
+    def _between(self, members: DataFrame) -> DataFrame:
+        """Candidates between differing labels of every family (ref, rep, label)."""
+        seen = store(self._references(members), "references")
         changed = store(
-            members.join(two, "rep").join(one, "ref").select("ref", "rep", "label", "s", "t")
-            .mapInArrow(_changes(self.ngram), "ref long, rep long, label long, e long, ninths long, n_ref long, left long"),
+            members.join(self.texts, "rep").join(seen, "ref").select("ref", "rep", "label", "text", "e", "n", "sample")
+            .mapInArrow(_changes(self.ngram), "ref long, rep long, label long, ninths long, n_ref long, e array<long>, left array<long>"),
             "changed",
         )
-        x = changed.where("label <> ref").select("ref", "e", "n_ref", *(F.col(c).alias(f"x_{c}") for c in ("rep", "label", "ninths", "left")))
-        y = changed.where("9 * left > ninths").select("ref", "e", *(F.col(c).alias(f"y_{c}") for c in ("rep", "label", "ninths", "left")))
+        least = F.min(F.struct("ninths", "rep", "label")).alias("c")
+        placed = changed.join(store(changed.groupBy("ref").agg(least), "typical"), "ref")
+        near = F.col("ninths") + F.col("c.ninths") <= F.col("n_ref")
+        direct = placed.where(near & (F.col("label") != F.col("c.label"))).select(F.least("c.rep", "rep").alias("a"), F.greatest("c.rep", "rep").alias("b"))
+        each = placed.select("ref", "rep", "label", "ninths", "n_ref", F.col("c.ninths").alias("base"), near.alias("near"), F.inline(F.arrays_zip("e", "left")))
+        side = lambda d, x: d.select("ref", "e", *(F.col(c).alias(f"{x}_{c}") for c in ("rep", "label", "ninths", "n_ref", "left", "near")))
+        x = side(each.where("not near and 9 * left >= ninths + base - n_ref"), "x")
+        y = side(each.where("9 * left > ninths - base"), "y")
         # Were this their first common change, so many could still be shared; and so many must be.
-        met = x.join(y, ["ref", "e"]).where("x_label <> y_label and 9 * least(x_left, y_left) >= x_ninths + y_ninths - n_ref")
-        met = met.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"))
-        direct = members.where("label <> ref").select(F.least("ref", "rep").alias("a"), F.greatest("ref", "rep").alias("b"))
-        return met.unionByName(direct)
+        met = x.join(y, ["ref", "e"]).where(
+            "x_label <> y_label and (y_near or x_rep < y_rep) and 9 * least(x_left, y_left) >= x_ninths + y_ninths - x_n_ref"
+        )
+        return met.select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).unionByName(direct)
 
 
 def _grouped(docs: DataFrame, ngram: int) -> tuple[DataFrame, DataFrame]:
@@ -313,16 +346,13 @@ def near_duplicates(docs: DataFrame, ngram: int = 5) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, ngram: int = 5) -> DataFrame:
-    """The documents that stay: one row of every group, the first by doc_id and digests; null ids all stay.
+    """The documents that stay: one row of every group, the first by doc_id (null ids last) and digests.
 
     Rows without words are in no group; of those equal in doc_id and text one stays.
     """
     rows, groups = _grouped(docs, ngram)
     empty = rows.where("n = 0").groupBy("doc_id", "text_digest").agg(F.min("row_digest").alias("row_digest"))
-    kept = groups.select("least.*").select(*ROW).distinct().unionByName(empty).where("doc_id is not null")
-    kept = store(kept.toDF(*(f"of_{c}" for c in ROW)), "kept")
-    names = [f"key_{c}" for c in ROW]
-    keyed = docs.where("doc_id is not null").select("*", *(k.alias(n) for k, n in zip(_keys_of(docs), names)))
-    same = [F.col(n) == F.col(f"of_{c}") for n, c in zip(names, ROW)]
-    first = keyed.join(kept, same, "left_semi").dropDuplicates(names)
-    return first.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    kept = store(groups.select("least.*").select(*ROW).distinct().unionByName(empty), "kept")
+    keyed = docs.select(F.struct(*(quoted(c) for c in docs.columns)).alias("row"), F.struct(*_keys_of(docs)).alias("keys"))
+    same = [F.col(f"keys.{c}").eqNullSafe(kept[c]) for c in ROW]
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["keys"]).select("row.*")

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from llm.cases import AWKWARD, docs
+from llm.cases import AWKWARD, PROSE, docs
 
 from parlance.llm import graph, near_dedup
 from parlance.llm.text import Block, blocks, row_sets
@@ -66,11 +66,31 @@ def test_groups_equal_brute_force(spark, k):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
-def test_dense_buckets_take_the_change_search(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "DENSE", 2)
+def test_any_reference_gives_the_same_links(spark, monkeypatch):
     rows = families(11)
+    for typical in (1, 3):
+        monkeypatch.setattr(near_dedup, "TYPICAL", typical)
+        got = near_dedup.near_duplicates(docs(spark, [(i, t, "a") for i, t in rows]), 2).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 2)
+
+
+def template(n):
+    """Texts of one template of which 4 to 13 % of the words are changed: few are linked."""
+    rng = random.Random(5)
+    base = [f"t{i}" for i in range(200)]
+    rates = [rng.uniform(0.04, 0.13) for _ in range(n)]
+    return [(i, " ".join(f"v{rng.randrange(10**6)}" if rng.random() < p else w for w in base)) for i, p in enumerate(rates)]
+
+
+@pytest.mark.parametrize("n", [100, 400])
+def test_template_texts_are_not_compared_in_all_pairs(spark, monkeypatch, n):
+    met = []
+    between = near_dedup._Search._between
+    monkeypatch.setattr(near_dedup._Search, "_between", lambda self, m: met.append(between(self, m)) or met[-1])
+    rows = template(n)
     got = near_dedup.near_duplicates(docs(spark, [(i, t, "a") for i, t in rows]), 2).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 2)
+    assert met[0].count() < 0.02 * n * n / 2
 
 
 def test_awkward_rows(spark):
@@ -87,10 +107,10 @@ def test_awkward_rows(spark):
     assert by[10][0] == (60_000, 10, True) and by[11][0] == (1, 11, True)
 
 
-def test_one_id_with_two_texts_is_one_node(spark):
+def test_an_id_with_two_unlike_texts_does_not_join_their_groups(spark):
     a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
     got = near_dedup.near_duplicates(docs(spark, [(5, a, "a"), (5, b, "a"), (7, a, "a"), (8, b, "a"), (9, b + " c", "a")]), 2).collect()
-    assert {r.component_id for r in got} == {5}
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(5, 5), (5, 5), (7, 5), (8, 5), (9, 5)]
 
 
 def test_stage_keeps_one_of_each_and_all_columns(spark):
@@ -99,7 +119,16 @@ def test_stage_keeps_one_of_each_and_all_columns(spark):
     assert out.columns == d.columns
     ids = sorted(r.doc_id for r in out.collect() if r.doc_id is not None)
     assert ids == [1, 3, 4, 5, 6, 8, 9, 10, 11]
-    assert out.where("doc_id is null").count() == 2
+    assert [r.text for r in out.where("doc_id is null").collect()] == ["other words here"]
+
+
+def test_copies_without_id_go_and_odd_column_names_stay(spark):
+    d = docs(spark, [(None, PROSE, "a")] * 5 + [(3, PROSE, "a"), (None, "one two", "b"), (None, "one two", "c")])
+    d = d.select("*", d.doc_id.alias("key_doc_id"), d.text.alias("a.b"), d.lang.alias("row"), d.lang.alias("keys"))
+    out = near_dedup.one_of_each(d)
+    assert out.columns == d.columns
+    assert sorted((str(r.doc_id), r.text) for r in out.collect()) == [("3", PROSE), ("None", "one two")]
+    assert near_dedup.near_duplicates(d).count() == 8
 
 
 def test_empty_table(spark):
