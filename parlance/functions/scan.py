@@ -131,8 +131,6 @@ def scan_to_json(text: str | None) -> str | None:
         return None
 
 
-def scan_batches(batches):
-    """Arrow batches whose column ``_p14`` is scanned into the last column, ``_scan``."""
-    for batch in batches:
-        found = [scan_to_json(t) for t in batch.column("_p14").to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, "_scan"])
+def scan_texts(texts: pa.Array) -> pa.Array:
+    """:func:`scan_to_json` of every text; null stays null."""
+    return pa.array([scan_to_json(t) for t in texts.to_pylist()], pa.string())

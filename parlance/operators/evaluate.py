@@ -6,21 +6,26 @@ semantics follow the original evaluator:
 * P7 predicted intent: strict JSON object -> its ``intent`` (``UNKNOWN`` when
   the key is missing); anything else -> ``PARSE_ERROR``.
 * P8 reference intent: same, but every failure -> ``UNKNOWN``.
-* A21 parameters: both sides flattened to dotted paths (objects recurse,
-  lists compare by their JSON text, empty objects vanish); a pair counts only
-  when both sides are JSON objects whose ``params`` is an object or missing.
-  Values compare like Python ``==``: numbers and booleans by value
-  (``5 == 5.0``, ``True == 1``), strings by text, null equals null.
+* A21 parameters: both sides flattened to dotted paths and compared as Python
+  compares them (``parlance.functions.leaves``); a pair counts only when both
+  sides are JSON objects whose ``params`` is an object or missing. The two
+  texts of a pair are read together, so there is no grouping and a repeated
+  ``row_id`` counts each time; nothing runs while a plan is built.
 * Percentages are 0-100; empty input gives null.
 """
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from parlance.config import scratch_path
-from parlance.functions.json import strict_json, variant_kind
+from parlance.functions import leaves
+from parlance.functions.json import strict_json
+
+# Travels with its tasks, so executors need only pyarrow for it.
+cloudpickle.register_pickle_by_value(leaves)
 
 
 def _c(c) -> Column:
@@ -110,143 +115,50 @@ def bottom_intent_accuracy(per_intent: DataFrame, k: int = 5) -> DataFrame:
 # --- parameters -----------------------------------------------------------------
 
 
-def value_key(v: Column, kind: Column) -> Column:
-    """Comparison key of a JSON leaf: Python ``==`` classes as text.
+def flatten_params(df: DataFrame, id_cols: list[str], text: str) -> DataFrame:
+    """``id_cols, path, kind, vkey``, one row per leaf of the params of the result ``text``.
 
-    ``n:<number>`` numbers and booleans, ``s:<text>`` strings, ``l:<json>``
-    lists, ``null``; objects never reach here. Integers keep all their digits;
-    a float joins them only when it is integral and within 64 bits, where its
-    value is exact.
+    Equal ``vkey`` is equality of values; a text without params has no row.
     """
-    number = F.try_variant_get(v, "$", "double")
-    whole = (F.floor(number).cast("double") == number) & (F.abs(number) < F.lit(9.2e18))
-    return (
-        F.when(
-            kind == "INT",
-            F.concat(F.lit("n:"), F.coalesce(F.try_variant_get(v, "$", "decimal(38,0)").cast("string"), number.cast("string"))),
-        )
-        .when(kind == "FLOAT", F.concat(F.lit("n:"), F.when(whole, number.cast("bigint").cast("string")).otherwise(number.cast("string"))))
-        .when(kind == "BOOLEAN", F.concat(F.lit("n:"), F.try_variant_get(v, "$", "boolean").cast("int").cast("string")))
-        .when(kind == "STRING", F.concat(F.lit("s:"), F.try_variant_get(v, "$", "string")))
-        .when(kind == "ARRAY", F.concat(F.lit("l:"), F.to_json(v)))
-        .when(kind == "NULL", F.lit("null"))
-    )
+    rows = df.select(*id_cols, text)
+    made = [T.StructField(n, T.StringType()) for n in ("path", "kind", "vkey")]
+    return rows.mapInArrow(leaves.flat_batches, T.StructType([*rows.schema.fields[:-1], *made]))
 
 
-def params_variant(text) -> tuple[Column, Column]:
-    """(eligible, params) of an output text for A21.
+def matched_leaves(aligned: DataFrame) -> DataFrame:
+    """``row_id, path, pkey, rkey, equal`` for every path of either side of a pair: no grouping, no join."""
+    rows = aligned.select("row_id", "pred_text", "ref_text")
+    made = [*(T.StructField(n, T.StringType()) for n in ("path", "pkey", "rkey")), T.StructField("equal", T.BooleanType())]
+    return rows.mapInArrow(leaves.matched_batches, T.StructType([rows.schema.fields[0], *made]))
 
-    Eligible: strict JSON object whose ``params`` is an object or missing;
-    a missing ``params`` is the empty object.
-    """
-    t = _c(text)
-    v = F.try_parse_json(t)
-    p = F.try_variant_get(v, "$.params", "variant")
-    kind = variant_kind(p)
-    eligible = json_object_text(t) & (p.isNull() | (kind == "OBJECT"))
-    return eligible, F.when(p.isNull(), F.parse_json(F.lit("{}"))).otherwise(p)
-
-
-def flatten_params(df: DataFrame, id_cols: list[str], v: str = "v") -> DataFrame:
-    """Nested objects to dotted paths, one row per leaf.
-
-    Output ``id_cols, path, kind, vkey`` (comparison key) and ``level``.  Each
-    level explodes the objects of the previous one, for as long as there are
-    any: the depth is that of the data.  Empty objects give no row; paths that
-    collide (``{"a.b": 1, "a": {"b": 2}}``) give one row each, at different
-    levels.  The objects left after each level are stored, so no level is
-    computed twice.
-    """
-    spark = df.sparkSession
-    frontier = df.select(*id_cols, F.lit(None).cast("string").alias("_prefix"), F.col(v).alias("_v"))
-    leaves, level = None, 0
-    while True:
-        exploded = frontier.select(
-            *id_cols,
-            "_prefix",
-            F.explode(F.try_variant_get("_v", "$", "map<string,variant>")).alias("_k", "_v"),
-        ).select(
-            *id_cols,
-            F.when(F.col("_prefix").isNull(), F.col("_k"))
-            .otherwise(F.concat(F.col("_prefix"), F.lit("."), F.col("_k")))
-            .alias("_prefix"),
-            "_v",
-            variant_kind("_v").alias("kind"),
-        )
-        leaf = exploded.where(F.col("kind") != "OBJECT").select(
-            *id_cols, F.col("_prefix").alias("path"), "kind", value_key(F.col("_v"), F.col("kind")).alias("vkey"), F.lit(level).alias("level")
-        )
-        leaves = leaf if leaves is None else leaves.unionByName(leaf)
-        path = scratch_path(spark, "open_objects")
-        exploded.where(F.col("kind") == "OBJECT").select(*id_cols, "_prefix", F.to_json("_v").alias("_v")).write.parquet(path)
-        stored = spark.read.parquet(path)
-        if stored.isEmpty():
-            return leaves
-        frontier = stored.withColumn("_v", F.parse_json("_v"))
-        level += 1
-
-
-def side_leaves(aligned: DataFrame) -> DataFrame:
-    """Leaves of both sides of the eligible pairs: ``row_id, side, path, kind, vkey``.
-
-    Both sides are flattened in one pass, tagged ``p`` (prediction) or ``r``
-    (reference); only pairs eligible on both sides count.
-    """
-    pe, pv = params_variant("pred_text")
-    re_, rv = params_variant("ref_text")
-    sides = F.array(
-        F.struct(F.lit("p").alias("side"), F.to_json(pv).alias("v")), F.struct(F.lit("r").alias("side"), F.to_json(rv).alias("v"))
-    )
-    both = aligned.where(pe & re_).select("row_id", F.inline(sides))
-    path = scratch_path(aligned.sparkSession, "eligible_params")
-    both.write.parquet(path)
-    stored = aligned.sparkSession.read.parquet(path).withColumn("v", F.parse_json("v"))
-    return flatten_params(stored, ["row_id", "side"])
 
+PAIR_COUNTS = ("correct", "predicted", "reference")
 
-def matched_leaves(aligned: DataFrame) -> DataFrame:
-    """Per (row_id, path) the leaf of each side and whether they are equal: one grouping, no join.
 
-    Of colliding paths the deepest leaf counts, so a path counts once.
-    """
-    p, r = F.col("side") == "p", F.col("side") == "r"
-    return (
-        side_leaves(aligned).groupBy("row_id", "path")
-        .agg(F.max_by("vkey", F.when(p, F.col("level"))).alias("pkey"), F.max_by("vkey", F.when(r, F.col("level"))).alias("rkey"))
-        .withColumn("equal", F.coalesce(F.col("pkey") == F.col("rkey"), F.lit(False)))
-    )
+def _with_counts(aligned: DataFrame) -> DataFrame:
+    """``aligned`` with ``_leaves``: how many leaves of each pair are equal, predicted and in the reference."""
+    count = F.arrow_udf(leaves.count_pairs, "correct long, predicted long, reference long")
+    return aligned.withColumn("_leaves", count("pred_text", "ref_text"))
+
+
+def _total_counts() -> list[Column]:
+    return [F.coalesce(F.sum(f"_leaves.{c}"), F.lit(0)).alias(c) for c in PAIR_COUNTS]
 
 
 def param_counts(aligned: DataFrame) -> DataFrame:
     """J3 + A21 inputs: total correct, predicted and reference leaves."""
-    return matched_leaves(aligned).agg(
-        F.count_if("equal").alias("correct"), F.count("pkey").alias("predicted"), F.count("rkey").alias("reference")
-    )
+    return _with_counts(aligned).agg(*_total_counts())
 
 
 def param_prf(counts: DataFrame) -> DataFrame:
     """Micro precision, recall and F1 in percent (0 when undefined)."""
     p = F.when(F.col("predicted") > 0, F.col("correct") * 100.0 / F.col("predicted")).otherwise(0.0)
     r = F.when(F.col("reference") > 0, F.col("correct") * 100.0 / F.col("reference")).otherwise(0.0)
-    with_pr = counts.select("correct", "predicted", "reference", p.alias("_p"), r.alias("_r"))
-    f1 = F.when(F.col("_p") + F.col("_r") > 0, 2 * F.col("_p") * F.col("_r") / (F.col("_p") + F.col("_r"))).otherwise(0.0)
-    return with_pr.select(
-        "correct",
-        "predicted",
-        "reference",
-        F.col("_p").alias("param_precision"),
-        F.col("_r").alias("param_recall"),
-        f1.alias("param_f1"),
-    )
+    f1 = F.when(F.col("param_precision") + F.col("param_recall") > 0, 2 * F.col("param_precision") * F.col("param_recall") / (F.col("param_precision") + F.col("param_recall")))
+    return counts.withColumns({"param_precision": p, "param_recall": r}).withColumn("param_f1", f1.otherwise(0.0))
 
 
 def evaluation_report(aligned: DataFrame) -> DataFrame:
-    """Every scalar metric and the sample count in one row."""
-    scalars = aligned.agg(
-        exact_match(),
-        intent_accuracy(),
-        parse_success_rate(),
-        F.count(F.lit(1)).alias("total_samples"),
-    )
-    prf = param_prf(param_counts(aligned)).select("param_precision", "param_recall", "param_f1")
-    return scalars.crossJoin(prf)
+    """Every scalar metric and the sample count in one row, from one pass over the pairs."""
+    scalars = [exact_match(), intent_accuracy(), parse_success_rate(), F.count(F.lit(1)).alias("total_samples")]
+    return param_prf(_with_counts(aligned).agg(*scalars, *_total_counts())).drop(*PAIR_COUNTS)

@@ -23,9 +23,7 @@ from __future__ import annotations
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from parlance.config import scratch_path
 from parlance.functions import scan
 from parlance.functions.json import json_quote, strict_json, variant_kind
 
@@ -131,77 +129,43 @@ def parse_outputs(df: DataFrame, text: str = "raw", mode: str = "single") -> Dat
 
 
 def _repair_stages(base: DataFrame, t: Column) -> DataFrame:
-    """P13 and P14 natively; P15 in Python for the rows still failing."""
-    # Each step is its own column: a later step refers to the earlier one
-    # instead of repeating its regex chain.
-    base = base.withColumn("_opened", F.when(~_strip(t).startswith("{"), F.concat(F.lit("{"), t)).otherwise(t))
-    base = base.withColumn(
-        "_t13",
-        F.when(~_strip(F.col("_opened")).endswith("}"), F.concat(F.col("_opened"), F.lit("}"))).otherwise(F.col("_opened")),
-    )
-    base = base.withColumn("_ok13", ~F.col("_ok0") & strict_json(F.col("_t13")))
-    # P13 result must be truthy: a strict text wrapped in braces is an object,
-    # falsy only when it has no keys.
-    base = base.withColumn(
-        "_empty13",
-        F.col("_ok13") & (F.coalesce(F.size(F.json_object_keys(F.col("_t13"))), F.lit(0)) == 0),
-    )
-    base = base.withColumns(
-        {
-            "_intent14": F.regexp_extract(t, INTENT_PATTERN, 1),
-            "_ptext": F.regexp_extract(t, PARAMS_PATTERN, 1),
-        }
-    )
-    base = base.withColumn(
-        "_p1",
-        F.regexp_replace(F.regexp_replace(F.regexp_replace(_strip(F.col("_ptext")), '"+$', ""), ",+$", ""), r"\s+$", ""),
-    )
-    base = base.withColumn("_p2", F.when(~F.col("_p1").startswith("{"), F.concat(F.lit("{"), F.col("_p1"))).otherwise(F.col("_p1")))
-    missing = F.greatest(_count(F.col("_p2"), "{") - _count(F.col("_p2"), "}"), F.lit(0))
-    base = base.withColumn(
-        "_p14", F.when(~F.col("_p2").endswith("}"), F.concat(F.col("_p2"), F.repeat(F.lit("}"), missing))).otherwise(F.col("_p2"))
-    )
-    base = base.withColumns(
-        {
-            "_try14": ~F.col("_ok0") & ~F.col("_ok13") & (F.col("_intent14") != ""),
-            "_has_p14": F.col("_ptext") != "",
-        }
-    ).withColumn("_ok14", F.col("_try14") & (~F.col("_has_p14") | strict_json(F.col("_p14"))))
-    # The native stages are stored, so they run once; of the stored rows only
-    # those they could not settle go through Python, the others pass by.
-    # mapInArrow is no expression: a filter on the result cannot duplicate it.
-    base = base.withColumn("_needs_scan", F.coalesce(F.col("_try14") & ~F.col("_ok14"), F.lit(False)))
-    path = scratch_path(base.sparkSession, "repair_stages")
-    base.write.mode("overwrite").parquet(path)
-    stored = base.sparkSession.read.schema(base.schema).parquet(path)
-    schema = T.StructType([*stored.schema.fields, T.StructField("_scan", T.StringType())])
-    scanned = stored.where("_needs_scan").mapInArrow(scan.scan_batches, schema)
-    both = stored.where("not _needs_scan").withColumn("_scan", F.lit(None).cast("string")).unionByName(scanned)
-    repaired_params = (
-        F.when(F.col("_ok14") & ~F.col("_has_p14"), F.lit("{}"))
-        .when(F.col("_ok14"), F.col("_p14"))
-        .otherwise(F.col("_scan"))
-    )
-    repaired = F.concat(F.lit('{"intent":'), json_quote(F.col("_intent14")), F.lit(',"params":'), repaired_params, F.lit("}"))
-    # A row the scanner could not read ends at the sentinel.
-    unread = F.col("_needs_scan") & F.col("_scan").isNull()
-    result = (
-        F.when(F.col("_scan").isNotNull(), repaired)
-        .when(F.col("_ok0"), t)
-        .when(F.col("_ok13") & ~F.col("_empty13"), F.col("_t13"))
-        .when(F.col("_ok13") | unread, F.lit(None))
-        .when(F.col("_try14"), repaired)
-    )
+    """P13 and P14 natively; P15 in Python for the rows still failing.
+
+    One stateless plan, for batches and streams alike. Each step is a column of
+    its own, so that a later step refers to the earlier one instead of repeating
+    its regex chain. The steps see null where an earlier one settled the row:
+    strict texts skip them all, and Python gets only texts to be scanned.
+    """
+    c = F.col
+    base = base.withColumn("_t", F.when(~c("_ok0"), t))
+    base = base.withColumn("_opened", F.when(_strip(c("_t")).startswith("{"), c("_t")).otherwise(F.concat(F.lit("{"), c("_t"))))
+    base = base.withColumn("_t13", F.when(_strip(c("_opened")).endswith("}"), c("_opened")).otherwise(F.concat(c("_opened"), F.lit("}"))))
+    base = base.withColumn("_ok13", strict_json(c("_t13")))
+    # The P13 result must be truthy: a strict text wrapped in braces is an
+    # object, falsy only when it has no keys.
+    base = base.withColumn("_empty13", c("_ok13") & (F.coalesce(F.size(F.json_object_keys(c("_t13"))), F.lit(0)) == 0))
+    base = base.withColumn("_t14", F.when(~c("_ok13"), c("_t")))
+    base = base.withColumns({"_intent14": F.regexp_extract("_t14", INTENT_PATTERN, 1), "_ptext": F.regexp_extract("_t14", PARAMS_PATTERN, 1)})
+    base = base.withColumn("_p1", F.regexp_replace(F.regexp_replace(F.regexp_replace(_strip(c("_ptext")), '"+$', ""), ",+$", ""), r"\s+$", ""))
+    base = base.withColumn("_p2", F.when(c("_p1").startswith("{"), c("_p1")).otherwise(F.concat(F.lit("{"), c("_p1"))))
+    missing = F.greatest(_count(c("_p2"), "{") - _count(c("_p2"), "}"), F.lit(0))
+    base = base.withColumn("_p14", F.when(c("_p2").endswith("}"), c("_p2")).otherwise(F.concat(c("_p2"), F.repeat(F.lit("}"), missing))))
+    base = base.withColumns({"_try14": F.coalesce(c("_intent14") != "", F.lit(False)), "_has_p14": c("_ptext") != ""})
+    base = base.withColumn("_ok14", c("_try14") & (~c("_has_p14") | strict_json(c("_p14"))))
+    # Not deterministic to the optimizer: a filter on the result must not scan a second time.
+    scanned = F.arrow_udf(scan.scan_texts, "string").asNondeterministic()(F.when(c("_try14") & ~c("_ok14"), c("_p14")))
+    base = base.withColumn("_scan", scanned)
+    # A row that the scanner could not read ends at the sentinel.
+    read14 = F.when(c("_ok14"), F.when(c("_has_p14"), c("_p14")).otherwise(F.lit("{}"))).otherwise(c("_scan"))
+    repaired = F.concat(F.lit('{"intent":'), json_quote(c("_intent14")), F.lit(',"params":'), read14, F.lit("}"))
+    full13 = c("_ok13") & ~c("_empty13")
+    result = F.when(c("_ok0"), t).when(full13, c("_t13")).when(c("_try14"), repaired)
     settled = (
-        F.when(F.col("_scan").isNotNull(), F.lit("scan"))
-        .when(F.col("_ok0"), F.lit("strict"))
-        .when(F.col("_ok13") & ~F.col("_empty13"), F.lit("braces"))
-        .when(F.col("_ok13") | unread, F.lit(None))
-        .when(F.col("_ok14"), F.lit("regex"))
-    )
-    return both.withColumns({"_result": result, "_settled": settled}).drop(
-        "_opened", "_t13", "_ok13", "_empty13", "_try14", "_intent14", "_ptext", "_p1", "_p2",
-        "_has_p14", "_p14", "_ok14", "_scan", "_needs_scan",
+        F.when(c("_ok0"), F.lit("strict")).when(full13, F.lit("braces"))
+        .when(c("_ok14"), F.lit("regex")).when(c("_scan").isNotNull(), F.lit("scan"))
+    )
+    return base.withColumns({"_result": result, "_settled": settled}).drop(
+        "_t", "_opened", "_t13", "_ok13", "_empty13", "_t14", "_intent14", "_ptext", "_p1", "_p2", "_p14", "_try14", "_has_p14", "_ok14", "_scan"
     )
 
 

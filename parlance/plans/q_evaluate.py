@@ -115,9 +115,7 @@ def q_bottom_intent_accuracy(spark, sf_dir):
 @register("flatten_params", with_views(f"SELECT row_id, path, kind, vkey FROM ({flat_sql('rv', 'all_refs')}) x", "aligned", extra={"all_refs": eligible_sql("ref_text", "rv")}))
 def q_flatten_params(spark, sf_dir):
     """Flattened params of every reference."""
-    ok, v = ev.params_variant("ref_text")
-    refs = views.references(spark, sf_dir).where(ok).select("row_id", v.alias("v"))
-    return ev.flatten_params(refs, ["row_id"]).drop("level")
+    return ev.flatten_params(views.references(spark, sf_dir), ["row_id"], "ref_text")
 
 
 @register(

@@ -148,6 +148,32 @@ def intent_only_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs(spark, sf_dir).select("row_id", F.concat(F.lit('"intent":'), json_quote(F.col("intent"))).alias("raw"))
 
 
+#: Damaged params and what a tolerant reader makes of them, by ``event_id`` % 10. Fixed values of the fixture recipe:
+#: {n} the number of the props, {t} the event type, {c} its first three letters.
+CORRUPTED = (
+    ('{"k":{n} "label":"{t}"}}', '{"k":{n},"label":"{t}"}'),  # no comma
+    ('{"label":{t},"k":{n}}}', '{"label":"{t}","k":{n}}'),  # no quotes
+    ('{"k":{n}, note "label":"{t}"}}', '{"k":{n},"label":"{t}"}'),  # a stray word
+    ('{"k":{n},"label":"{c}', '{"k":{n},"label":"{c}"}'),  # cut inside a text
+    ('{"k":{n},"tags":["a","b', '{"k":{n},"tags":[]}'),  # cut inside a list
+    ('{"t":{"amount":{n} "unit":"{t}"},"k":{n}}}', '{"t":{"amount":{n},"unit":"{t}"},"k":{n}}'),  # damage inside an object
+    ('{"a":-1{n} "b":{n}.5 "c":true "d":null}}', '{"a":-1{n},"b":{n}.5,"c":true,"d":null}'),  # every kind of value
+    ('{"k":1 "k":{n}}}', '{"k":{n}}'),  # a key twice
+    ('{"on":True,"label":"{t}"}}', '{"on":"True","label":"{t}"}'),  # a word that is no constant
+    ('{"label":\'{t}\',"k":{n}}}', '{"label":"\'{t}\'","k":{n}}'),  # the wrong quotes
+)
+
+
+def corrupted_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``row_id, raw``: outputs that neither braces nor patterns settle, of every kind of damage."""
+    ev = table(spark, sf_dir, "events", "event_id", "event_type", "props")
+    damage = F.element_at(F.array(*[F.lit(raw) for raw, _ in CORRUPTED]), (F.col("event_id") % len(CORRUPTED) + 1).cast("int"))
+    filled = F.replace(F.replace(damage, F.lit("{n}"), F.regexp_extract("props", "([0-9]+)", 1)), F.lit("{t}"), F.col("event_type"))
+    filled = F.replace(filled, F.lit("{c}"), F.left("event_type", F.lit(3)))
+    raw = F.concat(F.lit('"intent":"'), F.upper("event_type"), F.lit('","params":'), filled)
+    return ev.select(F.col("event_id").alias("row_id"), raw.alias("raw"))
+
+
 def latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``row_id, batch_id, inference_time_ms`` from ``events``."""
     ev = table(spark, sf_dir, "events", "event_id", "value")

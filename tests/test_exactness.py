@@ -28,8 +28,55 @@ def test_values_compare_exactly(spark):
     assert counts(spark, big) == (4, 6, 6)
 
 
-def test_colliding_paths_count_once(spark):
-    assert counts(spark, [('{"params":{"a.b":1,"a":{"b":2}}}', '{"params":{"a":{"b":2}}}')]) == (1, 1, 1)
+def params(text):
+    return f'{{"params":{text}}}'
+
+
+@pytest.mark.parametrize(
+    ("pred", "ref", "want"),
+    [
+        ('{"a.b":1,"a":{"b":2}}', '{"a":{"b":2}}', (1, 1, 1)),  # of one path the later leaf counts
+        ('{"a":{"b":2},"a.b":1}', '{"a":{"b":2}}', (0, 1, 1)),
+        ('{"a":{"b":2},"a.b":1}', '{"a.b":1}', (1, 1, 1)),
+        ('{"k":[1,2.0]}', '{"k":[1,2]}', (0, 1, 1)),  # lists compare as Python writes them
+        ('{"k":[1,2]}', '{"k":[ 1 , 2 ]}', (1, 1, 1)),
+        ('{"k":[{"x":1,"y":2}]}', '{"k":[{"y":2,"x":1}]}', (0, 1, 1)),
+        ('{"k":"[1]"}', '{"k":[1]}', (1, 1, 1)),
+        ('{"k":' + "1" * 41 + "2}", '{"k":' + "1" * 41 + "3}", (0, 1, 1)),
+        ('{"k":1e19}', '{"k":10000000000000000000}', (1, 1, 1)),
+        ('{"k":0.1}', '{"k":0.10}', (1, 1, 1)),
+        ('{"k":NaN}', '{"k":NaN}', (0, 1, 1)),
+        ('{"k":Infinity}', '{"k":1e999}', (1, 1, 1)),
+        ('{"k":1,"k":2}', '{"k":2}', (1, 1, 1)),
+        ('{"a":{},"":{"b":1}}', '{"b":1}', (1, 1, 1)),
+        ('{"k":"\\ud800"}', '{"k":"\\ud800"}', (1, 1, 1)),
+        ('{"k":' + "9" * 5000 + "}", '{"k":1}', (0, 0, 0)),  # beyond Python's digit limit: not read
+        ("[]", "{}", (0, 0, 0)),
+    ],
+)
+def test_leaves_compare_as_python_has_them(spark, pred, ref, want):
+    rows = [(7, params(pred), params(ref)), (7, params(pred), params(ref)), (7, None, params(ref)), (8, params("1"), params(ref))]
+    aligned = spark.createDataFrame(rows, "row_id long, pred_text string, ref_text string")
+    # A repeated row_id counts each time; a pair without params on one side counts for nothing.
+    assert tuple(evaluate.param_counts(aligned).first()) == tuple(2 * n for n in want)
+    matched = evaluate.matched_leaves(aligned).collect()
+    assert [sum(f(r) for r in matched) for f in (lambda r: r.equal, lambda r: r.pkey is not None, lambda r: r.rkey is not None)] == [2 * n for n in want]
+    flat = evaluate.flatten_params(aligned, ["row_id"], "ref_text").collect()
+    assert len(flat) == (4 if want != (0, 0, 0) else len(flat)) and {r.vkey for r in flat} == {r.rkey for r in matched if r.rkey} or want == (0, 0, 0)
+
+
+def test_building_a_comparison_runs_nothing(spark):
+    aligned = spark.createDataFrame([(0, nested(3, 1), nested(3, 1))], "row_id long, pred_text string, ref_text string")
+    aligned = evaluate.align_predictions(aligned.select("row_id", "pred_text"), aligned.select("row_id", "ref_text"))
+    spark.sparkContext.setJobGroup("plans only", "")
+    try:
+        for build in (evaluate.param_counts, evaluate.matched_leaves, evaluate.evaluation_report):
+            build(aligned)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plans only")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = evaluate.evaluation_report(aligned)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1
 
 
 def test_no_join_between_the_sides(spark):
