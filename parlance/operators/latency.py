@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parlance.operators.profile import order_statistics
+from parlance.operators.profile import bracket_columns, order_statistics
 
 
 def latency_summary(timed: DataFrame, intent: str = "intent", time_col: str = "inference_time_ms") -> DataFrame:
@@ -25,21 +25,23 @@ def latency_summary(timed: DataFrame, intent: str = "intent", time_col: str = "i
 
 def latency_benchmark(times: DataFrame, time_col: str = "inference_time_ms") -> DataFrame:
     """Mean, upper median (sorted[n div 2]), min, max, population std,
-    queries per second (1000 / mean, null for a mean of 0)."""
+    queries per second (1000 / mean, null for a mean of 0) of the times present."""
     spark = times.sparkSession
-    basic = times.agg(
+    value = F.col(time_col).cast("double")
+    present = times.select(F.lit("t").alias("column_name"), F.when(~F.isnan(value), value).alias("value")).where("value is not null")
+    basic = present.agg(
         F.count(F.lit(1)).alias("n"),
-        F.avg(time_col).alias("mean"),
-        F.min(time_col).alias("min"),
-        F.max(time_col).alias("max"),
-        F.stddev_pop(time_col).alias("std"),
+        F.avg("value").alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.stddev_pop("value").alias("std"),
+        bracket_columns(F.col("value"), (0.5,)).alias("bracket"),
     ).first()
     n = basic["n"]
     median = None
     if n:
-        long = times.select(F.lit("t").alias("column_name"), F.col(time_col).cast("double").alias("value"))
-        bounds = {"t": (float(basic["min"]), float(basic["max"]))}
-        median = order_statistics(long, [("t", n // 2)], bounds=bounds)[("t", n // 2)]
+        at = ("t", n // 2)
+        median = order_statistics(present, [at], {at: tuple(basic["bracket"])}, {"t": (basic["min"], basic["max"])})[at]
     row = (n, basic["mean"], median, basic["min"], basic["max"], basic["std"])
     df = spark.createDataFrame([row], "n bigint, mean double, median double, min double, max double, std double")
     return df.select(

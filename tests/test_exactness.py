@@ -136,3 +136,63 @@ def test_percentages_keep_all_digits(spark):
     rows = [(i, "train" if i else "val") for i in range(3)]
     got = {r.split: r.pct for r in splits.split_sizes(spark.createDataFrame(rows, "row_id long, split string")).collect()}
     assert got == {"train": 200 / 3, "val": 100 / 3}
+
+
+def described(spark, values):
+    return profile.numeric_describe(spark.createDataFrame([(v,) for v in values], "x double")).first()
+
+
+def test_quantiles_of_infinite_and_huge_values(spark):
+    inf = float("inf")
+    d = described(spark, [1.0, 2.0, inf])
+    assert (d.p25, d.p50, d.p75, d.max) == (1.5, 2.0, inf, inf)
+    d = described(spark, [-inf, -inf, 0.0, 5.0, inf])
+    assert (d.min, d.p25, d.p50, d.p75) == (-inf, -inf, 0.0, 5.0)
+    d = described(spark, [-1.7e308, -1e308, 1e308, 1.7e308])
+    assert (d.p25, d.p50, d.p75) == (-1.175e308, 0.0, 1.175e308)
+    assert described(spark, [5e-324, 1e-323, 1.5e-323]).p50 == 1e-323
+
+
+@pytest.mark.parametrize("small", [0, 100_000])
+def test_quantiles_equal_sorting(spark, monkeypatch, small):
+    import random
+
+    rng = random.Random(small)
+    values = [rng.choice((rng.gauss(0, 1), rng.randrange(9) * 1.0, rng.paretovariate(0.1))) for _ in range(4001)]
+    long = spark.createDataFrame([("x", v) for v in values], "column_name string, value double")
+    ranks, bounds = [0, 1000, 2000, 4000], {"x": (min(values), max(values))}
+    # Brackets on the wrong side cost a scan, not exactness.
+    for bracket in ((min(values), max(values)), (0.5, 0.6)):
+        got = profile.order_statistics(long, [("x", k) for k in ranks], {("x", k): bracket for k in ranks}, bounds, buckets=16, small=small)
+        assert [got["x", k] for k in ranks] == [sorted(values)[k] for k in ranks]
+
+
+def test_missing_times_do_not_count(spark):
+    times = spark.createDataFrame([(1.0,), (None,), (3.0,), (float("nan"),), (2.0,), (None,)], "inference_time_ms double")
+    r = latency.latency_benchmark(times).first()
+    assert (r.n, r.median_ms, r.mean_ms) == (3, 2.0, 2.0)
+    none = latency.latency_benchmark(times.where("inference_time_ms > 9 and not isnan(inference_time_ms)")).first()
+    assert (none.n, none.median_ms) == (0, None)
+
+
+def test_tables_without_text_and_names_with_dots(spark):
+    numbers = spark.createDataFrame([(1, 2.0), (2, None)], "`a.b` int, `c``d` double")
+    assert profile.text_column_profile(numbers).collect() == [] and profile.text_samples(numbers, "a.b").collect() == []
+    assert [tuple(r) for r in profile.null_counts(numbers).collect()] == [("c`d", 1)]
+    assert {tuple(r) for r in profile.distinct_counts(numbers).collect()} == {("a.b", 2), ("c`d", 1)}
+    assert {r.column_name: r.p50 for r in profile.numeric_describe(numbers).collect()} == {"a.b": 1.5, "c`d": 2.0}
+    text = spark.createDataFrame([(1, "x" * 40), (2, "x" * 40), (3, "y" * 40)], "row_id int, `t.u` string")
+    assert [(r.column_name, r.n_distinct, r.value[0], r.n) for r in profile.categorical_profile(text).collect()] == [("t.u", 2, "x", 2), ("t.u", 2, "y", 1)]
+    assert {tuple(r) for r in profile.distinct_counts(text).collect()} == {("row_id", 3), ("t.u", 2)}
+    assert [r.preview for r in profile.text_samples(text, "row_id", 1, 3).collect()] == ["xxx"]
+    assert [tuple(r) for r in profile.value_counts(text, "t.u").orderBy("n").collect()] == [("y" * 40, 1), ("x" * 40, 2)]
+    assert profile.numeric_describe(text.select("`t.u`")).collect() == []
+
+
+def test_columns_of_many_values_are_not_shuffled(spark):
+    df = spark.range(5000).selectExpr("cast(id as string) as many", "cast(id % 3 as string) as few")
+    profiled = profile.categorical_profile(df)
+    assert {r.column_name for r in profiled.collect()} == {"few"}
+    plan = profiled._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning(column_name" in line and "value" in line]
+    assert shuffled and "LeftSemi" in plan[plan.index(shuffled[0]) :]
