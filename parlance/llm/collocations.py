@@ -42,13 +42,18 @@ from parlance.llm.common import store
 from parlance.llm.text import Block, blocks, mix
 
 LONGEST = 4
-#: Occurrences of phrases in a hash partition, and in a task's buffer.
+#: Occurrences of phrases in a hash partition, about, and in a task's buffer.
 MASS = 1 << 22
+BUFFER = 1 << 21
 #: Bits of the survivors' filter (16 MB), and of a partition's share of it at most.
 FILTER = 1 << 27
 SHARE = 1 << 22
 #: Different phrases that a task counts exactly before it sends them on.
-PHRASES = 1 << 18
+PHRASES = 1 << 20
+#: Rows of a batch that a task returns.
+ROWS = 1 << 16
+#: Bytes of text to a word, for the number of hash partitions only.
+BYTES = 6
 #: What ends a piece reads as a line end, upper case as lower case.
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[[0x2E, 0x2C, 0x3B, 0x3A, 0x21, 0x3F, 0x0A, 0x0B, 0x0C, 0x0D]] = 0x0A
@@ -126,7 +131,7 @@ def _summaries(parts: int):
                 for _, _, h in _phrases(block, salts):
                     buffer.append(h)
                     held += len(h)
-                if held >= MASS:
+                if held >= BUFFER:
                     yield sent(buffer)
                     buffer, held = [], 0
         if held:
@@ -149,19 +154,50 @@ def _survivors(least: int, share: int):
     return run
 
 
+class _Tally:
+    """Exact counts of different phrases by hash, each with (lang, n, phrase), kept sorted in arrays."""
+
+    def __init__(self):
+        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.n, self.lang, self.phrase = np.zeros(0, np.int32), np.zeros(0, object), np.zeros(0, object)
+
+    def add(self, keys: np.ndarray, counts: np.ndarray, n: int, name) -> None:
+        """Sorted distinct ``keys`` of phrases of n words; ``name(which)`` gives languages and phrases of new ones."""
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        known[at < len(self.keys)] = self.keys[at[at < len(self.keys)]] == keys[at < len(self.keys)]
+        self.counts[at[known]] += counts[known]
+        new = np.flatnonzero(~known)
+        if len(new):
+            lang, phrase = name(new)
+            put = lambda old, more: np.insert(old, at[new], more)
+            self.keys, self.counts, self.n = put(self.keys, keys[new]), put(self.counts, counts[new]), put(self.n, np.int32(n))
+            self.lang, self.phrase = put(self.lang, lang), put(self.phrase, phrase)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(self.keys), ROWS):
+            part = slice(i, i + ROWS)
+            yield _rows(self.lang[part], self.n[part], self.phrase[part], self.counts[part])
+
+
+def _rows(lang, n, phrase, f) -> pa.RecordBatch:
+    text = pa.array(phrase, pa.binary()).cast(pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(n, pa.int32()), text, pa.array(f, pa.int64())], ["lang", "n", "phrase", "f"])
+
+
+def _objects(values: list) -> np.ndarray:
+    out = np.empty(len(values), object)
+    out[:] = values
+    return out
+
+
 def _counted(parts: int, share: int, marks):
     """(lang, n, phrase, f): exact counts of the phrases that pass the filter; n = 0 counts all words."""
 
-    def sent(known: dict, words: dict) -> pa.RecordBatch:
-        rows = [(*key, f) for key, f in ((k[1:], f) for k, f in known.values())] + [(lang, 0, b"", f) for lang, f in words.items()]
-        lang, n, phrase, f = zip(*rows, strict=True)
-        text = pa.array(phrase, pa.binary()).cast(pa.string())
-        return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(n, pa.int32()), text, pa.array(f, pa.int64())], ["lang", "n", "phrase", "f"])
-
     def run(batches):
-        known, words = {}, {}
+        tally, words = _Tally(), {}
         for batch in batches:
-            langs, salts = batch.column(0).to_pylist(), _salts(batch.column(0))
+            langs, salts = _objects(batch.column(0).to_pylist()), _salts(batch.column(0))
             for block in _folded(batch.column(1)):
                 row_of = np.repeat(np.arange(block.n), np.diff(block.word_at)) + block.lo
                 blank = np.concatenate([np.flatnonzero(~block.solid), [len(block.data)]])
@@ -175,17 +211,19 @@ def _counted(parts: int, share: int, marks):
                     ok = (marks.value[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 > 0
                     kept, at, count = np.unique(h[ok], return_index=True, return_counts=True)
                     where = first[ok][at]
-                    spans = zip(kept.tolist(), count.tolist(), row_of[where].tolist(), block.starts[where].tolist(), ends[where + n - 1].tolist())
-                    for k, f, row, i, j in spans:
-                        if k in known:
-                            known[k][1] += f
-                        else:
-                            known[k] = [(k, langs[row], n, b" ".join(data[i:j].split())), f]
-                if len(known) > PHRASES:
-                    yield sent(known, words)
-                    known, words = {}, {}
+
+                    def name(which, n=n, where=where):
+                        i = where[which]
+                        spans = zip(block.starts[i].tolist(), ends[i + n - 1].tolist())
+                        return langs[row_of[i]], _objects([b" ".join(data[x:y].split()) for x, y in spans])
+
+                    tally.add(kept, count, n, name)
+                if len(tally.keys) > PHRASES:
+                    yield from tally.rows()
+                    tally = _Tally()
+        yield from tally.rows()
         if words:
-            yield sent(known, words)
+            yield _rows(list(words), [0] * len(words), [b""] * len(words), list(words.values()))
 
     return run
 
@@ -194,13 +232,13 @@ def counts(docs: DataFrame, least: int) -> DataFrame:
     """(lang, n, phrase, f) of all phrases of 1 to 4 words with f >= least, and per lang its words (n = 0)."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    size = texts.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))).alias("words")).first().words or 0
-    parts = max(1, -(-LONGEST * size // MASS))
+    size = texts.agg(F.sum(F.octet_length("text")).alias("size")).first().size or 0
+    parts = max(1, -(-LONGEST * size // (BYTES * MASS)))
     share = max(8, min(SHARE, FILTER // parts) // 8 * 8)
     summaries = texts.mapInArrow(_summaries(parts), "part long, keys binary, counts binary")
     found = summaries.groupBy("part").applyInArrow(_survivors(least, share), "part long, marks binary")
     marks = np.zeros(parts * share // 8, np.uint8)
-    for row in found.toLocalIterator():
+    for row in found.collect():  # the filter's bits: bounded
         at = row.part * share // 8
         marks[at : at + share // 8] = np.frombuffer(row.marks, np.uint8)
     passed = texts.mapInArrow(_counted(parts, share, spark.sparkContext.broadcast(marks)), "lang string, n int, phrase string, f long")

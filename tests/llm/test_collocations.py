@@ -59,6 +59,7 @@ def found(df):
 def test_equals_counting_everything(spark, monkeypatch, least, top, mass):
     # A small mass gives many hash partitions, whose summaries have to drop counters.
     monkeypatch.setattr(co, "MASS", mass)
+    monkeypatch.setattr(co, "BUFFER", mass)
     monkeypatch.setattr(co, "PHRASES", max(50, mass >> 4))
     rows = corpus(3, 400)
     want = brute(rows, least, top)
