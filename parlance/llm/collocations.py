@@ -52,6 +52,8 @@ SHARE = 1 << 22
 PHRASES = 1 << 20
 #: Rows of a batch that a task returns.
 ROWS = 1 << 16
+#: Counters that are merged before a cut, as a multiple of the capacity.
+TOGETHER = 8
 #: Bytes of text to a word, for the number of hash partitions only.
 BYTES = 6
 #: What ends a piece reads as a line end, upper case as lower case.
@@ -97,9 +99,18 @@ def _place(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
 def merged(summaries: list[tuple[np.ndarray, np.ndarray]], capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
     """(keys, counters, error) of the Misra-Gries summaries (keys, counters) as one of at most ``capacity`` counters."""
     keys, counts, error = np.zeros(0, np.uint32), np.zeros(0, np.int64), 0
-    for more, n in summaries:
-        both, at = np.unique(np.concatenate([keys, more]), return_inverse=True)
-        keys, counts = both, np.bincount(at, np.concatenate([counts, n]), len(both)).astype(np.int64)
+    held, size = [], 0
+    last = len(summaries) - 1
+    for i, summary in enumerate(summaries):
+        held.append(summary)
+        size += len(summary[0])
+        if size < TOGETHER * capacity and i < last:
+            continue
+        # Many at once: each cut adds to the error.
+        more, n = map(np.concatenate, zip((keys, counts), *held, strict=True))
+        keys, at = np.unique(more, return_inverse=True)
+        counts = np.bincount(at, n, len(keys)).astype(np.int64)
+        held, size = [], 0
         if len(keys) > capacity:
             cut = int(np.partition(counts, len(counts) - capacity - 1)[len(counts) - capacity - 1])
             error += cut
