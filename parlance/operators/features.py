@@ -109,3 +109,41 @@ def assign_batches(splits: DataFrame, settings: Settings = DEFAULT) -> DataFrame
     bucket = F.when(train, hash_bucket("_key", settings.rank_bucket_hex_digits)).otherwise(F.lpad(F.col("_ids").cast("string"), 8, "0"))
     ranked = exact_rank(keyed, ["split"], ["_key", "row_id"], bucket, "position").drop("_key", "_ids")
     return ranked.withColumn("batch", F.expr(f"(position - 1) div {settings.batch_size}"))
+
+
+#: Rounds of the permutation of an epoch's order.
+ROUNDS = 16
+
+
+def _number(*parts: Column) -> Column:
+    """A number of 60 bits from the md5 of the parts, joined by colons (same in DuckDB)."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 15), 16, 10).cast("bigint")
+
+
+def permuted(position: Column, n: Column, key: Column, rounds: int = ROUNDS) -> Column:
+    """A keyed permutation of 0 .. n - 1, computed from the position alone.
+
+    Each round pairs the positions x and (k - x) mod n and swaps those pairs
+    whose keyed hash says so, so every round, and the whole, is a permutation
+    for any n.
+    """
+
+    def swap(x: Column, r: Column) -> Column:
+        partner = F.pmod(_number(key, r) % n - x, n)
+        return F.when(_number(key, r, F.greatest(x, partner)) % 2 == 1, partner).otherwise(x)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), position.cast("bigint"), swap)
+
+
+def epoch_batches(batches: DataFrame, epochs: int, settings: Settings = DEFAULT) -> DataFrame:
+    """A new order of the training split in every epoch: ``epoch, row_id, position, batch``.
+
+    ``batches`` is the result of :func:`assign_batches`, as stored: the order of
+    an epoch is a projection of the position there, without a shuffle or sort.
+    """
+    train = batches.where(F.col("split") == "train").select("row_id", "position")
+    size = train.agg(F.count(F.lit(1)).alias("_n"))
+    rows = train.crossJoin(F.broadcast(size)).withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))  # size: one row
+    key = F.concat_ws(":", F.lit(settings.random_seed), "epoch")
+    at = permuted(F.col("position") - 1, F.col("_n"), key)
+    return rows.select("epoch", "row_id", (at + 1).alias("position")).withColumn("batch", F.expr(f"(position - 1) div {settings.batch_size}"))

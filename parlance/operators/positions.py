@@ -94,6 +94,6 @@ def with_id_bucket(df: DataFrame, out: str, row_id: str = "row_id", buckets: int
     depend on where they lie.
     """
     cuts = df.select(F.col(row_id).cast("double").alias("_id")).approxQuantile("_id", [i / buckets for i in range(1, buckets)], 0.25 / buckets)
-    edges = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    edges = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     keyed = df.withColumn("_id", F.col(row_id).cast("double"))
     return Bucketizer(splits=edges, inputCol="_id", outputCol=out).transform(keyed).withColumn(out, F.col(out).cast("int")).drop("_id")

@@ -153,6 +153,27 @@ def q_assign_batches(spark, sf_dir):
     return fe.assign_batches(s).select("row_id", "split", "position", "batch")
 
 
+_EPOCH_NUMBER = "CAST(concat('0x', substr(md5(concat('42:', epoch, ':', {0})), 1, 15)) AS BIGINT)"
+_EPOCH_MATE = "(" + _EPOCH_NUMBER.format("r") + " % n - x + n) % n"
+_EPOCH_STEP = "CASE WHEN " + _EPOCH_NUMBER.format(f"r, ':', greatest(x, {_EPOCH_MATE})") + f" % 2 = 1 THEN {_EPOCH_MATE} ELSE x END"
+
+
+@register(
+    "epoch_batches",
+    with_views(
+        f"""SELECT epoch, row_id, spot + 1 AS position, spot // 16 AS batch FROM (
+SELECT epoch, row_id, list_reduce(list_prepend(start, range(1, 17)), lambda x, r: {_EPOCH_STEP}) AS spot FROM (
+SELECT row_id, row_number() OVER (ORDER BY md5('42:' || CAST(row_id AS VARCHAR)), row_id) - 1 AS start, count(*) OVER () AS n
+FROM splits WHERE split = 'train') s, (SELECT unnest([1, 2, 3]) AS epoch) e) p""",
+        "splits",
+    ),
+)
+def q_epoch_batches(spark, sf_dir):
+    """Position and batch of every training row in each of three epochs."""
+    stored = views.written(spark, sf_dir, "batches", lambda: fe.assign_batches(stored_splits(spark, sf_dir).select("row_id", "split")).select("row_id", "split", "position"))
+    return fe.epoch_batches(stored, 3)
+
+
 def _clf_data(spark, sf_dir):
     s = views.written(
         spark, sf_dir, "labelled_splits", lambda: sp.stratified_split(views.labelled_texts(spark, sf_dir)).select("row_id", "text", "intent", "split")

@@ -59,3 +59,25 @@ def test_classifier_beats_the_majority(spark):
     majority = max(sum(r.intent == x for r in rows) for x in ("KEEP", "DROP"))
     assert sum(r.intent == r.intent_pred for r in rows) > majority
     assert test.count() > 0
+
+
+def test_every_epoch_is_another_permutation(spark):
+    from pyspark.sql import functions as F
+
+    from parlance.operators import features
+
+    for n in (0, 1, 2, 7, 1000):
+        stored = spark.range(n).selectExpr("id * 3 as row_id", "'train' as split", "id + 1 as position")
+        got = features.epoch_batches(stored.unionByName(stored.limit(5).withColumn("split", F.lit("val"))), 3)
+        orders = {}
+        for r in got.collect():
+            orders.setdefault(r.epoch, {})[r.position] = r.row_id
+            assert r.batch == (r.position - 1) // 16
+        assert all(sorted(o) == list(range(1, n + 1)) and sorted(o.values()) == [3 * i for i in range(n)] for o in orders.values())
+        assert len(orders) == (3 if n else 0)
+        if n == 1000:
+            shown = [[o[i] for i in range(1, n + 1)] for o in orders.values()]
+            assert all(sum(a == b for a, b in zip(x, y)) < 20 for x, y in zip(shown, [*shown[1:], list(range(0, 3 * n, 3))]))
+            # Neighbours do not stay neighbours.
+            assert all(sum(abs(a - b) == 3 for a, b in zip(o, o[1:])) < 40 for o in shown)
+    assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
