@@ -19,9 +19,9 @@ to the earliest cut. Candidates contained in a longer candidate with at least
 3. Survivors are marks in a filter of at most FILTER bits, the same for any
    input; as it fills, more phrases pass, and none is lost.
 4. A second pass over the texts counts exactly what passes, by the phrase
-   itself, with sums in each task before the shuffle.
+   itself: tasks sum first and send each hash partition one row of lists.
 
-Memory of a task: its buffer and the filter, or one partition's summaries.
+Memory of a task: its buffer and the filter, or one partition's lists.
 
 Rows: a null text is empty; repeated rows count each time; a text without words
 adds nothing; of equal scores the more frequent, then the lesser phrase in UTF-8
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ SHARE = 1 << 22
 #: Different phrases that a task counts exactly before it sends them on.
 PHRASES = 1 << 20
 #: Rows of a batch that a task returns.
-ROWS = 1 << 16
+ROWS = 16
 #: Counters that are merged before a cut, as a multiple of the capacity.
 TOGETHER = 8
 #: Bytes of text to a word, for the number of hash partitions only.
@@ -185,15 +186,34 @@ class _Tally:
             self.keys, self.counts, self.n = put(self.keys, keys[new]), put(self.counts, counts[new]), put(self.n, np.int32(n))
             self.lang, self.phrase = put(self.lang, lang), put(self.phrase, phrase)
 
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        for i in range(0, len(self.keys), ROWS):
-            part = slice(i, i + ROWS)
-            yield _rows(self.lang[part], self.n[part], self.phrase[part], self.counts[part])
+    def rows(self, parts: int) -> Iterator[pa.RecordBatch]:
+        """A row per hash partition, with the lists of its phrases."""
+        part, _ = _place(self.keys, parts)  # sorted, as the keys are
+        found, first = np.unique(part, return_index=True)
+        yield from _rows(found.astype(np.int64), [*first.tolist(), len(part)], self.lang, self.n, self.phrase, self.counts)
 
 
-def _rows(lang, n, phrase, f) -> pa.RecordBatch:
+LISTS = ("lang", "n", "phrase", "f")
+
+
+def _rows(part, edges, lang, n, phrase, f) -> Iterator[pa.RecordBatch]:
     text = pa.array(phrase, pa.binary()).cast(pa.string())
-    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(n, pa.int32()), text, pa.array(f, pa.int64())], ["lang", "n", "phrase", "f"])
+    values = (pa.array(lang, pa.string()), pa.array(n, pa.int32()), text, pa.array(f, pa.int64()))
+    lists = [pa.ListArray.from_arrays(pa.array(edges, pa.int32()), v) for v in values]
+    batch = pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), *lists], ["part", *LISTS])
+    for i in range(0, batch.num_rows, ROWS):
+        yield batch.slice(i, ROWS)
+
+
+def _summed(least: int):
+    """The exact counts of a hash partition's phrases, of those with f >= least, and of words (n = 0)."""
+
+    def run(group: pa.Table) -> pa.Table:
+        flat = pa.table({c: pc.list_flatten(group.column(c)) for c in LISTS})
+        total = flat.group_by(["lang", "n", "phrase"]).aggregate([("f", "sum")]).rename_columns({"f_sum": "f"})
+        return total.filter(pc.or_(pc.equal(total["n"], 0), pc.greater_equal(total["f"], least))).select(LISTS)
+
+    return run
 
 
 def _objects(values: list) -> np.ndarray:
@@ -203,7 +223,7 @@ def _objects(values: list) -> np.ndarray:
 
 
 def _counted(parts: int, share: int, marks):
-    """(lang, n, phrase, f): exact counts of the phrases that pass the filter; n = 0 counts all words."""
+    """(part, lang, n, phrase, f), a row per hash partition: exact counts of the phrases that pass the filter; n = 0 counts all words."""
 
     def run(batches):
         tally, words = _Tally(), {}
@@ -230,11 +250,10 @@ def _counted(parts: int, share: int, marks):
 
                     tally.add(kept, count, n, name)
                 if len(tally.keys) > PHRASES:
-                    yield from tally.rows()
+                    yield from tally.rows(parts)
                     tally = _Tally()
-        yield from tally.rows()
-        if words:
-            yield _rows(list(words), [0] * len(words), [b""] * len(words), list(words.values()))
+        yield from tally.rows(parts)
+        yield from _rows([0], [0, len(words)], list(words), [0] * len(words), [b""] * len(words), list(words.values()))
 
     return run
 
@@ -252,9 +271,9 @@ def counts(docs: DataFrame, least: int) -> DataFrame:
     for row in found.collect():  # the filter's bits: bounded
         at = row.part * share // 8
         marks[at : at + share // 8] = np.frombuffer(row.marks, np.uint8)
-    passed = texts.mapInArrow(_counted(parts, share, spark.sparkContext.broadcast(marks)), "lang string, n int, phrase string, f long")
-    exact = passed.groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"))
-    return store(exact.where(f"n = 0 or f >= {int(least)}"), "phrases")
+    lists = "lang array<string>, n array<int>, phrase array<string>, f array<long>"
+    passed = texts.mapInArrow(_counted(parts, share, spark.sparkContext.broadcast(marks)), f"part long, {lists}")
+    return store(passed.groupBy("part").applyInArrow(_summed(least), "lang string, n int, phrase string, f long"), "phrases")
 
 
 def _parts(phrases: DataFrame, sizes: F.Column) -> DataFrame:
