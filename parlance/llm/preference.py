@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parlance.operators.positions import exact_rank, with_id_bucket
+
 END = "<|end|>\n"
 
 
@@ -67,19 +69,27 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
-def swapped_replies(turns: DataFrame) -> DataFrame:
-    """Pairs from plain conversations: the last assistant turn against that of the neighbour's.
+def crossed_endings(turns: DataFrame) -> DataFrame:
+    """Pairs from plain conversations: each whole one against its beginning with a neighbour's ending.
 
-    Conversation 2k and 2k + 1 are neighbours. Chosen is the conversation up to
-    its last assistant turn; rejected has the neighbour's last assistant text
-    there. Conversations that lack an assistant turn, or whose neighbour does,
-    give no pair.
+    A conversation parts at the middle one of its assistant turns (the earlier
+    of two). By the order of their ids, conversations with an assistant turn are
+    neighbours two by two; an odd last one takes the ending of the one before.
+    Chosen is the conversation, rejected its turns before the parting, followed
+    by the neighbour's from its own parting on. Every conversation with an
+    assistant turn gives one pair (a single one has no neighbour and gives
+    none). Ranks come from bucket counts, not from a window over all ids.
     """
     convs = conversations(turns)
-    spoken = F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i + 1).otherwise(0))
-    ended = convs.withColumn("last", F.array_max(spoken)).where("last > 0")
-    ended = ended.select("conv_id", F.slice("turns", F.lit(1), F.col("last")).alias("chosen"))
-    reply = ended.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.element_at("chosen", -1).alias("reply"))
-    rows = ended.join(reply, "conv_id")
-    history = F.slice("chosen", F.lit(1), F.size("chosen") - 1)
-    return rows.select(F.col("conv_id").alias("pair_id"), "chosen", F.concat(history, F.array("reply")).alias("rejected"))
+    spoken = F.filter(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i + 1)), lambda i: i.isNotNull())
+    parted = convs.withColumn("at", F.get(spoken, F.ceil(F.size(spoken) / 2).cast("int") - 1)).where("at is not null")
+    ids = turns.where("conv_id is not null and role = 'assistant'").select("conv_id").distinct()
+    ranks = exact_rank(with_id_bucket(ids, "_ids", "conv_id"), [], ["conv_id"], F.col("_ids")).select("conv_id", "rank")
+    total = ranks.agg(F.count("*").alias("n"))
+    last = (F.col("rank") == F.col("n")) | (F.col("rank") % 2 == 0)
+    other = ranks.crossJoin(F.broadcast(total)).select("conv_id", (F.col("rank") + F.when(last, -1).otherwise(1)).alias("rank"))  # total: one row
+    mate = other.join(ranks.withColumnRenamed("conv_id", "mate"), "rank").select("conv_id", "mate")
+    upto = F.slice("turns", F.lit(1), F.col("at") - 1)
+    endings = parted.select(F.col("conv_id").alias("mate"), F.slice("turns", F.col("at"), F.size("turns")).alias("ending"))
+    rows = parted.join(mate, "conv_id").join(endings, "mate")
+    return rows.select(F.col("conv_id").alias("pair_id"), F.col("turns").alias("chosen"), F.concat(upto, "ending").alias("rejected"))

@@ -67,7 +67,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preference.format_pairs(preference.swapped_replies(table(spark, sf_dir, "conversations")))
+    return preference.format_pairs(preference.crossed_endings(table(spark, sf_dir, "conversations")))
 
 
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:

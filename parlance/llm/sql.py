@@ -74,26 +74,32 @@ WITH t AS (
   SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
     row_number() OVER (PARTITION BY conv_id ORDER BY turn, coalesce(role, 'unknown'), coalesce(text, '')) AS i
   FROM conversations WHERE conv_id IS NOT NULL),
-e AS (SELECT conv_id, max(i) AS last FROM t WHERE role = 'assistant' GROUP BY conv_id),
-own AS (SELECT t.conv_id, last, text FROM t JOIN e ON t.conv_id = e.conv_id AND t.i = last),
-pair AS (
-  SELECT a.conv_id, a.last, a.text AS yes, b.text AS no
-  FROM own a JOIN own b ON b.conv_id = CASE WHEN a.conv_id % 2 = 0 THEN a.conv_id + 1 ELSE a.conv_id - 1 END),
-hist AS (
-  SELECT p.conv_id, string_agg(concat('<|', t.role, '|>', chr(10), t.text, '<|end|>', chr(10)), '' ORDER BY t.i) AS prompt
-  FROM pair p JOIN t ON t.conv_id = p.conv_id AND t.i < p.last GROUP BY p.conv_id),
-x AS (
-  SELECT p.*, coalesce(prompt, '') AS prompt, concat('<|assistant|>', chr(10), yes, '<|end|>', chr(10)) AS c,
-    concat('<|assistant|>', chr(10), no, '<|end|>', chr(10)) AS r
-  FROM pair p LEFT JOIN hist h ON p.conv_id = h.conv_id)
-SELECT conv_id AS pair_id, CAST(CASE WHEN yes = no THEN last ELSE last - 1 END AS BIGINT) AS n_prompt_turns,
-  CASE WHEN yes = no THEN concat(prompt, c) ELSE prompt END AS prompt,
-  CASE WHEN yes = no THEN '' ELSE c END AS chosen,
-  CASE WHEN yes = no THEN '' ELSE concat(repeat('0', 14), repeat('1', length(yes) + 8)) END AS chosen_mask,
-  CASE WHEN yes = no THEN '' ELSE r END AS rejected,
-  CASE WHEN yes = no THEN '' ELSE concat(repeat('0', 14), repeat('1', length(no) + 8)) END AS rejected_mask,
-  yes <> no AS usable
-FROM x
+a AS (SELECT conv_id, i, row_number() OVER (PARTITION BY conv_id ORDER BY i) AS q, count(*) OVER (PARTITION BY conv_id) AS m FROM t WHERE role = 'assistant'),
+c AS (SELECT conv_id, i AS cut, row_number() OVER (ORDER BY conv_id) AS k, count(*) OVER () AS n FROM a WHERE q = (m + 1) // 2),
+p AS (
+  SELECT x.conv_id, x.cut, y.conv_id AS mate, y.cut AS mate_cut
+  FROM c x JOIN c y ON y.k = CASE WHEN x.k % 2 = 0 OR x.k = x.n THEN x.k - 1 ELSE x.k + 1 END),
+ch AS (SELECT t.conv_id, i AS j, role, text FROM t JOIN p ON t.conv_id = p.conv_id),
+rj AS (
+  SELECT p.conv_id, i AS j, role, text FROM t JOIN p ON t.conv_id = p.conv_id WHERE i < cut
+  UNION ALL SELECT p.conv_id, cut + i - mate_cut, role, text FROM t JOIN p ON t.conv_id = p.mate WHERE i >= mate_cut),
+d AS (
+  SELECT coalesce(ch.conv_id, rj.conv_id) AS conv_id, coalesce(ch.j, rj.j) AS j, ch.role IS NOT NULL AND rj.role IS NOT NULL AND ch.role = rj.role AND ch.text = rj.text AS same
+  FROM ch FULL JOIN rj ON ch.conv_id = rj.conv_id AND ch.j = rj.j),
+l AS (SELECT conv_id, min(CASE WHEN same THEN j + 1000000000 ELSE j END) AS first, max(j) AS longest FROM d GROUP BY conv_id),
+s AS (SELECT conv_id, CASE WHEN first > 1000000000 THEN longest ELSE first - 1 END AS common FROM l),
+r AS (
+  SELECT side, conv_id, j, concat('<|', role, '|>', chr(10), text, '<|end|>', chr(10)) AS shown,
+    concat(repeat('0', length(role) + 5), repeat(CASE WHEN role = 'assistant' THEN '1' ELSE '0' END, length(text) + 8)) AS mask
+  FROM (SELECT 'yes' AS side, * FROM ch UNION ALL SELECT 'no', * FROM rj) b)
+SELECT s.conv_id AS pair_id, CAST(common AS BIGINT) AS n_prompt_turns,
+  coalesce(string_agg(shown, '' ORDER BY j) FILTER (WHERE side = 'yes' AND j <= common), '') AS prompt,
+  coalesce(string_agg(shown, '' ORDER BY j) FILTER (WHERE side = 'yes' AND j > common), '') AS chosen,
+  coalesce(string_agg(mask, '' ORDER BY j) FILTER (WHERE side = 'yes' AND j > common), '') AS chosen_mask,
+  coalesce(string_agg(shown, '' ORDER BY j) FILTER (WHERE side = 'no' AND j > common), '') AS rejected,
+  coalesce(string_agg(mask, '' ORDER BY j) FILTER (WHERE side = 'no' AND j > common), '') AS rejected_mask,
+  count(*) FILTER (WHERE side = 'yes' AND j > common) > 0 AND count(*) FILTER (WHERE side = 'no' AND j > common) > 0 AS usable
+FROM s JOIN r ON s.conv_id = r.conv_id GROUP BY s.conv_id, common
 """
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -4,6 +4,8 @@ import hashlib
 import os
 import random
 
+import pytest
+
 from parlance.llm import common, preference, warc
 
 PAGES = "page_id long, url string, html string, sha string, value string, file string, first long"
@@ -126,9 +128,42 @@ def test_pairs_from_awkward_conversations(spark):
         (None, 0, "assistant", "lost"), (6, 0, "assistant", None), (7, 0, "assistant", "y"), (7, 0, "assistant", "y"),
     ]
     turns = spark.createDataFrame([(*r, "k", 1) for r in rows], "conv_id long, turn long, role string, text string, turns string, last int")
-    got = {r.pair_id: r for r in preference.format_pairs(preference.swapped_replies(turns)).collect()}
-    assert set(got) == {0, 1, 4, 5, 6, 7}
-    assert "one" in got[0].chosen and "two" in got[0].rejected and got[0].n_prompt_turns == 1
-    assert got[1].prompt == "<|unknown|>\n<|end|>\n"
-    assert not got[4].usable and got[7].n_prompt_turns == 1
-    assert preference.format_pairs(preference.swapped_replies(turns.where("false"))).count() == 0
+    got = {r.pair_id: r for r in preference.format_pairs(preference.crossed_endings(turns)).collect()}
+    answered = {r[0] for r in rows if r[2] == "assistant" and r[0] is not None}
+    assert set(got) == answered and len(got) > 3
+    assert preference.format_pairs(preference.crossed_endings(turns.where("false"))).count() == 0
+    assert preference.format_pairs(preference.crossed_endings(turns.where("conv_id = 6"))).count() == 0  # no neighbour
+
+
+def crossed(convs):
+    """The pairs by plain lists: {id: (prompt turns, chosen rest, rejected rest)}."""
+    at = {c: [i for i, (role, _) in enumerate(t) if role == "assistant"] for c, t in convs.items()}
+    at = {c: i[(len(i) + 1) // 2 - 1] for c, i in at.items() if i}
+    ids, out = sorted(at), {}
+    for k, c in enumerate(ids):
+        mate = ids[k - 1] if k % 2 or k == len(ids) - 1 else ids[k + 1]
+        yes, no = convs[c], convs[c][: at[c]] + convs[mate][at[mate] :]
+        n = 0
+        while n < min(len(yes), len(no)) and yes[n] == no[n]:
+            n += 1
+        out[c] = (n, yes[n:], no[n:])
+    return out
+
+
+@pytest.mark.parametrize("step", [1, 2, 1000])
+def test_every_answered_conversation_gives_one_whole_pair(spark, step):
+    rng = random.Random(step)
+    said = ["Yes.", "No.", "Why?", "Ok."]
+    convs = {step * c: [(rng.choice(["user", "assistant"]), rng.choice(said)) for _ in range(rng.randrange(1, 9))] for c in range(41)}
+    rows = [(c, i, role, text) for c, turns in convs.items() for i, (role, text) in enumerate(turns)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.pair_id: r for r in preference.format_pairs(preference.crossed_endings(df)).collect()}
+    want = crossed(convs)
+    assert set(got) == set(want) == {c for c, t in convs.items() if any(role == "assistant" for role, _ in t)}
+    show = lambda turns: "".join(f"<|{role}|>\n{text}<|end|>\n" for role, text in turns)
+    marks = lambda turns: "".join("0" * (len(role) + 5) + ("1" if role == "assistant" else "0") * (len(text) + 8) for role, text in turns)
+    for c, (n, yes, no) in want.items():
+        r = got[c]
+        assert (r.n_prompt_turns, r.prompt, r.chosen, r.rejected) == (n, show(convs[c][:n]), show(yes), show(no))
+        assert (r.chosen_mask, r.rejected_mask, r.usable) == (marks(yes), marks(no), bool(yes and no))
+    assert max(len(yes) for _, yes, _ in want.values()) > 2 and max(n for n, _, _ in want.values()) > 2
