@@ -1,18 +1,19 @@
 """Mixing sources to target weights (operator 9).
 
 The words of a source, its documents in the order of their hashed ids, form one
-stream that is cut into blocks of BLOCK words. A mixture is a sequence of
-slots, dealt to output shards; every shard draws its source counts from a
+stream that is cut into blocks of 1/GRAIN of its size or target, whichever is
+less, but of 1 to BLOCK words. A mixture is a sequence of slots, dealt to output shards; every shard draws its source counts from a
 multinomial distribution, and a source's slots are numbered through the shards.
 A keyed pseudorandom permutation of a source's slots picks those beyond its
 quota, which go to the sources that drew too little, so the totals meet the
-targets exactly to a block. Slot number o of a source takes block
+targets to a block of their source. Slot number o of a source takes block
 permutation(o mod blocks) in epoch o div blocks, and blocks are joined by that
 index. A quota never exceeds MAX_EPOCHS times the source's blocks, hence no
 document is taken more often.
 
 Positions come from two levels of about sqrt(rows) buckets, so no source's
-prefix sum runs in one task. One row per source reaches the driver.
+prefix sum runs in one task; buckets are dealt by id, size and text, so that
+rows of one id (or of none) spread as well. One row per source reaches the driver.
 
 Rows: a text without words (null too) has size 0 and nothing taken; a null
 source is a source of its own, last in order; repeated rows are documents of
@@ -30,6 +31,7 @@ from parlance.llm.common import n_words, store
 from parlance.llm.text import blocks, mix
 
 BLOCK = 64
+GRAIN = 128
 SHARD_SLOTS = 4096
 TASK_SLOTS = 200_000
 MAX_EPOCHS = 3
@@ -58,7 +60,7 @@ def permute(x: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 def targets(sized: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """(source, no, source_size, target), one row per source.
+    """(source, no, source_size, target, block_words), one row per source.
 
     Sources in code point order, null last, weigh ``weights`` in turn and share
     all words; a target above max_epochs times the source's words stops there
@@ -76,8 +78,9 @@ def targets(sized: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) ->
     level = (F.sum("source_size").over(everyone) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("w").over(onward)
     leveled = numbered.withColumn("w", w).withColumn("cap", limit).withColumn("level", level)
     top = F.max(F.when(F.col("cap") / F.col("w") > F.col("level"), F.col("level"))).over(everyone)
+    block_words = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.least("source_size", "target") / GRAIN)))
     return leveled.withColumn("target", F.least("cap", F.coalesce(top, F.lit(0.0)) * F.col("w"))).select(
-        "source", F.col("no").cast("long").alias("no"), "source_size", "target"
+        "source", F.col("no").cast("long").alias("no"), "source_size", "target", block_words.cast("long").alias("block_words")
     )
 
 
@@ -134,7 +137,7 @@ def slots(spark, sources: list) -> DataFrame | None:
     """
     size = np.array([r["source_size"] for r in sources], np.int64)
     target = np.array([r["target"] for r in sources], float)
-    n_blocks = np.maximum(-(-size // BLOCK), 1)
+    n_blocks = np.maximum(-(-size // np.array([r["block_words"] for r in sources], np.int64)), 1)
     quota = np.where(size > 0, np.rint(target / np.maximum(size, 1) * n_blocks), 0).astype(np.int64)
     total = int(quota.sum())
     if not total:
@@ -153,15 +156,15 @@ def slots(spark, sources: list) -> DataFrame | None:
     return numbered.mapInArrow(_slots(n_blocks, quota, drawn), "shard long, no long, block long, epoch long")
 
 
-def _placed(rows: DataFrame, sources: DataFrame, buckets: int, *ties) -> DataFrame:
-    """``rows`` with their source's number and their first word's position in its stream (at)."""
-    by = sources.select(F.col("source").alias("of_source"), F.col("no").alias("mix_no"))
+def _placed(rows: DataFrame, sources: DataFrame, buckets: int) -> DataFrame:
+    """``rows`` with their source's number and block length and their first word's position in its stream (at)."""
+    by = sources.select(F.col("source").alias("of_source"), F.col("no").alias("mix_no"), F.col("block_words").alias("mix_block"))
     rows = rows.join(by, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
-    rows = rows.withColumn("mix_bucket", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(buckets)))
+    rows = rows.withColumn("mix_bucket", F.pmod(F.xxhash64("doc_id", "mix_size", "mix_digest", F.lit(SEED)), F.lit(buckets)))
     sums = rows.groupBy("mix_no", "mix_bucket").agg(F.sum("mix_size").alias("mix_sum"))
     before = Window.partitionBy("mix_no").orderBy("mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("mix_base", F.coalesce(F.sum("mix_sum").over(before), F.lit(0))).drop("mix_sum")
-    within = Window.partitionBy("mix_no", "mix_bucket").orderBy("doc_id", "mix_size", *ties)
+    within = Window.partitionBy("mix_no", "mix_bucket").orderBy("doc_id", "mix_size", "mix_digest")
     at = F.col("mix_base") + F.coalesce(F.sum("mix_size").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return rows.join(sums, ["mix_no", "mix_bucket"]).withColumn("mix_at", at.cast("long")).drop("mix_bucket", "mix_base")
 
@@ -171,7 +174,7 @@ class Mixture:
 
     def __init__(self, docs: DataFrame):
         spark = docs.sparkSession
-        self.sized = store(docs.select("doc_id", "source", n_words("text").alias("size")), "sized")
+        self.sized = store(docs.select("doc_id", "source", n_words("text").alias("size"), F.xxhash64("text").alias("mix_digest")), "sized")
         self.sources = store(targets(self.sized), "sources")
         self.buckets = max(1, int(self.sized.count() ** 0.5))
         rows = self.sources.orderBy("no").collect()
@@ -184,10 +187,10 @@ class Mixture:
     def pieces(self) -> DataFrame:
         """(mix_no, mix_at, doc_id, mix_size, block, words, uses): the part of each block in each document."""
         rows = _placed(self.sized.withColumnRenamed("size", "mix_size"), self.sources, self.buckets).where("mix_size > 0")
-        last = (F.col("mix_at") + F.col("mix_size") - 1)
-        first_block, last_block = F.floor(F.col("mix_at") / BLOCK), F.floor(last / BLOCK)
+        last = F.col("mix_at") + F.col("mix_size") - 1
+        first_block, last_block = F.expr("mix_at div mix_block"), F.expr("(mix_at + mix_size - 1) div mix_block")
         rows = rows.withColumn("block", F.explode(F.sequence(first_block, last_block)))
-        words = F.least((F.col("block") + 1) * BLOCK, last + 1) - F.greatest(F.col("block") * BLOCK, "mix_at")
+        words = F.least((F.col("block") + 1) * F.col("mix_block"), last + 1) - F.greatest(F.col("block") * F.col("mix_block"), "mix_at")
         uses = self.uses.withColumnRenamed("no", "mix_no")
         return (
             rows.withColumn("words", words).join(uses, ["mix_no", "block"], "left")
@@ -258,7 +261,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     # Other columns ride along under names of their own, whatever they are called.
     other = {c: f"other_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "source", "text")}
     rows = docs.select("doc_id", "source", "text", *(F.col(f"`{c}`").alias(n) for c, n in other.items()), n_words("text").alias("mix_size"))
-    rows = _placed(rows, mixture.sources, mixture.buckets, F.xxhash64("text")).where("mix_size > 0").join(plan, ["mix_no", "mix_at"])
+    rows = _placed(rows.withColumn("mix_digest", F.xxhash64("text")), mixture.sources, mixture.buckets).where("mix_size > 0").join(plan, ["mix_no", "mix_at"])
     rows = rows.select(
         *(F.col(other.get(c, c)).alias(c) for c in docs.columns), F.col("mix_p.words").alias("mix_words"), F.col("mix_p.uses").alias("mix_uses")
     )
