@@ -1,7 +1,8 @@
 """Token-id output: best-fit-decreasing packing into fixed-length rows (operator 2).
 
 Texts are encoded with a public byte-level vocabulary and closed by an end id.
-Documents are dealt by hash to shards of about SHARD_BYTES of text; within a
+Documents are dealt by hash to shards of about SHARD_BYTES of text, the copies of
+a repeated row each by a number of its own; within a
 shard, documents longer than a row are split losslessly into segments, and the
 segments, longest first, go to the open row with the least room that fits, found
 by a segment tree over the row capacities. Shards do not depend on partitions,
@@ -29,6 +30,8 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parlance.llm.common import store
+
 LENGTH = 2048
 SHARD_BYTES = 4 << 20
 VOCABULARY = os.environ.get("PARLANCE_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
@@ -154,6 +157,21 @@ def _pack(sent, length: int):
     return run
 
 
+def numbered_copies(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text) with a ``copy`` that numbers equal rows, so that they can be dealt apart.
+
+    Keys met more than once are found on hashes; only their rows are grouped (with
+    partial counts) and spread again. The others go on without a shuffle of their own
+    where those keys are few.
+    """
+    keyed = rows.withColumn("pack_key", F.xxhash64("doc_id", "text"))
+    repeated = store(keyed.groupBy("pack_key").count().where("count > 1").select("pack_key"), "repeated")
+    once = keyed.join(repeated, "pack_key", "left_anti").withColumn("copy", F.lit(1).cast("long"))
+    more = keyed.join(repeated, "pack_key", "left_semi").groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("n"))
+    more = more.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
+    return once.select("doc_id", "text", "copy").unionByName(more.select("doc_id", "text", "copy"))
+
+
 def pack(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Packed rows: shard, pack, n_tokens, input_ids, position_ids, cu_seqlens, segment_docs, segment_offsets.
 
@@ -167,8 +185,8 @@ def pack(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY, sh
     shards = max(1, -(-total // shard_bytes))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (
-        docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).alias("shard"))
-        .where("text <> ''")
+        numbered_copies(docs.select("doc_id", "text").where("text <> ''"))
+        .select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text", "copy"), F.lit(shards)).alias("shard"))
         .groupBy("shard")
         .applyInArrow(
             _pack(sent, length),

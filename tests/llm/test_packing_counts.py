@@ -58,6 +58,20 @@ def test_rows_do_not_depend_on_partitions(spark):
     assert packing.pack(docs(spark, [])).count() == 0
 
 
+def test_copies_of_one_row_are_dealt_to_many_shards(spark):
+    rows = [(7, "the same row again", "a")] * 600 + [(None, "no id", "a")] * 300 + [(1000 + i, f"row {i}", "b") for i in range(900)]
+    d = docs(spark, rows)
+    copies = packing.numbered_copies(d.select("doc_id", "text")).collect()
+    assert sorted(r.copy for r in copies if r.doc_id == 7) == list(range(1, 601))
+    assert sorted(r.copy for r in copies if r.doc_id is None) == list(range(1, 301)) and len(copies) == len(rows)
+    packed = packing.pack(d, length=64, shard_bytes=1000).collect()
+    per = {}
+    for r in packed:
+        per[r.shard] = per.get(r.shard, 0) + sum(x == 7 for x in r.segment_docs)
+    assert sum(per.values()) == 600 and max(per.values()) < 100
+    assert sum(len(r.segment_docs) for r in packed) == len(rows)
+
+
 def greedy(word, pieces):
     at = n = 0
     data = b" " + word
