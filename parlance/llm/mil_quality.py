@@ -1,21 +1,22 @@
 """Document quality by attention over passages (operator 6).
 
 A document is a bag of passages of PASSAGE words. Every passage is encoded from
-its own text (shares of character classes, repetition, word lengths), a gated
+its own text (its words by hash into HASHED buckets, shares of character
+classes, repetition, word lengths) through a learned layer, a gated
 attention network weighs the passages, and the weighted passage representation
 is scored. Only document labels are learned from:
 
     e_k = tanh(E x_k);  a = softmax_k w . (tanh(V e_k) * sigmoid(U e_k));
     score = sigmoid(c . sum_k a_k e_k + b)
 
-Training takes at most SAMPLE labelled documents of each class, those whose
-hashed id is least, whole; at most that many rows ever reach the driver: of the
+Training takes at most SAMPLE labelled documents of each class, of those that
+are in the table and have a word those whose hashed id is least, whole; at most that many rows ever reach the driver: of the
 texts of one doc_id, the one whose features come first. Scoring is one pass over
 all documents without a shuffle.
 
 Rows: a text without words (null too) has no passage and scores EMPTY_SCORE;
 repeated rows score alike; labels that are null or not 0 or 1 are not used, and
-a document labelled both ways is left out of training. Without labels of both
+a document labelled both ways is left out of training. Without such documents of both
 classes every text with words scores the share of label 1 (0.5 without any).
 """
 
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parlance.llm.common import WORD, store
 from parlance.llm.text import blocks
 
 PASSAGE = 64
@@ -53,7 +55,8 @@ def _classes() -> np.ndarray:
 
 
 CLASSES = _classes()
-N_FEATURES = 12 + 6
+HASHED = 64
+N_FEATURES = 12 + 6 + HASHED
 
 
 def passages(block) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +105,10 @@ def passages(block) -> tuple[np.ndarray, np.ndarray]:
         ],
         axis=1,
     )
-    return np.concatenate([shares, extra], 1), at
+    # The words' hashes are well mixed, so their top bits serve as the bucket.
+    bucket = (h >> np.uint64(64 - HASHED.bit_length() + 1)).astype(np.int64)
+    hashed = np.bincount(of_word * HASHED + bucket, minlength=n * HASHED).reshape(n, HASHED) / n_in[:, None]
+    return np.concatenate([shares, extra, hashed], 1), at
 
 
 def sigmoid(x):
@@ -188,6 +194,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("z"))
         .where("y = z").select("doc_id", "y")
     )
+    # Labels may cover other documents too: only those that can be read count, for the sample and the share.
+    present = docs.where(F.col("text").rlike(WORD)).select("doc_id").distinct()
+    marked = store(marked.join(present, "doc_id", "left_semi"), "marked")
     share = marked.agg(F.avg("y")).first()[0]
     if share in (None, 0.0, 1.0):
         return Model(0.5 if share is None else float(share))

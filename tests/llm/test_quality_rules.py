@@ -62,6 +62,30 @@ def test_classifier_on_held_out_documents(spark):
     assert all(np.array_equal(model.p[k], again.p[k]) for k in model.p)
 
 
+def test_sample_is_drawn_from_the_documents_at_hand(spark):
+    """Labels of many other documents leave the sample of those at hand whole, in numbers and in shares."""
+    texts = [(i, ("good plain words " if i % 2 else "### $$$ !!! ") * 40, "a") for i in range(200)] + [(1000, " ", "a")]
+    labels = spark.createDataFrame([(i, int(i % 2) if i < 200 else int(i % 9 == 0)) for i in range(20_000)], "doc_id long, quality int")
+    d = docs(spark, texts)
+    model = mil_quality.train(d, labels, sample=100)
+    assert model.constant is None
+    got = {r.doc_id: r.score for r in mil_quality.scores(d, model).collect()}
+    assert all((got[i] > 0.5) == bool(i % 2) for i in range(200))
+    assert mil_quality.train(d.where("doc_id % 2 = 1"), labels).constant == 1.0
+
+
+def test_encoder_sees_words(spark):
+    """Two classes alike in every character class differ by their words alone."""
+    rng = np.random.default_rng(9)
+    words = {0: ["lorem", "ipsum", "dolor", "amets"], 1: ["mater", "pulse", "riven", "stone"]}
+    rows = [(i, " ".join(rng.choice(words[i % 2], 150)), "a") for i in range(160)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(160)], "doc_id long, quality int")
+    d = docs(spark, rows)
+    model = mil_quality.train(d, labels)
+    got = {r.doc_id: r.score for r in mil_quality.scores(d, model).collect()}
+    assert np.mean([(got[i] > 0.5) == bool(i % 2) for i in range(160)]) > 0.98
+
+
 def test_classifier_takes_awkward_rows(spark):
     d = docs(spark, AWKWARD)
     labels = spark.createDataFrame([(1, 1), (9, 0), (9, None), (10, 5), (None, 1), (8, 0), (8, 1)], "doc_id long, quality int")
