@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parlance.config import DEFAULT, scratch_path
+from parlance.operators import bayes
 from parlance.operators import classifier as clf
 from parlance.operators import features as fe
 from parlance.operators import splits as sp
 from parlance.plans.oracle_sql import VIEWS, with_views
 from parlance.plans.q_splits import stored_splits
-from parlance.plans.registry import register
+from parlance.plans.registry import register, rounded
 from parlance.sources import views
 from parlance.sources.tables import table
 
@@ -219,3 +220,71 @@ def q_model_roundtrip(spark, sf_dir):
     a = clf.predict_intents(model, test).select("row_id", F.col("intent_pred").alias("a"))
     b = clf.predict_intents(again, test).select("row_id", F.col("intent_pred").alias("b"))
     return a.join(b, "row_id").select("row_id", (F.col("a") == F.col("b")).alias("same"))
+
+
+# Documents with their label as intent, split as the labelled texts are; tokens of each.
+_LABELLED = (
+    "WITH pairs AS (SELECT d.doc_id AS row_id, text, CASE quality WHEN 1 THEN 'KEEP' ELSE 'DROP' END AS intent "
+    "FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE quality IS NOT NULL), "
+    f"split_quotas AS ({VIEWS['split_quotas']}), splits AS ({VIEWS['splits']}), "
+    "said AS (SELECT row_id, intent, split, unnest(list_filter(regexp_split_to_array(lower(text), '[\\x20\\x09-\\x0D]+'), "
+    "lambda t: t <> '')) AS token FROM splits), "
+    "counts AS (SELECT intent, token, count(*) AS n FROM said WHERE split = 'train' GROUP BY intent, token), "
+    "vocab AS (SELECT DISTINCT token FROM counts), "
+    "classes AS (SELECT intent, docs, total, (SELECT count(*) FROM vocab) AS v, sum(docs) OVER () AS all_docs FROM "
+    "(SELECT intent, count(*) AS docs FROM splits WHERE split = 'train' GROUP BY intent) d "
+    "JOIN (SELECT intent, sum(n) AS total FROM counts GROUP BY intent) t USING (intent)) "
+)
+
+
+def _scores_sql(split: str, alphas: str) -> str:
+    """(alpha, row_id, truth, intent, score): every row of a split against every class, all known tokens walked."""
+    return (
+        "SELECT a.alpha, s.row_id, s.intent AS truth, c.intent, "
+        "CAST(round(1e9 * ln(CAST(c.docs AS DOUBLE) / c.all_docs)) AS BIGINT) + coalesce((w.score), 0) AS score "
+        f"FROM splits s CROSS JOIN classes c CROSS JOIN (SELECT unnest({alphas}) AS alpha) a LEFT JOIN ("
+        "SELECT a.alpha, k.row_id, c.intent, CAST(sum(CAST(round(1e9 * (ln(a.alpha) - ln(c.total + a.alpha * c.v))) AS BIGINT) + "
+        "CASE WHEN n.n IS NULL THEN 0 ELSE CAST(round(1e9 * (ln(n.n + a.alpha) - ln(a.alpha))) AS BIGINT) END) AS BIGINT) AS score "
+        f"FROM said k JOIN vocab USING (token) CROSS JOIN classes c CROSS JOIN (SELECT unnest({alphas}) AS alpha) a "
+        "LEFT JOIN counts n ON n.token = k.token AND n.intent = c.intent "
+        f"WHERE k.split = '{split}' GROUP BY a.alpha, k.row_id, c.intent) w "
+        "ON w.row_id = s.row_id AND w.intent = c.intent AND w.alpha = a.alpha "
+        f"WHERE s.split = '{split}'"
+    )
+
+
+def _bayes_counts(spark, sf_dir):
+    """The counts of the train split, stored as the model they are."""
+    return views.written(spark, sf_dir, "bayes_counts", lambda: bayes.train_counts(_clf_data(spark, sf_dir)[0]))
+
+
+@register(
+    "train_intent_bayes",
+    _LABELLED + "SELECT intent, token, n FROM counts UNION ALL SELECT intent, NULL, docs FROM classes",
+)
+def q_train_intent_bayes(spark, sf_dir):
+    """M1: the counts that are the naive Bayes model."""
+    return bayes.train_counts(_clf_data(spark, sf_dir)[0])
+
+
+@register(
+    "predict_intents_bayes",
+    _LABELLED + "SELECT row_id, intent AS intent_pred, '{\"intent\":\"' || intent || '\",\"params\":{}}' AS pred_text FROM "
+    f"(SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY score DESC, intent) AS r FROM ({_scores_sql('test', '[1.0::DOUBLE]')}) x) y WHERE r = 1",
+)
+def q_predict_intents_bayes(spark, sf_dir):
+    """M2: naive Bayes predictions for the test split as model JSON."""
+    return bayes.predict(_bayes_counts(spark, sf_dir), _clf_data(spark, sf_dir)[2])
+
+
+@register(
+    "select_best_bayes",
+    _LABELLED + ", losses AS (SELECT alpha, round(avg(loss), 6) AS val_log_loss, avg(loss) AS full_loss FROM ("
+    "SELECT alpha, row_id, ln(sum(exp((score - top) / 1e9))) - max(CASE WHEN intent = truth THEN (score - top) / 1e9 END) AS loss FROM "
+    "(SELECT *, max(score) OVER (PARTITION BY alpha, row_id) AS top FROM "
+    f"({_scores_sql('val', '[1.0::DOUBLE, 0.1::DOUBLE, 0.01::DOUBLE]')}) x) y GROUP BY alpha, row_id) z GROUP BY alpha) "
+    "SELECT alpha, val_log_loss, row_number() OVER (ORDER BY full_loss, alpha DESC) = 1 AS is_best FROM losses",
+)
+def q_select_best_bayes(spark, sf_dir):
+    """M3: smoothing values with their validation log-loss; the best is flagged."""
+    return rounded(bayes.select_best(_bayes_counts(spark, sf_dir), _clf_data(spark, sf_dir)[1]), "val_log_loss")
