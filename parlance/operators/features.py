@@ -3,9 +3,9 @@
 The original tokenizer's vocabulary file is not published, so the
 vocabulary is built from the data: whitespace tokens, dense ids by
 (count desc, token asc) starting at 3, with 0 = pad, 1 = end of sequence,
-2 = unknown.  Encoding cuts each row's tokens to the length that is kept, then
-explodes, joins the vocabulary (its size is bounded by ``vocab_size``) and
-collects each row's ids in order.  A row without tokens stays: it encodes to the
+2 = unknown.  Encoding cuts each row's tokens to the length that is kept and
+looks them up inside the row (:func:`looked_up`), decoding likewise: both are
+projections, without a shuffle.  A row without tokens stays: it encodes to the
 end id and decodes to the empty text.
 """
 
@@ -20,6 +20,14 @@ from parlance.operators.positions import exact_rank, hash_bucket, seeded_key, wi
 # Special ids of the original tokenizer.
 PAD_ID, EOS_ID, UNK_ID, FIRST_ID = 0, 1, 2, 3
 IGNORE_ID = -100
+#: Slots of a vocabulary held for lookups inside rows: two tokens each on average at ``vocab_size``.
+SLOTS = 1 << 14
+
+
+def split_tokens(text: Column, keep: int | None = None) -> Column:
+    """The whitespace tokens of a text, the first ``keep`` of them; none for a null text."""
+    parts = F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda t: t != "")
+    return parts if keep is None else F.slice(parts, 1, keep)
 
 
 def tokens(df: DataFrame, text: str, id_col: str = "row_id", keep: int | None = None) -> DataFrame:
@@ -30,10 +38,7 @@ def tokens(df: DataFrame, text: str, id_col: str = "row_id", keep: int | None =
     ``keep`` tokens and the end id exceed it.  A row without tokens gives one row
     with null ``pos`` and ``token``.
     """
-    parts = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+"), lambda t: t != "")
-    if keep is not None:
-        parts = F.slice(parts, 1, keep)
-    return df.select(id_col, F.posexplode_outer(parts).alias("pos", "token"))
+    return df.select(id_col, F.posexplode_outer(split_tokens(F.col(text), keep)).alias("pos", "token"))
 
 
 def build_vocabulary(toks: DataFrame, vocab_size: int | None = None) -> DataFrame:
@@ -62,21 +67,52 @@ def build_vocabulary(toks: DataFrame, vocab_size: int | None = None) -> DataFram
     return kept.withColumn("id", (F.row_number().over(rank) + FIRST_ID - 1).cast("int"))
 
 
-def encode_tokens(toks: DataFrame, vocab: DataFrame, id_col: str = "row_id") -> DataFrame:
-    """``id_col, ids``: token ids in text order, unknown -> 2, end id appended."""
-    v = F.broadcast(vocab.select("token", F.col("id").alias("tid")))  # at most vocab_size rows
-    joined = toks.join(v, "token", "left").select(id_col, "pos", F.coalesce("tid", F.lit(UNK_ID)).alias("tid"))
-    some = F.when(F.col("pos").isNotNull(), F.struct("pos", "tid"))  # collect_list leaves nulls out
-    grouped = joined.groupBy(id_col).agg(F.array_sort(F.collect_list(some)).alias("_p"))
-    return grouped.select(id_col, F.concat(F.col("_p.tid"), F.array(F.lit(EOS_ID))).alias("ids"))
+def looked_up(df: DataFrame, keys: Column, vocab: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """``df`` with the column ``name``: the values of an array of keys by a vocabulary, null for keys it lacks.
+
+    One value holds the whole table (at most ``vocab_size`` rows): an array of
+    ``SLOTS`` small maps, the slot of a key given by its hash, so a lookup costs
+    the same whatever the vocabulary's size.  It is computed once, as a scalar
+    subquery, and goes out with the tasks: rows are neither exploded nor shuffled.
+    """
+
+    def slot(k: Column) -> Column:
+        return F.pmod(F.xxhash64(k), F.lit(SLOTS)).cast("int")
+
+    kind = vocab.schema[key].dataType  # the hash depends on the type
+    entries = vocab.select(slot(F.col(key)).alias("_s"), F.struct(F.col(key).alias("k"), F.col(value).alias("v")).alias("_e"))
+    none = F.lit(None).cast(entries.schema["_e"].dataType)
+    slots = entries.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("_s"), none.alias("_e"))
+    filled = entries.unionByName(slots).groupBy("_s").agg(F.collect_list("_e").alias("_e"))  # leaves nulls out
+    ordered = F.sort_array(F.collect_list(F.struct("_s", "_e")))
+    table = filled.agg(F.transform(ordered, lambda x: F.map_from_entries(x["_e"]))).scalar()
+    # Two projections, as a lambda may not be written with a subquery; the optimizer makes them one, so no row carries the table.
+    held = df.withColumn("_table", F.array(table))
+
+    def values(whole: Column) -> Column:
+        return F.transform(keys, lambda k: F.get(whole, slot(k.cast(kind)))[k.cast(kind)])
+
+    return held.withColumn(name, F.transform("_table", values)[0]).drop("_table")
+
+
+def encode_tokens(df: DataFrame, text: str, vocab: DataFrame, id_col: str = "row_id", keep: int | None = None) -> DataFrame:
+    """``id_col, ids``: token ids in text order, unknown -> 2, end id appended.
+
+    ``keep`` as in :func:`tokens`.  Each row is encoded where it lies; repeated
+    and null row ids stay rows of their own.
+    """
+    found = looked_up(df.select(id_col, text), split_tokens(F.col(text), keep), vocab, "token", "id", "_found")
+    ids = F.transform("_found", lambda i: F.coalesce(i, F.lit(UNK_ID)))
+    return found.select(id_col, F.concat(ids, F.array(F.lit(EOS_ID))).alias("ids"))
 
 
 def pad_truncate_ids(ids: Column, n: int) -> tuple[Column, Column]:
     """P20: (ids, attention mask) of exactly ``n``: cut to ``n - 1`` tokens plus
     the end id when too long, padded with 0 otherwise; mask 1 for real ids."""
     body = F.when(F.size(ids) > n, F.concat(F.slice(ids, 1, n - 1), F.array(F.lit(EOS_ID)))).otherwise(ids)
-    padded = F.slice(F.concat(body, F.array_repeat(F.lit(PAD_ID), n)), 1, n)
-    mask = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.when(i <= F.size(body), 1).otherwise(0))
+    real = F.least(F.size(ids), F.lit(n))
+    padded = F.concat(body, F.array_repeat(F.lit(PAD_ID), F.lit(n) - real))
+    mask = F.concat(F.array_repeat(F.lit(1), real), F.array_repeat(F.lit(0), F.lit(n) - real))
     return padded, mask
 
 
@@ -87,12 +123,9 @@ def mask_labels(labels: Column) -> Column:
 
 def unmask_decode(df: DataFrame, labels: str, vocab: DataFrame, id_col: str = "row_id") -> DataFrame:
     """Drop -100 and special ids, ids back to text joined by spaces; no ids give the empty text."""
-    kept = df.select(id_col, F.posexplode_outer(F.filter(F.col(labels), lambda x: x >= FIRST_ID)).alias("pos", "id"))
-    v = F.broadcast(vocab.select("id", "token"))
-    joined = kept.join(v, "id", "left")
-    some = F.when(F.col("token").isNotNull(), F.struct("pos", "token"))
-    grouped = joined.groupBy(id_col).agg(F.array_sort(F.collect_list(some)).alias("_p"))
-    return grouped.select(id_col, F.array_join(F.col("_p.token"), " ").alias("text"))
+    kept = F.filter(F.col(labels), lambda x: x >= FIRST_ID)
+    found = looked_up(df.select(id_col, labels), kept, vocab, "id", "token", "_found")
+    return found.select(id_col, F.coalesce(F.array_join("_found", " "), F.lit("")).alias("text"))
 
 
 def assign_batches(splits: DataFrame, settings: Settings = DEFAULT) -> DataFrame:

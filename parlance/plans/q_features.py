@@ -72,7 +72,7 @@ def q_build_vocabulary(spark, sf_dir):
 
 def _encoded(spark, sf_dir, text: str, n: int):
     p = views.pairs(spark, sf_dir)
-    ids = fe.encode_tokens(fe.tokens(p, text, keep=n), _pair_vocab(spark, sf_dir))
+    ids = fe.encode_tokens(p, text, _pair_vocab(spark, sf_dir), keep=n)
     padded, mask = fe.pad_truncate_ids(F.col("ids"), n)
     return ids.select("row_id", padded.alias("padded"), mask.alias("mask"))
 
@@ -85,7 +85,7 @@ def q_encode_tokens(spark, sf_dir):
     """P23 + P20: input ids of every pair, length 128, and the real-token count."""
     e = _encoded(spark, sf_dir, "input_text", DEFAULT.max_input_length)
     return e.select(
-        "row_id", F.array_join("padded", " ").alias("ids_text"), F.aggregate("mask", F.lit(0), lambda a, x: a + x).cast("bigint").alias("n_real")
+        "row_id", F.array_join("padded", " ").alias("ids_text"), F.size(F.array_remove("mask", 0)).cast("bigint").alias("n_real")
     )
 
 
@@ -97,12 +97,12 @@ def q_pad_truncate_ids(spark, sf_dir):
     """P20 on documents: encoded to the first 128 ids or padded to as many."""
     d = table(spark, sf_dir, "documents", "doc_id", "text").withColumnRenamed("doc_id", "row_id")
     vocab = views.written(spark, sf_dir, "document_vocabulary", lambda: fe.build_vocabulary(fe.tokens(d, "text")))
-    ids = fe.encode_tokens(fe.tokens(d, "text", keep=DEFAULT.max_input_length), vocab)
+    ids = fe.encode_tokens(d, "text", vocab, keep=DEFAULT.max_input_length)
     padded, mask = fe.pad_truncate_ids(F.col("ids"), DEFAULT.max_input_length)
     return ids.select(
         "row_id",
         F.array_join(padded, " ").alias("ids_text"),
-        F.aggregate(mask, F.lit(0), lambda a, x: a + x).cast("bigint").alias("n_real"),
+        F.size(F.array_remove(mask, 0)).cast("bigint").alias("n_real"),
     )
 
 

@@ -13,7 +13,7 @@ from parlance.plans import q_features
 def test_rows_without_tokens_stay(spark):
     df = spark.createDataFrame([(1, "a b a"), (2, ""), (3, None), (4, "  \n"), (5, "zz " * 40)], "row_id long, text string")
     vocab = fe.build_vocabulary(fe.tokens(df, "text").where("row_id < 5"))
-    ids = fe.encode_tokens(fe.tokens(df, "text", keep=4), vocab)
+    ids = fe.encode_tokens(df, "text", vocab, keep=4)
     padded, mask = fe.pad_truncate_ids(F.col("ids"), 4)
     rows = ids.select("row_id", padded.alias("padded"), mask.alias("mask"), fe.mask_labels(padded).alias("labels"))
     got = {r.row_id: (r.padded, sum(r["mask"])) for r in rows.collect()}
@@ -28,11 +28,30 @@ def test_cut_before_the_explode_changes_nothing(spark):
     for n in (1, 2, 5, 11, 12):
         whole, cut = (
             {r.row_id: r.p for r in e.select("row_id", fe.pad_truncate_ids(F.col("ids"), n)[0].alias("p")).collect()}
-            for e in (fe.encode_tokens(fe.tokens(df, "text", keep=k), vocab) for k in (None, n))
+            for e in (fe.encode_tokens(df, "text", vocab, keep=k) for k in (None, n))
         )
         assert whole == cut and len(cut) == 12
 
 
+def test_encoding_and_decoding_do_not_shuffle_rows(spark):
+    words = [f"w{i}" for i in range(300)] + ["é", "王", "a.b"]
+    rows = [(1, " ".join(words)), (1, "w1 new w2"), (None, "王 a.b"), (2, None)]
+    df = spark.createDataFrame(rows, "row_id long, text string")
+    vocab = fe.build_vocabulary(fe.tokens(df, "text").where("token <> 'new'"))
+    ids = fe.encode_tokens(df, "text", vocab)
+    back = fe.unmask_decode(ids, "ids", vocab)
+    assert sorted(map(str, ((r.row_id, r.text) for r in back.collect()))) == sorted(
+        map(str, [(1, " ".join(words)), (1, "w1 w2"), (None, "王 a.b"), (2, "")])
+    )
+    known = {r.token: r.id for r in vocab.collect()}
+    want = [[known.get(t, fe.UNK_ID) for t in (text or "").split()] + [fe.EOS_ID] for _, text in rows]
+    assert sorted(r.ids for r in ids.collect()) == sorted(want)
+    plan = fe.encode_tokens(df, "text", vocab)._jdf.queryExecution().executedPlan().toString()
+    assert "_table" not in plan  # the two projections are one
+    main = [line for line in plan.splitlines() if line and not line.startswith("   :") and not line.startswith("      :")]
+    assert not any("Exchange" in line or "Generate" in line for line in main)
+
+
 @pytest.mark.parametrize("outlier", [1 << 62, -(1 << 62)])
 def test_positions_with_an_outlying_id(spark, outlier):
     rows = [(i * 7, ("train", "val", "test")[i % 3]) for i in range(900)] + [(outlier, "val")]
