@@ -86,30 +86,43 @@ def param_string_values(entries: DataFrame) -> DataFrame:
 
 
 def _numeric_value(entries: DataFrame) -> DataFrame:
+    """``num``: a number as (double, all digits of a whole number), null for other kinds.
+
+    Ordered by its fields, as two whole numbers may share a double.  Whole
+    numbers of more than 38 digits arrive as doubles from the JSON reader.
+    """
     num = (
         F.when(F.col("kind").isin("INT", "FLOAT"), F.try_variant_get("v", "$", "double"))
         .when(F.col("kind") == "BOOLEAN", F.try_variant_get("v", "$", "boolean").cast("int").cast("double"))
     )
-    return entries.select("ann_intent", "param", "kind", num.alias("num"))
+    digits = F.when(F.col("kind") == "INT", F.try_variant_get("v", "$", "decimal(38,0)")).when(
+        (F.abs(num) < 1e38) & (num == F.rint(num)), num.cast("decimal(38,0)")
+    )
+    both = F.struct(num.alias("value"), digits.alias("digits"))
+    return entries.select("ann_intent", "param", "kind", F.when(num.isNotNull(), both).alias("num"))
 
 
 def param_numeric_range(entries: DataFrame) -> DataFrame:
     """Min, max, and distinct count (at most 10) of numeric values.
 
     Only for parameters that have numeric values and no string values.
+    ``min_whole`` and ``max_whole`` hold all digits (DECIMAL) of a minimum and
+    maximum that are whole numbers, null for others.
     """
     x = _numeric_value(entries)
     agg = x.groupBy("ann_intent", "param").agg(
-        F.min("num").alias("min_value"),
-        F.max("num").alias("max_value"),
+        F.min("num").alias("_min"),
+        F.max("num").alias("_max"),
         F.count_distinct("num").alias("_distinct"),
         F.max(F.when(F.col("kind") == "STRING", 1).otherwise(0)).alias("_has_str"),
     )
-    return agg.where(F.col("min_value").isNotNull() & (F.col("_has_str") == 0)).select(
+    return agg.where(F.col("_min").isNotNull() & (F.col("_has_str") == 0)).select(
         "ann_intent",
         "param",
-        "min_value",
-        "max_value",
+        F.col("_min.value").alias("min_value"),
+        F.col("_max.value").alias("max_value"),
+        F.col("_min.digits").alias("min_whole"),
+        F.col("_max.digits").alias("max_whole"),
         F.least(F.col("_distinct"), F.lit(10)).cast("bigint").alias("shown_values"),
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from parlance.operators import schema_mining as sm
 from parlance.plans.oracle_sql import with_views
 from parlance.plans.registry import register, rounded
@@ -61,6 +63,8 @@ def q_param_string_values(spark, sf_dir):
     "param_numeric_range",
     with_views(
         "SELECT ann_intent, param, min(num) AS min_value, max(num) AS max_value, "
+        "CAST(CASE WHEN min(num) = round(min(num)) THEN CAST(min(num) AS HUGEINT) END AS VARCHAR) AS min_whole, "
+        "CAST(CASE WHEN max(num) = round(max(num)) THEN CAST(max(num) AS HUGEINT) END AS VARCHAR) AS max_whole, "
         "CAST(least(count(DISTINCT num), 10) AS BIGINT) AS shown_values FROM entries "
         "GROUP BY ann_intent, param HAVING min(num) IS NOT NULL AND max(CASE WHEN kind = 'STRING' THEN 1 ELSE 0 END) = 0",
         "entries",
@@ -68,7 +72,8 @@ def q_param_string_values(spark, sf_dir):
 )
 def q_param_numeric_range(spark, sf_dir):
     """Numeric range of parameters without string values."""
-    return sm.param_numeric_range(_entries(spark, sf_dir))
+    found = sm.param_numeric_range(_entries(spark, sf_dir))
+    return found.withColumns({c: F.col(c).cast("string") for c in ("min_whole", "max_whole")})
 
 
 @register(

@@ -5,7 +5,7 @@ from types import SimpleNamespace
 import pytest
 
 from parlance import config
-from parlance.operators import annotations, evaluate, latency, profile, splits, training_log
+from parlance.operators import annotations, evaluate, latency, profile, schema_mining, splits, training_log
 
 
 def nested(depth, leaf):
@@ -196,3 +196,13 @@ def test_columns_of_many_values_are_not_shuffled(spark):
     plan = profiled._jdf.queryExecution().executedPlan().toString()
     shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning(column_name" in line and "value" in line]
     assert shuffled and "LeftSemi" in plan[plan.index(shuffled[0]) :]
+
+
+def test_whole_numbers_keep_all_digits_in_ranges(spark):
+    params = ['{"n":9007199254740993,"f":2.5,"b":true,"m":1}', '{"n":9007199254740992,"f":1e3,"b":false,"m":1.0}', '{"n":-12345678901234567890123456789,"f":null}']
+    rows = [(i, "t", "A", f'[{{"id":"A","params":{p}}}]', 1) for i, p in enumerate(params)]
+    utt = spark.createDataFrame(rows, "row_id long, transcript string, intent string, nli_output string, frequency long")
+    got = {r.param: r for r in schema_mining.param_numeric_range(schema_mining.param_entries(schema_mining.annotated_rows(utt))).collect()}
+    assert (int(got["n"].min_whole), int(got["n"].max_whole), got["n"].shown_values) == (-12345678901234567890123456789, 9007199254740993, 3)
+    assert (got["f"].min_value, got["f"].min_whole, got["f"].max_whole, got["f"].shown_values) == (2.5, None, 1000, 2)
+    assert (got["b"].min_whole, got["b"].max_whole, got["m"].shown_values) == (0, 1, 1)
