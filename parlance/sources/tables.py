@@ -6,6 +6,8 @@ column pruning and filter pushdown reach the scan.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +41,22 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int | None = None) -> str:
+    """``df`` as a table at ``path``, bucketed and sorted by ``key``; returns the table's (new) name in the catalog.
+
+    Tables of one key and number of buckets join and group on the key without an
+    exchange: the shuffle is paid once, here, with one file per bucket.
+    ``buckets`` is the session's number of shuffle partitions unless given.
+    Null keys are kept and share a bucket; an empty table keeps its columns.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"bucketed_{uuid.uuid4().hex}"
+    writer = df.repartition(n, key).write.bucketBy(n, key).sortBy(key)
+    writer.format("parquet").option("path", path).saveAsTable(name)
+    return name
+
+
 def scan_utterances(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Raw utterance table with a fixed schema (no inference).
 

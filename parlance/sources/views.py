@@ -19,26 +19,30 @@ from pyspark.sql import functions as F
 
 from parlance.config import scratch_path
 from parlance.functions.json import json_quote
-from parlance.sources.tables import table
+from parlance.sources.tables import table, write_bucketed
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
-def written(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def written(spark: SparkSession, sf_dir: str, name: str, build, bucket_by: str | None = None) -> DataFrame:
     """``build()`` written once as a Parquet table in the shared checkpoint
     folder and read back: the stored table a real pipeline would read.
 
     Cuts the lineage (a lost executor re-reads the table, not the whole
     derivation) and keeps downstream plans small.  One write per
-    application and input folder.
+    application and input folder.  With ``bucket_by`` the table is bucketed by
+    that column, so tables that are joined on it need no exchange.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     path = _WRITTEN.get(key)
     if path is None:
         path = scratch_path(spark, name)
-        build().write.mode("overwrite").parquet(path)
+        if bucket_by is None:
+            build().write.mode("overwrite").parquet(path)
+        else:
+            path = write_bucketed(build(), path, bucket_by)
         _WRITTEN[key] = path
-    return spark.read.parquet(path)
+    return spark.read.parquet(path) if bucket_by is None else spark.table(path)
 
 
 def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,12 +120,13 @@ def references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written(
         spark, sf_dir, "references",
         lambda: pairs(spark, sf_dir).select("row_id", "intent", F.col("output_text").alias("ref_text")),
+        "row_id",
     )
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``row_id, pred_text``: the stored model outputs."""
-    return written(spark, sf_dir, "predictions", lambda: predictions_from_pairs(pairs(spark, sf_dir)))
+    return written(spark, sf_dir, "predictions", lambda: predictions_from_pairs(pairs(spark, sf_dir)), "row_id")
 
 
 def truncated_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:

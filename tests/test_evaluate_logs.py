@@ -1,5 +1,6 @@
 """Evaluation invariants, latency golden values, training-log rules."""
 
+from conftest import SMALL
 from parlance.operators import evaluate as ev
 from parlance.operators import latency as lat
 from parlance.operators import training_log as tl
@@ -47,3 +48,27 @@ def test_running_best(spark):
     assert d.status == "plateau" and d.n_epochs == 4
     flat = tl.history_rows(tl.history_document(hist)).orderBy("epoch").collect()
     assert [r.val_loss for r in flat] == [0.5, 0.6, 0.4, 0.4]
+
+
+def test_stored_outputs_and_references_join_without_an_exchange(spark):
+    from parlance.plans import q_evaluate
+    from parlance.sources import views
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = q_evaluate._aligned(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    pairs = views.pairs(spark, SMALL)
+    assert views.references(spark, SMALL).count() == views.predictions(spark, SMALL).count() == pairs.count()
+
+
+def test_bucketed_tables_keep_every_row(spark, tmp_path):
+    from parlance.sources.tables import write_bucketed
+
+    df = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c"), (1, "c")], "row_id long, t string")
+    for i, rows in enumerate((df, df.limit(0))):
+        table = spark.table(write_bucketed(rows, str(tmp_path / str(i)), "row_id", 3))
+        assert sorted(map(str, table.collect())) == sorted(map(str, rows.collect())) and table.columns == rows.columns
