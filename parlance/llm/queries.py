@@ -33,7 +33,9 @@ def op2_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return surrogates.pseudonymize(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    key = spark.conf.get("parlance.surrogates.key", "for synthetic tables only")  # a secret of the caller's where data are real
+    return surrogates.pseudonymize(docs, key.encode())
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
