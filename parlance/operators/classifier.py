@@ -37,10 +37,17 @@ def train_intent_classifier(train: DataFrame, reg_param: float = 0.0) -> Pipelin
 
 
 def predict_intents(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """M2: ``row_id, intent_pred, pred_text`` with ``pred_text`` as the model's JSON."""
+    """M2: ``row_id, intent_pred, pred_text`` with ``pred_text`` as the model's JSON.
+
+    The likeliest intent of the train rows, the first of equal ones. The class
+    that the indexer keeps for unseen intents comes last, has no name and is
+    never predicted, whatever the model extrapolates for it.
+    """
     labels = model.stages[3].labels
     scored = model.transform(df.select("row_id", "text"))
-    named = IndexToString(inputCol="prediction", outputCol="intent_pred", labels=labels).transform(scored)
+    learnt = scored.withColumn("_raw", F.slice(vector_to_array("rawPrediction"), 1, len(labels)))
+    likeliest = learnt.withColumn("prediction", (F.array_position("_raw", F.array_max("_raw")) - 1).cast("double"))
+    named = IndexToString(inputCol="prediction", outputCol="intent_pred", labels=labels).transform(likeliest)
     return named.select("row_id", "intent_pred", format_target("intent_pred", F.lit("{}")).alias("pred_text"))
 
 

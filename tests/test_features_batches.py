@@ -80,6 +80,26 @@ def test_classifier_beats_the_majority(spark):
     assert test.count() > 0
 
 
+def _few_texts(spark):
+    """Train rows, and texts on which their model rates the class of unseen intents highest."""
+    import random
+
+    rnd = random.Random(2)
+    texts = [" ".join(f"w{rnd.randrange(12)}" for _ in range(rnd.randrange(2, 9))) for _ in range(30)]
+    train = spark.createDataFrame([(i, t, "AB"[i % 2]) for i, t in enumerate(texts)], "row_id long, text string, intent string").coalesce(1)
+    test = spark.createDataFrame([(k, f"w{k} " * 200) for k in range(12)], "row_id long, text string")
+    return train, test
+
+
+def test_reloaded_model_agrees_on_texts_unlike_the_train_rows(spark, tmp_path):
+    train, test = _few_texts(spark)
+    model = clf.train_intent_classifier(train)
+    assert 2.0 in {r.prediction for r in model.transform(test).collect()}
+    again = clf.model_roundtrip(model, str(tmp_path / "model"))
+    before, after = ({r.row_id: r.intent_pred for r in clf.predict_intents(m, test).collect()} for m in (model, again))
+    assert before == after and len(before) == 12 and set(before.values()) == {"A", "B"}
+
+
 def test_every_epoch_is_another_permutation(spark):
     from pyspark.sql import functions as F
 
