@@ -100,6 +100,19 @@ def test_reloaded_model_agrees_on_texts_unlike_the_train_rows(spark, tmp_path):
     assert before == after and len(before) == 12 and set(before.values()) == {"A", "B"}
 
 
+def test_predicted_intent_is_the_likeliest_learnt_one(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    train, test = _few_texts(spark)
+    model = clf.train_intent_classifier(train)
+    rows = model.transform(test).select("row_id", "prediction", vector_to_array("rawPrediction").alias("raw")).collect()
+    assert model.stages[3].labels == ["A", "B"] and 2.0 in {r.prediction for r in rows}
+    want = {r.row_id: "A" if r.raw[0] >= r.raw[1] else "B" for r in rows}
+    got = clf.predict_intents(model, test).collect()
+    assert {r.row_id: r.intent_pred for r in got} == want and len(got) == 12
+    assert all(r.pred_text == f'{{"intent":"{r.intent_pred}","params":{{}}}}' for r in got)
+
+
 def test_every_epoch_is_another_permutation(spark):
     from pyspark.sql import functions as F
 
