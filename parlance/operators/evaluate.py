@@ -92,16 +92,34 @@ def parse_success_rate() -> Column:
     return _pct(~F.col("intent_pred").eqNullSafe(F.lit("PARSE_ERROR"))).alias("parse_success_rate")
 
 
-def per_intent_accuracy(aligned: DataFrame) -> DataFrame:
-    """By true intent: correct, total, accuracy (percent)."""
-    ok = F.col("intent_pred").eqNullSafe(F.col("intent_true"))
-    return aligned.groupBy("intent_true").agg(
-        F.sum(F.when(ok, 1).otherwise(0)).cast("bigint").alias("correct"),
+def _count(cond: Column, name: str) -> Column:
+    return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint").alias(name)
+
+
+def evaluation_tally(aligned: DataFrame, *by: str) -> DataFrame:
+    """Per ``by`` and true intent the counts behind A22 and A23, from one pass over the pairs.
+
+    They add up, so both metrics of every evaluation set come from this small table.
+    """
+    return _with_counts(aligned).groupBy(*by, "intent_true").agg(
+        _count(F.col("intent_pred").eqNullSafe(F.col("intent_true")), "correct"),
         F.count(F.lit(1)).alias("total"),
-        _pct(ok).alias("accuracy"),
+        _count(F.coalesce(F.col("pred_text") == F.col("ref_text"), F.lit(False)), "exact"),
+        _count(~F.col("intent_pred").eqNullSafe(F.lit("PARSE_ERROR")), "parsed"),
+        *(F.sum(f"_leaves.{c}").alias(f"leaves_{c}") for c in PAIR_COUNTS),
     )
 
 
+def tallied_accuracy(tally: DataFrame) -> DataFrame:
+    """A22 from the tally of one set: by true intent: correct, total, accuracy (percent)."""
+    return tally.select("intent_true", "correct", "total", (F.col("correct") / F.col("total") * 100.0).alias("accuracy"))
+
+
+def per_intent_accuracy(aligned: DataFrame) -> DataFrame:
+    """By true intent: correct, total, accuracy (percent)."""
+    return tallied_accuracy(evaluation_tally(aligned))
+
+
 def top_intent_accuracy(per_intent: DataFrame, k: int = 10) -> DataFrame:
     """K5: the ``k`` intents with most rows (ties by intent name)."""
     return per_intent.orderBy(F.col("total").desc(), F.col("intent_true")).limit(k)
@@ -158,7 +176,15 @@ def param_prf(counts: DataFrame) -> DataFrame:
     return counts.withColumns({"param_precision": p, "param_recall": r}).withColumn("param_f1", f1.otherwise(0.0))
 
 
+def tallied_report(tally: DataFrame) -> DataFrame:
+    """A23 from the tally of one set: every scalar metric and the sample count in one row."""
+    shares = {"exact_match": "exact", "intent_accuracy": "correct", "parse_success_rate": "parsed"}
+    scalars = [(F.sum(c) / F.sum("total") * 100.0).alias(name) for name, c in shares.items()]
+    counts = [F.coalesce(F.sum(f"leaves_{c}"), F.lit(0)).alias(c) for c in PAIR_COUNTS]
+    total = F.coalesce(F.sum("total"), F.lit(0)).alias("total_samples")
+    return param_prf(tally.agg(*scalars, total, *counts)).drop(*PAIR_COUNTS)
+
+
 def evaluation_report(aligned: DataFrame) -> DataFrame:
     """Every scalar metric and the sample count in one row, from one pass over the pairs."""
-    scalars = [exact_match(), intent_accuracy(), parse_success_rate(), F.count(F.lit(1)).alias("total_samples")]
-    return param_prf(_with_counts(aligned).agg(*scalars, *_total_counts())).drop(*PAIR_COUNTS)
+    return tallied_report(evaluation_tally(aligned))

@@ -8,8 +8,8 @@ from parlance.config import scratch_path
 from parlance.operators import evaluate as ev
 from parlance.operators import splits as sp
 from parlance.plans.oracle_sql import with_views
-from parlance.plans.q_evaluate import PER_INTENT, PRF, _aligned, _pct_sql
-from parlance.plans.q_splits import stored_splits
+from parlance.plans.q_evaluate import PER_INTENT, PRF, _pct_sql
+from parlance.plans.q_splits import stored_membership, stored_splits
 from parlance.plans.registry import register, rounded
 from parlance.sources import tables, views
 
@@ -71,13 +71,19 @@ FROM (SELECT {_pct_sql('coalesce(pred_text = ref_text, false)', 'exact_match')},
 )
 def q_sink_metrics(spark, sf_dir):
     """A metrics document per evaluation set (val, test), with the accuracy per intent, written as JSON and read back."""
-    aligned = _aligned(spark, sf_dir).join(stored_splits(spark, sf_dir).select("row_id", "split"), "row_id")
+    sets = ("val", "test")
+    # Joined before the texts are read, so that only the rows of the sets are.
+    own = stored_membership(spark, sf_dir).where(F.col("split").isin(*sets)).select("row_id", "split")
+    ref = views.references(spark, sf_dir).select("row_id", "ref_text").join(own, "row_id")
+    aligned = ev.align_predictions(views.predictions(spark, sf_dir), ref)
     path = scratch_path(spark, "metrics")
-    for eval_set in ("val", "test"):
-        rows = aligned.where(F.col("split") == eval_set).drop("split")
+    ev.evaluation_tally(aligned, "split").write.parquet(f"{path}/tally")
+    tally = spark.read.parquet(f"{path}/tally")
+    for eval_set in sets:
+        rows = tally.where(F.col("split") == eval_set)
         per = F.sort_array(F.collect_list(F.struct("intent_true", "correct", "total", "accuracy")))
-        per_intent = ev.per_intent_accuracy(rows).agg(per.alias("per_intent_accuracy"))  # one entry per intent
-        report = ev.evaluation_report(rows).join(per_intent).withColumn("eval_set", F.lit(eval_set))
+        per_intent = ev.tallied_accuracy(rows).agg(per.alias("per_intent_accuracy"))  # one entry per intent
+        report = ev.tallied_report(rows).join(per_intent).withColumn("eval_set", F.lit(eval_set))
         tables.sink_json(report, f"{path}/{eval_set}")
     docs = spark.read.schema(
         "eval_set string, exact_match double, intent_accuracy double, parse_success_rate double, "

@@ -16,6 +16,13 @@ def stored_splits(spark, sf_dir):
     return views.written(spark, sf_dir, "splits", lambda: sp.stratified_split(views.pairs(spark, sf_dir)))
 
 
+def stored_membership(spark, sf_dir):
+    """``row_id, intent, split``: the split (W2) without the texts, bucketed like the stored outputs, to be joined with them."""
+    return views.written(
+        spark, sf_dir, "membership", lambda: sp.stratified_split(views.utterances(spark, sf_dir).select("row_id", "intent")), "row_id"
+    )
+
+
 @register(
     "filter_rare_intents",
     with_views(

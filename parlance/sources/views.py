@@ -14,7 +14,7 @@ from the driver tables (every row of them, so the work grows with the data):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.config import scratch_path
@@ -90,12 +90,12 @@ def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def predictions_from_pairs(pairs: DataFrame) -> DataFrame:
-    """``row_id, pred_text``: eight kinds of model output by ``row_id % 8``."""
+def predicted_text() -> Column:
+    """Eight kinds of model output for training pairs, by ``row_id % 8``."""
     m = F.col("row_id") % 8
     ref = F.col("output_text")
     qi = json_quote(F.col("intent"))
-    pred = (
+    return (
         F.when(m == 0, ref)
         .when(m == 1, F.concat(F.lit('{"intent":"UNSUPPORTED","params":'), F.col("params"), F.lit("}")))
         .when(m == 2, F.expr("substr(output_text, 2, length(output_text) - 2)"))
@@ -105,7 +105,6 @@ def predictions_from_pairs(pairs: DataFrame) -> DataFrame:
         .when(m == 6, F.lit("[1]"))
         .otherwise(F.concat(F.lit('{"params":'), F.col("params"), F.lit("}")))
     )
-    return pairs.select("row_id", pred.alias("pred_text"))
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,18 +114,23 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preprocess(utterances(spark, sf_dir))
 
 
-def references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``row_id, intent, ref_text``: the stored reference output of every pair."""
+def _evaluation_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``row_id, intent, ref_text, pred_text``: reference and model output of every pair, from one reading of the annotations."""
     return written(
-        spark, sf_dir, "references",
-        lambda: pairs(spark, sf_dir).select("row_id", "intent", F.col("output_text").alias("ref_text")),
+        spark, sf_dir, "evaluation_inputs",
+        lambda: pairs(spark, sf_dir).select("row_id", "intent", F.col("output_text").alias("ref_text"), predicted_text().alias("pred_text")),
         "row_id",
     )
 
 
+def references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``row_id, intent, ref_text``: the stored reference output of every pair."""
+    return _evaluation_inputs(spark, sf_dir).select("row_id", "intent", "ref_text")
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``row_id, pred_text``: the stored model outputs."""
-    return written(spark, sf_dir, "predictions", lambda: predictions_from_pairs(pairs(spark, sf_dir)), "row_id")
+    return _evaluation_inputs(spark, sf_dir).select("row_id", "pred_text")
 
 
 def truncated_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Evaluation invariants, latency golden values, training-log rules."""
 
+from pyspark.sql import functions as F
+
 from conftest import SMALL
 from parlance.operators import evaluate as ev
 from parlance.operators import latency as lat
@@ -72,3 +74,34 @@ def test_bucketed_tables_keep_every_row(spark, tmp_path):
     for i, rows in enumerate((df, df.limit(0))):
         table = spark.table(write_bucketed(rows, str(tmp_path / str(i)), "row_id", 3))
         assert sorted(map(str, table.collect())) == sorted(map(str, rows.collect())) and table.columns == rows.columns
+
+
+def test_metrics_of_both_sets_come_from_one_pass_without_an_exchange(spark, monkeypatch):
+    from parlance.plans import q_sinks
+
+    read, with_counts = [], ev._with_counts
+    monkeypatch.setattr(ev, "_with_counts", lambda aligned: read.append(aligned) or with_counts(aligned))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = q_sinks.q_sink_metrics(spark, SMALL).collect()
+        assert len(read) == 1 and sorted(d.eval_set for d in docs) == ["test", "val"]
+        assert "Exchange" not in read[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_tally_gives_every_set_its_metrics(spark):
+    good, other = '{"intent":"A","params":{"k":1,"s":"x"}}', '{"intent":"B","params":{"k":1.0}}'
+    pairs = [(1, "val", good, good), (1, "val", good, good), (2, "val", "no", good), (3, "test", other, good), (4, "test", None, other), (5, "test", good, "[1]")]
+    rows = spark.createDataFrame(pairs, "row_id long, split string, pred_text string, ref_text string")
+    aligned = rows.withColumns({"intent_pred": ev.extract_pred_intent("pred_text"), "intent_true": ev.extract_ref_intent("ref_text")})
+    tally = ev.evaluation_tally(aligned, "split")
+    for s in ("val", "test", "none"):
+        own, told = aligned.where(f"split = '{s}'"), tally.where(f"split = '{s}'")
+        want = own.agg(ev.exact_match(), ev.intent_accuracy(), ev.parse_success_rate()).first().asDict()
+        want |= {"total_samples": own.count()} | ev.param_prf(ev.param_counts(own)).drop(*ev.PAIR_COUNTS).first().asDict()
+        assert ev.tallied_report(told).first().asDict() == want
+        per = own.groupBy("intent_true").agg(F.expr("sum(int(intent_pred <=> intent_true))"), F.count("*"), ev.intent_accuracy()).collect()
+        assert sorted(map(tuple, ev.tallied_accuracy(told).collect())) == sorted(map(tuple, per))
+    assert ev.tallied_report(tally.where("split = 'val'")).first().param_precision == 100.0
