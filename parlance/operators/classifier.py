@@ -3,7 +3,7 @@
 Text -> tokens -> hashed term frequencies -> IDF -> multinomial logistic
 regression; predictions are written as ``{"intent": ..., "params": {}}``.
 The candidate with the lowest validation log-loss is kept (the original
-kept the checkpoint with the lowest validation loss).
+kept the checkpoint with the lowest validation loss). A null text has no tokens.
 """
 
 from __future__ import annotations
@@ -31,9 +31,14 @@ def intent_pipeline(reg_param: float = 0.0, num_features: int = 1 << 16, max_ite
     )
 
 
+def _with_text(df: DataFrame, column: str) -> DataFrame:
+    """``column, text`` as the pipeline reads them: its tokenizer fails on null, so a null text is an empty one."""
+    return df.select(column, F.coalesce("text", F.lit("")).alias("text"))
+
+
 def train_intent_classifier(train: DataFrame, reg_param: float = 0.0) -> PipelineModel:
     """M1: fit on ``text, intent``."""
-    return intent_pipeline(reg_param).fit(train.select("text", "intent"))
+    return intent_pipeline(reg_param).fit(_with_text(train, "intent"))
 
 
 def predict_intents(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -44,7 +49,7 @@ def predict_intents(model: PipelineModel, df: DataFrame) -> DataFrame:
     never predicted, whatever the model extrapolates for it.
     """
     labels = model.stages[3].labels
-    scored = model.transform(df.select("row_id", "text"))
+    scored = model.transform(_with_text(df, "row_id"))
     learnt = scored.withColumn("_raw", F.slice(vector_to_array("rawPrediction"), 1, len(labels)))
     likeliest = learnt.withColumn("prediction", (F.array_position("_raw", F.array_max("_raw")) - 1).cast("double"))
     named = IndexToString(inputCol="prediction", outputCol="intent_pred", labels=labels).transform(likeliest)
@@ -53,7 +58,7 @@ def predict_intents(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 def log_loss(model: PipelineModel, df: DataFrame) -> float:
     """Mean negative log probability of the true intent (unknown intents skipped)."""
-    scored = model.transform(df.select("text", "intent"))
+    scored = model.transform(_with_text(df, "intent"))
     n_labels = len(model.stages[3].labels)
     p = F.element_at(vector_to_array("probability"), (F.col("_label") + 1).cast("int"))
     return scored.where(F.col("_label") < n_labels).agg(F.avg(-F.log(F.greatest(p, F.lit(1e-15))))).first()[0]

@@ -113,6 +113,28 @@ def test_predicted_intent_is_the_likeliest_learnt_one(spark):
     assert all(r.pred_text == f'{{"intent":"{r.intent_pred}","params":{{}}}}' for r in got)
 
 
+def test_null_texts_are_learnt_and_predicted_as_empty_ones(spark):
+    train, test = _few_texts(spark)
+    gaps, blank = (train.withColumn("text", F.when(F.col("row_id") % 5 > 0, F.col("text")).otherwise(F.lit(x))) for x in (None, ""))
+    asked = test.unionByName(spark.createDataFrame([(98, None), (99, "")], "row_id long, text string"))
+    got, want = ({r.row_id: (r.intent_pred, r.pred_text) for r in clf.predict_intents(clf.train_intent_classifier(t), asked).collect()} for t in (gaps, blank))
+    assert got == want and len(got) == 14 and got[98] == got[99]
+    losses, same = ([r.val_log_loss for r in clf.select_best_model(t, t, grid=(0.1,))[1].collect()] for t in (gaps, blank))
+    assert losses == pytest.approx(same) and 0 < losses[0] < 1
+
+
+def test_queries_predict_rows_with_null_texts(spark, tmp_path):
+    docs = [(i, None if i % 4 == 0 else f"good words {i}" if i % 3 else f"bad junk {i}") for i in range(80)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, min(i % 3, 1)) for i in range(80)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    train, _, test = (x.collect() for x in q_features._clf_data(spark, str(tmp_path)))
+    assert any(r.text is None for r in train) and any(r.text is None for r in test)
+    got = {r.row_id: r.intent_pred for r in q_features.q_predict_intents(spark, str(tmp_path)).collect()}
+    assert got.keys() == {r.row_id for r in test} and all(got[r.row_id] == r.intent for r in test if r.text)
+    assert len({got[r.row_id] for r in test if r.text is None}) == 1
+    assert q_features.q_train_intent_classifier(spark, str(tmp_path)).count() == len(train)
+
+
 def test_every_epoch_is_another_permutation(spark):
     from pyspark.sql import functions as F
 
